@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from tributary.functions.keys import unescape_key
 from tributary.functions.records import json_object
+from tributary.functions.timestamps import rfc3339_time
 from tributary.schemas import NOTIFICATION
 
 NON_RECOVERABLE = "non_recoverable"
 RECOVERABLE = "recoverable"
 
 
-def _member(parsed: Column, *spellings: str, kind: str = "variant") -> Column:
-    """First spelling present; field names match in any case, the usual ones are listed."""
-    return F.coalesce(*[F.try_variant_get(parsed, f"$.{s}", kind) for s in spellings])
+def _text_member(parsed: Column, *spellings: str) -> Column:
+    """String field under the first spelling present; any other type is NULL."""
+    value = F.coalesce(*[F.try_variant_get(parsed, f"$.{s}", "variant") for s in spellings])
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
 def _trimmed(text: Column) -> Column:
@@ -45,8 +47,10 @@ def with_processing_metadata(msgs: DataFrame, body: str = "body") -> DataFrame:
     kind = F.schema_of_variant(F.col("_meta"))
     absent = F.col("_meta").isNull() | (kind == "VOID")
     offset, retries = _number(F.col("_meta"), "offset"), _number(F.col("_meta"), "retry_count")
-    broken = ~absent & (~kind.startswith("OBJECT") | offset.isNull() | retries.isNull())
     handle = F.try_variant_get("_meta", "$.original_receipt_handle", "string")
+    requeued = F.try_variant_get("_meta", "$.requeued_at", "string")
+    bad_stamp = requeued.isNotNull() & rfc3339_time(requeued).isNull()
+    broken = ~absent & (~kind.startswith("OBJECT") | offset.isNull() | retries.isNull() | bad_stamp)
     return parsed.select(
         *msgs.columns,
         F.when(absent | broken, F.lit(0).cast("bigint")).otherwise(offset).alias("offset"),
@@ -63,7 +67,7 @@ def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
     Missing records leave one row with neither key nor error: the message succeeded with no work.
     """
     enveloped = with_processing_metadata(msgs, body).withColumn("_envelope", json_object(_trimmed(F.col(body))))
-    inner = enveloped.withColumn("_text", _member(F.col("_envelope"), "Message", "message", kind="string")).withColumn(
+    inner = enveloped.withColumn("_text", _text_member(F.col("_envelope"), "Message", "message")).withColumn(
         "_inner", json_object(_trimmed(F.col("_text")))
     )
     listed = inner.withColumn("_records", F.from_json(F.to_json("_inner"), NOTIFICATION, {"mode": "PERMISSIVE"})["Records"])
@@ -94,7 +98,11 @@ def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def manual_messages(bodies: DataFrame) -> DataFrame:
+    """Hand-fed message bodies (column ``body``), all as message ``manual-input``."""
+    named = bodies.select(F.lit("manual-input").alias("message_id"), "body", F.lit("manual").alias("receipt_handle"))
+    return parse_notifications(named)
+
+
 def process_bodies(spark: SparkSession, bodies: Sequence[str]) -> DataFrame:
-    """Hand-fed message bodies, as message ``manual-input``."""
-    rows = [("manual-input", body, "manual") for body in bodies]
-    return parse_notifications(spark.createDataFrame(rows, "message_id string, body string, receipt_handle string"))
+    return manual_messages(spark.createDataFrame([(b,) for b in bodies], "body string"))
