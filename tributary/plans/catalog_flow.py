@@ -316,7 +316,7 @@ REJECTED = """SELECT *, COALESCE(events - too_new_start, 0) + COALESCE(too_old_e
 
 def _batches(t):
     b, eid = F.col("batch_id"), F.col("eid")
-    rows = t.listing.select("object_key", "eid", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).cast("bigint").alias("batch_id"))
+    rows = t.listing.select("object_key", "eid", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))).alias("batch_id"))
     return rows.select(
         "object_key", "batch_id", (eid % 5 + 10).alias("events"),
         F.when((eid + b) % 5 == 0, 7).cast("bigint").alias("too_new_start"),
