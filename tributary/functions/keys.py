@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tributary.constants import DEFAULT_ENVIRONMENT, DEFAULT_PREFIX, ENVIRONMENTS
 
 BLANK = r"^\s*$"
+# Four segments with a visible character, each closed by a slash.
+ROUTABLE = r"^(?:[^\S/]*+[^\s/][^/]*+/){4}"
 DIMENSIONS = ("cluster_id", "namespace", "application", "pod_name")
 
 
@@ -15,6 +17,11 @@ def segments(key: Column) -> Column:
     return F.split(key, "/", -1)
 
 
+def is_routable(key: Column) -> Column:
+    """One pattern instead of a test per segment: key filters sit close to the scan."""
+    return F.coalesce(key.rlike(ROUTABLE), F.lit(False))
+
+
 def key_problem(key: Column) -> Column:
     """Why a key cannot be routed, NULL for a good key."""
     parts = segments(key)

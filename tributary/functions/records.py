@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 from tributary.constants import METADATA_FIELDS
 
-# What one JSON value looks like from outside.
-CLOSED_OBJECT = r"^\s*\{[\s\S]*\}\s*$"
-CLOSED_ARRAY = r"^\s*\[[\s\S]*\]\s*$"
-SCALAR = r'^\s*("([^"\\]|\\.)*"|-?\d[-+.\deE]*|true|false|null)\s*$'
+WHITESPACE = " \t\r\n"
+SCALAR = r'^("([^"\\]|\\.)*"|-?\d[-+.\deE]*|true|false|null)$'
+
+
+def trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITESPACE))
+
+
+def encloses(text: Column, opening: str, closing: str) -> Column:
+    return text.startswith(opening) & text.endswith(closing)
 
 
 def sole_value(text: Column) -> Column:
@@ -25,13 +31,14 @@ def sole_value(text: Column) -> Column:
 
 
 def parse_json_text(text: Column) -> Column:
-    closed = text.rlike(CLOSED_OBJECT) | text.rlike(CLOSED_ARRAY) | text.rlike(SCALAR)
-    return F.when(closed, sole_value(text))
+    """Variant of a trimmed text; its ends must look like one JSON value before it is parsed."""
+    closed = encloses(text, "{", "}") | encloses(text, "[", "]")
+    return F.when(closed, sole_value(text)).when(text.rlike(SCALAR), F.try_parse_json(text))
 
 
 def json_object(text: Column) -> Column:
     """Variant of a text that is one JSON object; the cheap test comes before the parse."""
-    return F.when(text.startswith("{") & text.rlike(r"\}\s*$"), sole_value(text))
+    return F.when(text.startswith("{") & F.rtrim(text, F.lit(WHITESPACE)).endswith("}"), sole_value(text))
 
 
 def is_object(value: Column) -> Column:
@@ -39,8 +46,8 @@ def is_object(value: Column) -> Column:
 
 
 def elements(text: Column, parsed: Column) -> Column:
-    """Records of one parsed text: the items of an array, else the value itself."""
-    return F.when(text.rlike(r"^\s*\["), parsed.cast("array<variant>")).otherwise(F.array(parsed))
+    """Records of one parsed, trimmed text: the items of an array, else the value itself."""
+    return F.when(text.startswith("["), parsed.cast("array<variant>")).otherwise(F.array(parsed))
 
 
 def json_text(value: Column) -> Column:
@@ -61,9 +68,3 @@ def message_text(value: Column) -> Column:
 def without_metadata(record: Column) -> Column:
     fields = record.cast("map<string,variant>")
     return F.map_filter(fields, lambda k, _: ~k.isin(*METADATA_FIELDS))
-
-
-def record_message(record: Column) -> Column:
-    """The record's message, or the record without the collector's own fields."""
-    message = F.try_variant_get(record, "$.message", "variant")
-    return F.when(message.isNotNull(), message_text(message)).otherwise(json_text(without_metadata(record)))

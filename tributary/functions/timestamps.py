@@ -12,12 +12,11 @@ from tributary.constants import EPOCH_MS_BOUNDARY
 
 # Fixed patterns of the log formats.
 RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:\d{2})$"
-ISO_ZONED = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
-ISO_BARE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?$"
+ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?$"
 ISO_START = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{3,6})?Z?)"
 TIME_FIELD = r'time="([^"]+)"'
-KLOG_START = r"^[IWEF](\d{2})(\d{2})\s+(\d{2}:\d{2}:\d{2})\.(\d{3})\d{3}"
-GO_START = r"^(\d{4})/(\d{2})/(\d{2})\s+(\d{2}:\d{2}:\d{2})"
+KLOG_LINE = r"(?s)^[IWEF](\d{2})(\d{2})\s+(\d{2}:\d{2}:\d{2})\.(\d{3})\d{3}.*$"
+GO_LINE = r"(?s)^(\d{4})/(\d{2})/(\d{2})\s+(\d{2}:\d{2}:\d{2}).*$"
 JSON_TIME_KEYS = ("ts", "time", "stageTimestamp", "requestReceivedTimestamp")
 
 # Seconds of years 0001 to 9999, the range a timestamp column holds.
@@ -41,10 +40,9 @@ def rfc3339_time(text: Column) -> Column:
 
 def iso_time(text: Column, assume_utc: bool = True) -> Column:
     """Collector reading of an ISO time; a missing zone is UTC, or unreadable if ``assume_utc`` is off."""
-    zoned = F.when(text.rlike(ISO_ZONED), text)
-    if assume_utc:
-        zoned = zoned.when(text.rlike(ISO_BARE), F.concat(text, F.lit("Z")))
-    return zoned.try_cast("timestamp")
+    has_zone = text.endswith("Z") | F.substring(text, -6, 1).isin("+", "-")
+    bare = F.concat(text, F.lit("Z")) if assume_utc else F.lit(None).cast("string")
+    return F.when(text.rlike(ISO), F.when(has_zone, text).otherwise(bare)).try_cast("timestamp")
 
 
 def variant_kind(value: Column) -> Column:
@@ -87,22 +85,23 @@ def _epoch_time(number: Column) -> Column:
     return F.timestamp_seconds(F.when(inside, seconds).try_cast("bigint"))
 
 
-def json_event_time(parsed: Column, prior: Column, assume_utc: bool = True) -> Column:
-    """Event time inside a parsed JSON object. The first key that exists decides alone."""
-    keys = {k: F.try_variant_get(parsed, f"$.{k}", "variant") for k in JSON_TIME_KEYS}
-    ts = keys["ts"]
-    kind = variant_kind(ts)
-    text = F.try_variant_get(ts, "$", "string")
-    from_ts = (
-        F.when(kind == "STRING", F.coalesce(iso_time(text, assume_utc), _epoch_time(text.try_cast("double"))))
-        .when(is_number(kind), _epoch_time(F.try_variant_get(ts, "$", "double")))
-    )
-    found = F.when(ts.isNotNull(), from_ts)
-    for key in JSON_TIME_KEYS[1:]:
-        value = keys[key]
-        is_text = variant_kind(value) == "STRING"
-        found = found.when(value.isNotNull(), F.when(is_text, iso_time(F.try_variant_get(value, "$", "string"), assume_utc)))
-    return F.when(parsed.isNull(), prior).otherwise(F.coalesce(found, prior))
+def json_time_value(parsed: Column) -> tuple[Column, Column]:
+    """Value of the first time key that exists in a parsed object, and whether that key is ``ts``.
+
+    A JSON null exists: it is a variant null, not a SQL NULL.
+    """
+    found = [F.try_variant_get(parsed, f"$.{key}", "variant") for key in JSON_TIME_KEYS]
+    return F.coalesce(*found), found[0].isNotNull()
+
+
+def json_event_time(value: Column, is_ts: Column, assume_utc: bool = True) -> Column:
+    """Event time of a time value: ISO text under any key, epoch numbers (also as text) under ``ts`` only."""
+    kind = variant_kind(value)
+    text = F.try_variant_get(value, "$", "string")
+    iso = iso_time(text, assume_utc)
+    return F.when(
+        kind == "STRING", F.when(is_ts, F.coalesce(iso, _epoch_time(text.try_cast("double")))).otherwise(iso)
+    ).when(is_ts & is_number(kind), _epoch_time(F.try_variant_get(value, "$", "double")))
 
 
 def text_event_time(message: Column, prior: Column, as_of, assume_utc: bool = True) -> Column:
@@ -110,20 +109,14 @@ def text_event_time(message: Column, prior: Column, as_of, assume_utc: bool = Tr
 
     A leading ISO time decides alone. Otherwise a leading klog time, or where the line is no klog
     line a leading Go time, wins over ``time="..."``; each falls back to the next when unreadable.
+    The first characters choose the pattern, so most lines meet one regular expression at most.
     """
+    fifth = F.substring(message, 5, 1)
     iso = F.regexp_extract(message, ISO_START, 1)
-    klog_month = F.regexp_extract(message, KLOG_START, 1)
-    go_year = F.regexp_extract(message, GO_START, 1)
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(message, pattern, group)
-
-    dash, tee, zulu = F.lit("-"), F.lit("T"), F.lit("Z")
-    klog_text = F.concat(
-        F.lpad(year_of(as_of).cast("string"), 4, "0"), dash, klog_month, dash, part(KLOG_START, 2), tee,
-        part(KLOG_START, 3), F.lit("."), part(KLOG_START, 4), zulu,
-    )
-    go_text = F.concat(go_year, dash, part(GO_START, 2), dash, part(GO_START, 3), tee, part(GO_START, 4), zulu)
-    leading = F.when(klog_month != "", klog_text).when(go_year != "", go_text).try_cast("timestamp")
-    field = F.when(message.contains('time="'), iso_time(part(TIME_FIELD, 1), assume_utc))
-    return F.when(iso != "", F.coalesce(iso_time(iso, assume_utc), prior)).otherwise(F.coalesce(leading, field, prior))
+    klog_form = F.concat(F.lpad(year_of(as_of).cast("string"), 4, "0"), F.lit("-$1-$2T$3.$4Z"))
+    klog = F.when(message.rlike(KLOG_LINE), F.regexp_replace(message, F.lit(KLOG_LINE), klog_form))
+    go = F.when(message.rlike(GO_LINE), F.regexp_replace(message, GO_LINE, "$1-$2-$3T$4Z"))
+    leading = F.when(F.substring(message, 1, 1).isin("I", "W", "E", "F"), klog).when(fifth == "/", go).try_cast("timestamp")
+    field = F.when(message.contains('time="'), iso_time(F.regexp_extract(message, TIME_FIELD, 1), assume_utc))
+    other = F.coalesce(leading, field, prior)
+    return F.when((fifth == "-") & (iso != ""), F.coalesce(iso_time(iso, assume_utc), prior)).otherwise(other)

@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.constants import DELIVERY_TYPES
-from tributary.functions.records import elements, is_object, parse_json_text, record_message
+from tributary.functions.records import (
+    elements,
+    is_object,
+    json_text,
+    message_text,
+    parse_json_text,
+    trimmed,
+    without_metadata,
+)
 from tributary.functions.rules import NON_BLANK, event_size
 from tributary.functions.timestamps import delivery_ts_ms, effective_ts_ms
 from tributary.operators.ordering import row_rank
@@ -20,28 +28,45 @@ def drop_blank(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """One row per record; a line that is no JSON keeps one row with ``parse_error``.
+    """One row per record: item_no, record (variant), is_object and parse_error.
 
-    Adds item_no, record (variant) and parse_error. Array items become records of their own; an
-    empty array leaves one row without a record so that the line still counts as read.
+    A line that is no JSON keeps one row with ``parse_error``. Array items become records of their
+    own; an empty array leaves one row without a record so that the line still counts as read.
     """
-    parsed = drop_blank(lines, line).withColumn("_v", parse_json_text(F.col(line)))
+    text = drop_blank(lines, line).withColumn("_text", trimmed(F.col(line)))
+    parsed = text.withColumn("_v", parse_json_text(F.col("_text")))
     exploded = parsed.select(
         *lines.columns,
+        F.substring("_text", 1, 1).alias("_first"),
         F.col("_v").isNull().alias("parse_error"),
-        F.posexplode_outer(F.when(F.col("_v").isNotNull(), elements(F.col(line), F.col("_v")))).alias("item_no", "record"),
+        F.posexplode_outer(elements(F.col("_text"), F.col("_v"))).alias("item_no", "record"),
+    )
+    # Only array items need a look at their type; a single value shows it in its first character.
+    # Both tests read the exploded record, so a filter on the result never pulls the parse below it.
+    shape = F.when(F.col("_first") == "[", is_object(F.col("record"))).otherwise(
+        (F.col("_first") == "{") & F.col("record").isNotNull()
+    )
+    return exploded.select(
+        *lines.columns,
+        "parse_error",
+        F.coalesce("item_no", F.lit(0)).alias("item_no"),
+        "record",
+        shape.alias("is_object"),
     )
-    return exploded.withColumn("item_no", F.coalesce("item_no", F.lit(0)))
 
 
 def to_log_events(records: DataFrame, as_of) -> DataFrame:
     """Records -> (object_key, line_no, item_no, event_ts_ms, message); non-objects are dropped."""
-    record = F.col("record")
-    stamp = F.try_variant_get(record, "$.timestamp", "variant")
-    return records.filter(is_object(record)).select(
+    fields = records.filter("is_object").select(
         *PLACE,
-        delivery_ts_ms(stamp, as_of).alias("event_ts_ms"),
-        record_message(record).alias("message"),
+        "record",
+        F.try_variant_get("record", "$.timestamp", "variant").alias("_ts"),
+        F.try_variant_get("record", "$.message", "variant").alias("_message"),
+    )
+    whole = json_text(without_metadata(F.col("record")))
+    message = F.when(F.col("_message").isNotNull(), message_text(F.col("_message"))).otherwise(whole)
+    return fields.select(
+        *PLACE, delivery_ts_ms(F.col("_ts"), as_of).alias("event_ts_ms"), message.alias("message")
     )
 
 
@@ -51,7 +76,7 @@ def parse_stats(records: DataFrame) -> DataFrame:
     return records.groupBy("object_key").agg(
         F.count_if(first_item & ~F.col("parse_error")).alias("lines_ok"),
         F.count_if(F.col("parse_error")).alias("lines_error"),
-        F.count_if(is_object(F.col("record"))).alias("events"),
+        F.count_if("is_object").alias("events"),
     )
 
 
@@ -69,11 +94,23 @@ def parse_whole_objects(spark: SparkSession, path: str, keys: DataFrame) -> Data
     return parse_lines(files, "content").drop("content")
 
 
-def object_events(spark: SparkSession, path: str, lines: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
+def whole_from_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """(object_key, line_no, content): the lines of the named objects put together again.
+
+    Used where the lines are at hand already. One row per object, as one JSON value must be.
+    """
+    wanted = lines.join(keys, "object_key", "left_semi")
+    pieces = F.sort_array(F.collect_list(F.struct("line_no", "line")))
+    joined = F.array_join(F.transform(pieces, lambda p: p["line"]), "\n")
+    return wanted.groupBy("object_key").agg(F.lit(0).cast("bigint").alias("line_no"), joined.alias("content"))
+
+
+def object_events(lines: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
     """Events of all objects with the whole-file fallback, and the objects that could not be read."""
     records = parse_lines(lines)
-    again = parse_whole_objects(spark, path, fallback_keys(parse_stats(records)))
-    events = to_log_events(records.drop("line"), as_of).unionByName(to_log_events(again, as_of))
+    whole = whole_from_lines(lines, fallback_keys(parse_stats(records)))
+    again = parse_lines(whole, "content").drop("content")
+    events = to_log_events(records, as_of).unionByName(to_log_events(again, as_of))
     failed = again.filter("parse_error").select("object_key", F.lit("recoverable").alias("error_class"))
     return events, failed
 

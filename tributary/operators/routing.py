@@ -11,8 +11,8 @@ from tributary.functions.rules import application_enabled
 
 def split_valid_keys(df: DataFrame, key: str = "object_key") -> tuple[DataFrame, DataFrame]:
     """Rows whose key can be routed, and the rest with a reason."""
-    judged = df.withColumn("reason", K.key_problem(F.col(key)))
-    return judged.filter("reason is null").drop("reason"), judged.filter("reason is not null")
+    good = K.is_routable(F.col(key))
+    return df.filter(good), df.filter(~good).withColumn("reason", K.key_problem(F.col(key)))
 
 
 def extract_tenant_info(df: DataFrame, key: str = "object_key") -> DataFrame:

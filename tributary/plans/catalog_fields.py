@@ -83,7 +83,7 @@ def _(t):
     ),
 )
 def _(t):
-    return t.records.select("object_key", "line_no", "item_no", "parse_error", JR.is_object(F.col("record")).alias("is_object"))
+    return t.records.select("object_key", "line_no", "item_no", "parse_error", "is_object")
 
 
 @query("c9_log_events", oracle("SELECT object_key, line_no, item_no, event_ts_ms, message FROM ev", "ev"))

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.sources.objects import spread
+
 AS_OF_MS = 1_706_659_200_000  # 2024-01-31T00:00:00Z
 BUCKET = "central-logs"
 
@@ -35,7 +37,7 @@ def epoch(unit: str) -> Column:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pod log line per event, in nine message formats, with the object it is stored in."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     eid, uid = F.col("event_id"), F.col("user_id")
     ev = ev.withColumns(
         {

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.keys import unescape_key
-from tributary.functions.records import json_object
+from tributary.functions.records import json_object, trimmed
 from tributary.functions.timestamps import rfc3339_time
 from tributary.schemas import NOTIFICATION
 
@@ -22,10 +22,6 @@ def _text_member(parsed: Column, *spellings: str) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def _trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+", "")
-
-
 def _number(meta: Column, name: str) -> Column:
     """Whole number of a metadata field: absent or null is 0, any other type is NULL."""
     value = F.try_variant_get(meta, f"$.{name}", "variant")
@@ -41,7 +37,7 @@ def with_processing_metadata(msgs: DataFrame, body: str = "body") -> DataFrame:
 
     No metadata gives zeros; metadata of the wrong shape is an error worth a retry.
     """
-    parsed = msgs.withColumn("_body", json_object(_trimmed(F.col(body)))).withColumn(
+    parsed = msgs.withColumn("_body", json_object(trimmed(F.col(body)))).withColumn(
         "_meta", F.try_variant_get("_body", "$.processing_metadata", "variant")
     )
     kind = F.schema_of_variant(F.col("_meta"))
@@ -66,9 +62,9 @@ def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
     A broken envelope, notification or key escape condemns the whole message (one row, no key).
     Missing records leave one row with neither key nor error: the message succeeded with no work.
     """
-    enveloped = with_processing_metadata(msgs, body).withColumn("_envelope", json_object(_trimmed(F.col(body))))
+    enveloped = with_processing_metadata(msgs, body).withColumn("_envelope", json_object(trimmed(F.col(body))))
     inner = enveloped.withColumn("_text", _text_member(F.col("_envelope"), "Message", "message")).withColumn(
-        "_inner", json_object(_trimmed(F.col("_text")))
+        "_inner", json_object(trimmed(F.col("_text")))
     )
     listed = inner.withColumn("_records", F.from_json(F.to_json("_inner"), NOTIFICATION, {"mode": "PERMISSIVE"})["Records"])
     keys = F.transform("_records", lambda r: F.coalesce(r["s3"]["object"]["key"], F.lit("")))
@@ -79,22 +75,41 @@ def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
         .when(F.col("metadata_error"), F.lit("invalid_metadata"))
         .when(bad_escape, F.lit("invalid_escape"))
     )
-    coded = listed.withColumn("error_code", code).withColumn(
-        "_records", F.when(F.col("error_code").isNull(), F.col("_records"))
+    # All outcomes become items of one array. What comes out of the explode cannot be pushed below
+    # it, so a later filter on the error or the key never repeats the parse.
+    def row(idx: Column, bucket: Column, key: Column, problem: Column) -> Column:
+        return F.struct(
+            idx.cast("int").alias("record_idx"), bucket.alias("bucket"), key.alias("object_key"), problem.alias("error_code")
+        )
+
+    none = F.lit(None).cast("string")
+    found = F.transform(
+        "_records",
+        lambda r, i: row(
+            i,
+            F.coalesce(r["s3"]["bucket"]["name"], F.lit("")),
+            unescape_key(F.coalesce(r["s3"]["object"]["key"], F.lit(""))),
+            none,
+        ),
+    )
+    items = (
+        F.when(F.col("_code").isNotNull(), F.array(row(F.lit(None), none, none, F.col("_code"))))
+        .when(F.size("_records") > 0, found)
+        .otherwise(F.array(row(F.lit(None), none, none, none)))
     )
-    rows = coded.select("*", F.posexplode_outer("_records").alias("record_idx", "_r"))
-    key = unescape_key(F.coalesce(F.col("_r.s3.object.key"), F.lit("")))
+    rows = listed.withColumn("_code", code).select("*", F.explode_outer(items).alias("_r"))
+    carried = [c for c in msgs.columns if c != body]
     return rows.select(
-        *[c for c in msgs.columns if c != body],
+        *carried,
         "offset",
         "retry_count",
-        "record_idx",
-        F.when(F.col("_r").isNotNull(), F.coalesce(F.col("_r.s3.bucket.name"), F.lit(""))).alias("bucket"),
-        F.when(F.col("record_idx").isNotNull(), key).alias("object_key"),
-        F.when(F.col("error_code") == "invalid_metadata", RECOVERABLE)
-        .when(F.col("error_code").isNotNull(), NON_RECOVERABLE)
+        "_r.record_idx",
+        "_r.bucket",
+        "_r.object_key",
+        F.when(F.col("_r.error_code") == "invalid_metadata", RECOVERABLE)
+        .when(F.col("_r.error_code").isNotNull(), NON_RECOVERABLE)
         .alias("error_class"),
-        "error_code",
+        "_r.error_code",
     )
 
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 SCAN_SUFFIX = ".json.gz"
 NOTIFY_SUFFIX = ".gz"
 
@@ -14,7 +21,17 @@ def lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path, lineSep="\n").withColumnRenamed("value", "message")
 
 
-def _key_below(root: str) -> Column:
+def spread(df: DataFrame) -> DataFrame:
+    """Redistributes rows when the scan has fewer partitions than cores.
+
+    A gzip object is read by one task. Where a few large ones feed an expensive parse, moving the
+    raw rows is cheaper than leaving cores idle. A scan of many objects is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def key_below(root: str) -> Column:
     """Object key of the current file: its path below the root folder, percent-decoded."""
     path = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     base = root.rstrip("/") + "/"
@@ -31,19 +48,36 @@ def read_log_objects(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = spark.read.option("recursiveFileLookup", "true").text(path, lineSep="\n")
     return raw.select(
-        _key_below(path).alias("object_key"),
+        key_below(path).alias("object_key"),
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").alias("line"),
     )
 
 
+def _read_whole(root: str):
+    """Contents of the named objects, opened one by one on the executor."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for frame in frames:
+            for key in frame["object_key"]:
+                packing = "gzip" if key.endswith(".gz") else None
+                with store.open_input_stream(f"{base}/{key}", compression=packing) as reader:
+                    content = reader.read().decode("utf-8", "replace")
+                yield pd.DataFrame({"object_key": [key], "content": [content]})
+
+    return run
+
+
 def read_whole_objects(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:
-    """(object_key, content), one row per file; optionally only the listed keys."""
+    """(object_key, content), one row per file; with ``keys`` only those files are opened."""
+    if keys is not None:
+        wanted = keys.select("object_key").distinct()
+        return wanted.mapInPandas(_read_whole(path), "object_key string, content string")
     raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    files = raw.select(_key_below(path).alias("object_key"), F.col("value").alias("content"))
-    if keys is None:
-        return files
-    return files.join(keys.select("object_key").distinct(), "object_key", "left_semi")
+    return raw.select(key_below(path).alias("object_key"), F.col("value").alias("content"))
 
 
 def list_objects(spark: SparkSession, path: str, bucket: str) -> DataFrame:
@@ -51,7 +85,7 @@ def list_objects(spark: SparkSession, path: str, bucket: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(
         F.lit(bucket).alias("bucket"),
-        _key_below(path).alias("object_key"),
+        key_below(path).alias("object_key"),
         F.col("length").alias("size_bytes"),
         F.unix_millis("modificationTime").alias("modified_ms"),
     )
