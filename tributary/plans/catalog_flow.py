@@ -308,7 +308,7 @@ def _(t):
 
 
 # Three batches per object with made-up rejection indexes and call failures.
-BATCHES = """SELECT object_key, b AS batch_id, 10 + eid % 5 AS events, CASE WHEN (eid + b) % 5 = 0 THEN 7 END AS too_new_start,
+BATCHES = """SELECT object_key, b::BIGINT AS batch_id, 10 + eid % 5 AS events, CASE WHEN (eid + b) % 5 = 0 THEN 7 END AS too_new_start,
     CASE WHEN (eid + b) % 4 = 0 THEN 1 END AS too_old_end, CASE WHEN (eid + b) % 9 = 0 THEN 3 END AS expired_end, (eid + b) % 13 = 0 AS failed
     FROM listing, (SELECT unnest([0, 1, 2]) AS b)"""
 REJECTED = """SELECT *, COALESCE(events - too_new_start, 0) + COALESCE(too_old_end + 1, 0) + COALESCE(expired_end + 1, 0) AS rejected FROM batches"""

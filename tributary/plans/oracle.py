@@ -87,7 +87,7 @@ CTES = {
         CASE WHEN type = 'cloudwatch' THEN CASE WHEN k % 23 = 5 THEN '  ' ELSE '/aws/logs/tenant-' || k END END AS log_group_name,
         CASE WHEN type = 's3' THEN CASE WHEN k % 29 = 6 THEN NULL WHEN k % 31 = 7 THEN 'bad_bucket$' ELSE 'tenant-' || k || '-logs' END END AS bucket_name,
         CASE WHEN type = 's3' THEN CASE k % 4 WHEN 1 THEN '' WHEN 2 THEN 'custom/path' WHEN 3 THEN 'logs/' END END AS bucket_prefix,
-        CASE k % 11 WHEN 5 THEN 1706000000 WHEN 6 THEN 1800000000 END AS ttl,
+        (CASE k % 11 WHEN 5 THEN 1706000000 WHEN 6 THEN 1800000000 END)::BIGINT AS ttl,
         (k + 1700000000) * 1000 AS created_ms
         FROM cfg0 WHERE NOT (k % 12 = 3 AND type = 's3') AND NOT (k % 12 = 4 AND type = 'cloudwatch')""",
     "live": """SELECT *, CASE type WHEN 'cloudwatch' THEN trim(COALESCE(log_distribution_role_arn, '')) = '' OR trim(COALESCE(log_group_name, '')) = ''
