@@ -72,7 +72,7 @@ def pack_deliveries(
 ) -> DataFrame:
     """Chronological order and batch numbers per delivery."""
     order = ["event_ts_ms", *[c for c in PLACE if c not in DELIVERY]]
-    return pack_batches(deliveries, DELIVERY, order, max_events=max_events, max_bytes=max_bytes, chunks=chunks)
+    return pack_batches(deliveries, DELIVERY, order, max_events=max_events, max_bytes=max_bytes, chunks=chunks, costly=True)
 
 
 def delivery_batches(packed: DataFrame, keys: Sequence[str] = tuple(DELIVERY)) -> DataFrame:

@@ -17,17 +17,23 @@ from tributary.session import ensure_checkpoint_dir
 CHUNK = "_chunk"
 
 
-def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None) -> DataFrame:
+def range_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None, costly: bool = False
+) -> DataFrame:
     """Rows sorted by keys and order, cut into numbered chunks.
 
     The range bounds come from a sample, so two runs of the same plan may cut differently. The
     checkpoint pins chunk numbers and survives a lost executor. ``order`` must be unique per key.
+
+    Sampling runs the input once more. For ``costly`` input (parsed, joined) one hash shuffle comes
+    first: its files serve the sample and the real run, and the unique order spreads rows evenly.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(n, *keys, *order) if costly else df
     return (
-        df.repartitionByRange(n, *keys, *order)
+        rows.repartitionByRange(n, *keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
         .checkpoint()
@@ -50,9 +56,10 @@ def running_total(
     out: str,
     inclusive: bool = True,
     chunks: int | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """Running sum of a bigint expression per key, exact for keys of any size."""
-    pinned = range_chunks(df.withColumn("_v", value.cast("bigint")), keys, order, chunks)
+    pinned = range_chunks(df.withColumn("_v", value.cast("bigint")), keys, order, chunks, costly)
     to = Window.currentRow if inclusive else -1
     inside = Window.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, to)
     local = pinned.withColumn("_local", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
@@ -72,6 +79,8 @@ def running_total(
     return joined.select(*[local[c] for c in df.columns], result)
 
 
-def row_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, chunks: int | None = None) -> DataFrame:
+def row_rank(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, chunks: int | None = None, costly: bool = False
+) -> DataFrame:
     """1-based row number per key."""
-    return running_total(df, keys, order, F.lit(1), out, chunks=chunks)
+    return running_total(df, keys, order, F.lit(1), out, chunks=chunks, costly=costly)

@@ -212,10 +212,11 @@ def pack_batches(
     max_events: int = MAX_BATCH_EVENTS,
     max_bytes: int = MAX_BATCH_BYTES,
     chunks: int | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """Adds ``seq`` (1-based position) and ``batch_id`` (0-based) per key."""
     measured = df.withColumn(SIZE, (event_size(F.col(message)) if size is None else size).cast("bigint"))
-    pinned = range_chunks(measured, keys, order, chunks)
+    pinned = range_chunks(measured, keys, order, chunks, costly)
 
     key_fields = [df.schema[k] for k in keys]
     long_list = T.ArrayType(T.LongType())
@@ -251,10 +252,10 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 
 def pack_by_count(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, chunks: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, chunks: int | None = None, costly: bool = False
 ) -> DataFrame:
     """Batches of n events; the position alone decides, so this stays in the JVM."""
-    ranked = row_rank(df, keys, order, "seq", chunks)
+    ranked = row_rank(df, keys, order, "seq", chunks, costly)
     return ranked.withColumn("batch_id", F.floor((F.col("seq") - 1) / n).cast("bigint"))
 
 

@@ -105,9 +105,13 @@ def whole_from_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
     return wanted.groupBy("object_key").agg(F.lit(0).cast("bigint").alias("line_no"), joined.alias("content"))
 
 
-def object_events(lines: DataFrame, as_of) -> tuple[DataFrame, DataFrame]:
-    """Events of all objects with the whole-file fallback, and the objects that could not be read."""
-    records = parse_lines(lines)
+def object_events(lines: DataFrame, as_of, records: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Events of all objects with the whole-file fallback, and the objects that could not be read.
+
+    The records are read more than once; a caller that has them written or checkpointed passes them.
+    """
+    if records is None:
+        records = parse_lines(lines)
     whole = whole_from_lines(lines, fallback_keys(parse_stats(records)))
     again = parse_lines(whole, "content").drop("content")
     events = to_log_events(records, as_of).unionByName(to_log_events(again, as_of))
@@ -128,13 +132,13 @@ def skip_processed(events: DataFrame, offsets: DataFrame, chunks: int | None = N
     positive = offsets.filter("offset > 0").groupBy("object_key").agg(F.max("offset").alias("offset"))
     tagged = events.join(positive, "object_key", "left")
     untouched = tagged.filter("offset is null").select(*events.columns)
-    numbered = row_rank(tagged.filter("offset is not null"), ["object_key"], ["line_no", "item_no"], "_rank", chunks)
+    numbered = row_rank(tagged.filter("offset is not null"), ["object_key"], ["line_no", "item_no"], "_rank", chunks, costly=True)
     return untouched.unionByName(numbered.filter("_rank > offset").select(*events.columns))
 
 
 def order_events(events: DataFrame, keys, chunks: int | None = None) -> DataFrame:
     """Adds ``seq``: chronological position per destination; ties follow the file position."""
-    return row_rank(events, keys, ["event_ts_ms", *PLACE], "seq", chunks)
+    return row_rank(events, keys, ["event_ts_ms", *PLACE], "seq", chunks, costly=True)
 
 
 def known_types(df: DataFrame, kind: str = "type") -> DataFrame:

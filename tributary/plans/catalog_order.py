@@ -95,7 +95,7 @@ def _(t):
 )
 def _(t):
     deliveries = D.events_to_deliver(t.events, t.routed)
-    packed = PK.pack_by_count(deliveries, D.DELIVERY, ["event_ts_ms", "line_no", "item_no"], 3)
+    packed = PK.pack_by_count(deliveries, D.DELIVERY, ["event_ts_ms", "line_no", "item_no"], 3, costly=True)
     return packed.select("tenant_id", "object_key", "line_no", "item_no", "batch_id")
 
 

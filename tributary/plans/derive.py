@@ -31,73 +31,56 @@ def text(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def epoch(unit: str) -> Column:
-    return F.expr(f"timestampdiff({unit}, timestamp_ntz'1970-01-01 00:00:00', ts)")
+# Milliseconds and seconds since 1970 of a zone-less time, whatever the session zone is.
+EPOCH_MS = "timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
+EPOCH_S = "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
+
+MESSAGE = """CASE
+    WHEN event_id % 53 = 0 THEN concat('plain message ', event_id)
+    WHEN event_id % 59 = 0 THEN concat('{"ts": "oops ', event_id)
+    WHEN event_id % 8 = 0 THEN concat('{"ts":"', iso, 'Z","level":"info","msg":"m', event_id, '"}')
+    WHEN event_id % 8 = 1 THEN concat('{"ts":', ts_s, ',"level":"info"}')
+    WHEN event_id % 8 = 2 THEN concat('{"ts":', ts_ms, ',"level":"warn"}')
+    WHEN event_id % 8 = 3 THEN concat('{"time":"', iso, 'Z","message":"m', event_id, '"}')
+    WHEN event_id % 8 = 4 THEN concat(iso, 'Z direct ', event_id)
+    WHEN event_id % 8 = 5 THEN concat('time="', iso, 'Z" level=info msg="m', event_id, '"')
+    WHEN event_id % 8 = 6 THEN concat('I', date_format(ts, 'MMdd HH:mm:ss.SSSSSS'), ' 1 controller.go:231] m', event_id)
+    ELSE concat(date_format(ts, 'yyyy/MM/dd HH:mm:ss'), ' m', event_id) END"""
+CLUSTER = "concat(elt(user_id % 4 + 1, 'prod', 'stg', 'dev', 'lab'), '-mc-', user_id % 3)"
+APPLICATION = """CASE event_type WHEN 'signup' THEN 'oauth-server' WHEN 'purchase' THEN 'kube-apiserver'
+    WHEN 'error' THEN 'kube-scheduler' WHEN 'click' THEN 'openshift-apiserver' ELSE 'kube-controller-manager' END"""
+FILE_NAME = "concat(date_format(ts, 'yyyyMM'), '-', event_id % 2, if(event_id % 103 = 0, '.json', '.json.gz'))"
 
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pod log line per event, in nine message formats, with the object it is stored in."""
     ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
-    eid, uid = F.col("event_id"), F.col("user_id")
-    ev = ev.withColumns(
-        {
-            "ts_ms": epoch("MILLISECOND"),
-            "ts_s": epoch("SECOND"),
-            "iso": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"),
-        }
-    )
-    ident = eid.cast("string")
-    iso = F.col("iso")
-    by_rest = cases(
-        eid % 8,
-        {
-            0: text('{"ts":"', iso, 'Z","level":"info","msg":"m', ident, '"}'),
-            1: text('{"ts":', F.col("ts_s").cast("string"), ',"level":"info"}'),
-            2: text('{"ts":', F.col("ts_ms").cast("string"), ',"level":"warn"}'),
-            3: text('{"time":"', iso, 'Z","message":"m', ident, '"}'),
-            4: text(iso, "Z direct ", ident),
-            5: text('time="', iso, 'Z" level=info msg="m', ident, '"'),
-            6: text("I", F.date_format("ts", "MMdd HH:mm:ss.SSSSSS"), " 1 controller.go:231] m", ident),
-        },
-        text(F.date_format("ts", "yyyy/MM/dd HH:mm:ss"), " m", ident),
-    )
-    message = (
-        F.when(eid % 53 == 0, text("plain message ", ident))
-        .when(eid % 59 == 0, text('{"ts": "oops ', ident))
-        .otherwise(by_rest)
-    )
-    cluster = text(cases(uid % 4, {0: "prod", 1: "stg", 2: "dev"}, "lab"), "-mc-", (uid % 3).cast("string"))
-    application = cases(
-        F.col("event_type"),
-        {
-            "signup": "oauth-server",
-            "purchase": "kube-apiserver",
-            "error": "kube-scheduler",
-            "click": "openshift-apiserver",
-        },
-        "kube-controller-manager",
-    )
-    named = ev.select(
+    timed = ev.selectExpr(
+        "*",
+        f"{EPOCH_MS} AS ts_ms",
+        f"{EPOCH_S} AS ts_s",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\") AS iso",
+        f"{CLUSTER} AS cluster_id",
+        "if(event_id % 101 = 0, '', concat('tenant-', user_id)) AS namespace",
+        f"{APPLICATION} AS application",
+    )
+    named = timed.selectExpr(
         "event_id",
         "user_id",
         "value",
         "ts_ms",
         "ts_s",
         "iso",
-        cluster.alias("cluster_id"),
-        F.when(eid % 101 == 0, "").otherwise(text("tenant-", uid.cast("string"))).alias("namespace"),
-        application.alias("application"),
-        text(application, "-", (uid % 5).cast("string")).alias("pod_name"),
-        text(
-            F.date_format("ts", "yyyyMM"), "-", (eid % 2).cast("string"), F.when(eid % 103 == 0, ".json").otherwise(".json.gz")
-        ).alias("file_name"),
-        (F.col("ts_ms") + 45_000).alias("ingest_ms"),
-        eid.alias("line_no"),
-        message.alias("message"),
-    )
-    return named.withColumn(
-        "object_key", F.concat_ws("/", "cluster_id", "namespace", "application", "pod_name", "file_name")
+        "cluster_id",
+        "namespace",
+        "application",
+        "concat(application, '-', user_id % 5) AS pod_name",
+        f"{FILE_NAME} AS file_name",
+        "ts_ms + 45000 AS ingest_ms",
+        "event_id AS line_no",
+        f"{MESSAGE} AS message",
     )
+    return named.selectExpr("*", "concat_ws('/', cluster_id, namespace, application, pod_name, file_name) AS object_key")
 
 
 def pod_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,45 +183,24 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tenant configs: up to two rows per customer, covering the good and the bad cases."""
-    k = F.col("c_custkey")
-    base = table(spark, sf_dir, "customer").select("c_custkey").withColumn(
-        "type", F.explode(F.array(F.lit("cloudwatch"), F.lit("s3")))
+    base = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "explode(array('cloudwatch', 's3')) AS type")
+    kept = base.filter(
+        "k % 12 <> 11 AND NOT (k % 12 = 3 AND type = 's3') AND NOT (k % 12 = 4 AND type = 'cloudwatch')"
     )
-    is_cw, is_s3 = F.col("type") == "cloudwatch", F.col("type") == "s3"
-    base = base.filter((k % 12 != 11) & ~((k % 12 == 3) & is_s3) & ~((k % 12 == 4) & is_cw))
-    name = k.cast("string")
-
-    def words(*items: str) -> Column:
-        return F.array(*[F.lit(i) for i in items]).cast("array<string>")
-
-    return base.select(
-        text("tenant-", name).alias("tenant_id"),
+    return kept.selectExpr(
+        "concat('tenant-', k) AS tenant_id",
         "type",
-        F.when(k % 10 == 1, None).otherwise(k % 10 != 2).alias("enabled"),
-        cases(
-            k % 7,
-            {
-                1: words(),
-                2: words(""),
-                3: words("kube-apiserver"),
-                4: words("Kube-APIServer"),
-                5: words("oauth-server", "kube-scheduler", "custom-app-1"),
-            },
-        ).alias("desired_logs"),
-        cases(k % 9, {0: words("api", "Authentication"), 1: words("nosuch", "SCHEDULER")}).alias("groups"),
-        F.when(k % 13 == 0, "bad region!").when(k % 5 == 0, None).when(k % 5 == 1, "").otherwise("us-east-1").alias("target_region"),
-        F.when(
-            is_cw,
-            F.when(k % 17 == 3, "arn:bad:role").when(k % 19 == 4, "").otherwise(
-                text("arn:aws:iam::", F.lpad(name, 12, "0"), ":role/LogDistributionRole")
-            ),
-        ).alias("log_distribution_role_arn"),
-        F.when(is_cw, F.when(k % 23 == 5, "  ").otherwise(text("/aws/logs/tenant-", name))).alias("log_group_name"),
-        F.when(is_s3, F.when(k % 29 == 6, None).when(k % 31 == 7, "bad_bucket$").otherwise(text("tenant-", name, "-logs"))).alias(
-            "bucket_name"
-        ),
-        F.when(is_s3, cases(k % 4, {1: "", 2: "custom/path", 3: "logs/"})).alias("bucket_prefix"),
-        cases(k % 11, {5: F.lit(1_706_000_000), 6: F.lit(1_800_000_000)}).cast("bigint").alias("ttl"),
-        F.timestamp_seconds(k + 1_700_000_000).alias("created_at"),
-        F.timestamp_seconds(k + 1_700_000_000).alias("updated_at"),
+        "CASE k % 10 WHEN 1 THEN NULL WHEN 2 THEN false ELSE true END AS enabled",
+        """CASE k % 7 WHEN 1 THEN cast(array() AS array<string>) WHEN 2 THEN array('') WHEN 3 THEN array('kube-apiserver')
+            WHEN 4 THEN array('Kube-APIServer') WHEN 5 THEN array('oauth-server', 'kube-scheduler', 'custom-app-1') END AS desired_logs""",
+        "CASE k % 9 WHEN 0 THEN array('api', 'Authentication') WHEN 1 THEN array('nosuch', 'SCHEDULER') END AS groups",
+        "CASE WHEN k % 13 = 0 THEN 'bad region!' WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN '' ELSE 'us-east-1' END AS target_region",
+        """CASE WHEN type <> 'cloudwatch' THEN NULL WHEN k % 17 = 3 THEN 'arn:bad:role' WHEN k % 19 = 4 THEN ''
+            ELSE concat('arn:aws:iam::', lpad(k, 12, '0'), ':role/LogDistributionRole') END AS log_distribution_role_arn""",
+        "CASE WHEN type <> 'cloudwatch' THEN NULL WHEN k % 23 = 5 THEN '  ' ELSE concat('/aws/logs/tenant-', k) END AS log_group_name",
+        """CASE WHEN type <> 's3' OR k % 29 = 6 THEN NULL WHEN k % 31 = 7 THEN 'bad_bucket$' ELSE concat('tenant-', k, '-logs') END AS bucket_name""",
+        "CASE WHEN type = 's3' THEN CASE k % 4 WHEN 1 THEN '' WHEN 2 THEN 'custom/path' WHEN 3 THEN 'logs/' END END AS bucket_prefix",
+        "CASE k % 11 WHEN 5 THEN 1706000000L WHEN 6 THEN 1800000000L END AS ttl",
+        "timestamp_seconds(k + 1700000000) AS created_at",
+        "timestamp_seconds(k + 1700000000) AS updated_at",
     )

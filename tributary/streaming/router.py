@@ -71,7 +71,10 @@ def route_lines(
     routable = C.routable_configs(configs, as_of)
     routed = RT.route(named, routable)
     streams = routed.filter("type = 'cloudwatch'").select("object_key").distinct()
-    events, failed = R.object_events(lines.join(streams, "object_key", "left_semi").drop("upload_ms"), as_of)
+    wanted = lines.join(streams, "object_key", "left_semi").drop("upload_ms")
+    # Statistics, fallback, range sampling and packing all read the records: parse once, pin the result.
+    ensure_checkpoint_dir(lines.sparkSession)
+    events, failed = R.object_events(wanted, as_of, R.parse_lines(wanted).drop("line").checkpoint())
     packed = D.pack_deliveries(D.events_to_deliver(events, routed), max_events, max_bytes, chunks)
     batches = D.delivery_batches(packed)
     stamp = F.timestamp_millis(as_of if not isinstance(as_of, int) else F.lit(as_of).cast("bigint"))
