@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.constants import METADATA_FIELDS
@@ -19,26 +19,34 @@ def encloses(text: Column, opening: str, closing: str) -> Column:
     return text.startswith(opening) & text.endswith(closing)
 
 
-def sole_value(text: Column) -> Column:
-    """Variant of a text that is exactly one JSON value.
+def _wrapped(text: Column) -> Column:
+    """Variant array around a text.
 
-    The parser ignores whatever follows the first value. Inside brackets trailing text breaks the
-    parse, and a second item shows that the text was a list of values.
+    The parser ignores whatever follows the first value of a text. Inside brackets trailing text
+    breaks the parse, and a second item shows that the text was a list of values.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    second = F.try_variant_get(wrapped, "$[1]", "variant")
-    return F.when(second.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
 
 
-def parse_json_text(text: Column) -> Column:
-    """Variant of a trimmed text; its ends must look like one JSON value before it is parsed."""
-    closed = encloses(text, "{", "}") | encloses(text, "[", "]")
-    return F.when(closed, sole_value(text)).when(text.rlike(SCALAR), F.try_parse_json(text))
+def wrapped_object(text: Column) -> Column:
+    """One-item variant array of a text that looks like one JSON object; the cheap test comes first."""
+    return F.when(text.startswith("{") & F.rtrim(text, F.lit(WHITESPACE)).endswith("}"), _wrapped(text))
 
 
-def json_object(text: Column) -> Column:
-    """Variant of a text that is one JSON object; the cheap test comes before the parse."""
-    return F.when(text.startswith("{") & F.rtrim(text, F.lit(WHITESPACE)).endswith("}"), sole_value(text))
+def wrapped_value(text: Column) -> Column:
+    """One-item variant array of a trimmed text whose ends look like one JSON value."""
+    closed = encloses(text, "{", "}") | encloses(text, "[", "]") | text.rlike(SCALAR)
+    return F.when(closed, _wrapped(text))
+
+
+def sole_item(wrapped: Column) -> Column:
+    """The value inside, NULL when the text held several."""
+    return F.when(F.try_variant_get(wrapped, "$[1]", "variant").isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+
+
+def with_json_object(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """Adds the variant of a text that is one JSON object, parsed once per row."""
+    return df.withColumn("_wrapped", wrapped_object(text)).withColumn(out, sole_item(F.col("_wrapped"))).drop("_wrapped")
 
 
 def is_object(value: Column) -> Column:

@@ -5,10 +5,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.constants import EPOCH_MS_BOUNDARY
+from tributary.functions.records import wrapped_object
 
 # Fixed patterns of the log formats.
 RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:\d{2})$"
@@ -38,11 +39,15 @@ def rfc3339_time(text: Column) -> Column:
     return F.when(text.rlike(RFC3339), F.replace(text, F.lit(","), F.lit("."))).try_cast("timestamp")
 
 
-def iso_time(text: Column, assume_utc: bool = True) -> Column:
-    """Collector reading of an ISO time; a missing zone is UTC, or unreadable if ``assume_utc`` is off."""
+def zoned(text: Column, assume_utc: bool = True) -> Column:
+    """ISO text with its zone; a missing zone is UTC, or NULL if ``assume_utc`` is off."""
     has_zone = text.endswith("Z") | F.substring(text, -6, 1).isin("+", "-")
-    bare = F.concat(text, F.lit("Z")) if assume_utc else F.lit(None).cast("string")
-    return F.when(text.rlike(ISO), F.when(has_zone, text).otherwise(bare)).try_cast("timestamp")
+    return F.when(has_zone, text).otherwise(F.concat(text, F.lit("Z")) if assume_utc else F.lit(None).cast("string"))
+
+
+def iso_time(text: Column, assume_utc: bool = True) -> Column:
+    """Collector reading of an ISO time."""
+    return F.when(text.rlike(ISO), zoned(text, assume_utc)).try_cast("timestamp")
 
 
 def variant_kind(value: Column) -> Column:
@@ -85,38 +90,52 @@ def _epoch_time(number: Column) -> Column:
     return F.timestamp_seconds(F.when(inside, seconds).try_cast("bigint"))
 
 
-def json_time_value(parsed: Column) -> tuple[Column, Column]:
-    """Value of the first time key that exists in a parsed object, and whether that key is ``ts``.
-
-    A JSON null exists: it is a variant null, not a SQL NULL.
-    """
-    found = [F.try_variant_get(parsed, f"$.{key}", "variant") for key in JSON_TIME_KEYS]
-    return F.coalesce(*found), found[0].isNotNull()
+# The next functions add columns step by step. An expression used twice inside a CASE is evaluated
+# twice, a column only once, and short expressions keep the generated code small enough to compile.
 
+def with_json_event_time(df: DataFrame, message: str, out: str, assume_utc: bool = True) -> DataFrame:
+    """Replaces ``out`` by the event time inside messages that are one JSON object.
 
-def json_event_time(value: Column, is_ts: Column, assume_utc: bool = True) -> Column:
-    """Event time of a time value: ISO text under any key, epoch numbers (also as text) under ``ts`` only."""
-    kind = variant_kind(value)
-    text = F.try_variant_get(value, "$", "string")
-    iso = iso_time(text, assume_utc)
-    return F.when(
-        kind == "STRING", F.when(is_ts, F.coalesce(iso, _epoch_time(text.try_cast("double")))).otherwise(iso)
-    ).when(is_ts & is_number(kind), _epoch_time(F.try_variant_get(value, "$", "double")))
+    The first time key that exists decides alone, a JSON null included. ISO text counts under every
+    key; epoch numbers, also written as text, count under ``ts`` only.
+    """
+    wrapped = F.col("_json")
+    found = [F.try_variant_get(wrapped, f"$[0].{key}", "variant") for key in JSON_TIME_KEYS]
+    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    kind, text = F.col("_kind"), F.col("_text")
+    epoch_text = F.col("_is_ts") & (is_number(kind) | ((kind == "STRING") & ~text.rlike(ISO)))
+    iso = iso_time(F.when(kind == "STRING", text), assume_utc)
+    return (
+        df.withColumn("_json", wrapped_object(F.col(message)))
+        .withColumns({"_time": F.when(alone, F.coalesce(*found)), "_is_ts": found[0].isNotNull()})
+        .withColumns({"_kind": variant_kind(F.col("_time")), "_text": F.try_variant_get("_time", "$", "string")})
+        .withColumn("_number", F.when(epoch_text, text).try_cast("double"))
+        .withColumn(out, F.coalesce(iso, _epoch_time(F.col("_number")), F.col(out)))
+        .drop("_json", "_time", "_is_ts", "_kind", "_text", "_number")
+    )
 
 
-def text_event_time(message: Column, prior: Column, as_of, assume_utc: bool = True) -> Column:
-    """Event time written in a plain-text line.
+def with_text_event_time(df: DataFrame, message: str, out: str, as_of, assume_utc: bool = True) -> DataFrame:
+    """Replaces ``out`` by the event time written in plain-text lines.
 
     A leading ISO time decides alone. Otherwise a leading klog time, or where the line is no klog
     line a leading Go time, wins over ``time="..."``; each falls back to the next when unreadable.
     The first characters choose the pattern, so most lines meet one regular expression at most.
     """
-    fifth = F.substring(message, 5, 1)
-    iso = F.regexp_extract(message, ISO_START, 1)
-    klog_form = F.concat(F.lpad(year_of(as_of).cast("string"), 4, "0"), F.lit("-$1-$2T$3.$4Z"))
-    klog = F.when(message.rlike(KLOG_LINE), F.regexp_replace(message, F.lit(KLOG_LINE), klog_form))
-    go = F.when(message.rlike(GO_LINE), F.regexp_replace(message, GO_LINE, "$1-$2-$3T$4Z"))
-    leading = F.when(F.substring(message, 1, 1).isin("I", "W", "E", "F"), klog).when(fifth == "/", go).try_cast("timestamp")
-    field = F.when(message.contains('time="'), iso_time(F.regexp_extract(message, TIME_FIELD, 1), assume_utc))
-    other = F.coalesce(leading, field, prior)
-    return F.when((fifth == "-") & (iso != ""), F.coalesce(iso_time(iso, assume_utc), prior)).otherwise(other)
+    line = F.col(message)
+    fifth = F.substring(line, 5, 1)
+    iso = F.when(fifth == "-", F.nullif(F.regexp_extract(line, ISO_START, 1), F.lit("")))
+    year = F.lpad(year_of(as_of).cast("string"), 4, "0")
+    klog = F.regexp_replace(line, F.lit(KLOG_LINE), F.concat(year, F.lit("-$1-$2T$3.$4Z")))
+    # A line without the pattern stays as it is, and no such line reads as a time.
+    leading = F.when(F.substring(line, 1, 1).isin("I", "W", "E", "F"), klog).when(
+        fifth == "/", F.regexp_replace(line, GO_LINE, "$1-$2-$3T$4Z")
+    )
+    field = F.when(line.contains('time="'), F.regexp_extract(line, TIME_FIELD, 1))
+    iso_found = F.col("_iso").isNotNull()
+    other = F.when(~iso_found, F.coalesce(F.col("_leading").try_cast("timestamp"), iso_time(F.col("_field"), assume_utc)))
+    return (
+        df.withColumns({"_iso": iso, "_leading": leading, "_field": field})
+        .withColumn(out, F.coalesce(zoned(F.col("_iso"), assume_utc).try_cast("timestamp"), other, F.col(out)))
+        .drop("_iso", "_leading", "_field")
+    )

@@ -7,9 +7,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.records import json_object, trimmed
+from tributary.functions import timestamps as T
+from tributary.functions.records import trimmed, with_json_object
 from tributary.functions.rules import log_level
-from tributary.functions.timestamps import json_event_time, json_time_value, millis, text_event_time
+from tributary.functions.timestamps import millis
 
 UNKNOWN = "unknown"
 
@@ -52,18 +53,11 @@ def enrich_metadata(df: DataFrame, cluster_id: str | Column | None, as_of) -> Da
 
 def with_json_event_time(df: DataFrame, assume_utc: bool = True) -> DataFrame:
     """Event time from messages that are JSON objects. The message itself is not touched."""
-    value, is_ts = json_time_value(F.col("_parsed"))
-    found = json_event_time(F.col("_time"), F.col("_is_ts"), assume_utc)
-    return (
-        df.withColumn("_parsed", json_object(F.col("message")))
-        .withColumns({"_time": value, "_is_ts": is_ts})
-        .withColumn("timestamp", F.coalesce(found, F.col("timestamp")))
-        .drop("_parsed", "_time", "_is_ts")
-    )
+    return T.with_json_event_time(df, "message", "timestamp", assume_utc)
 
 
 def with_text_event_time(df: DataFrame, as_of, assume_utc: bool = True) -> DataFrame:
-    return df.withColumn("timestamp", text_event_time(F.col("message"), F.col("timestamp"), as_of, assume_utc))
+    return T.with_text_event_time(df, "message", "timestamp", as_of, assume_utc)
 
 
 def with_event_time(df: DataFrame, as_of, assume_utc: bool = True) -> DataFrame:
@@ -86,10 +80,10 @@ def merge_json_message(df: DataFrame, record: str = "record", message: str = "me
 
     Anything but an object leaves the record as it is.
     """
-    parsed = df.withColumn("_parsed", json_object(trimmed(F.col(message))).cast("map<string,variant>"))
+    parsed = with_json_object(df, trimmed(F.col(message)), "_v").withColumn("_parsed", F.col("_v").cast("map<string,variant>"))
     kept = F.map_filter(record, lambda k, _: ~F.map_contains_key(F.col("_parsed"), k))
     merged = F.when(F.col("_parsed").isNull(), F.col(record)).otherwise(F.map_concat(kept, F.col("_parsed")))
-    return parsed.withColumn(record, merged).drop("_parsed")
+    return parsed.withColumn(record, merged).drop("_v", "_parsed")
 
 
 def extract_log_level(df: DataFrame, message: str = "message") -> DataFrame:

@@ -11,9 +11,10 @@ from tributary.functions.records import (
     is_object,
     json_text,
     message_text,
-    parse_json_text,
+    sole_item,
     trimmed,
     without_metadata,
+    wrapped_value,
 )
 from tributary.functions.rules import NON_BLANK, event_size
 from tributary.functions.timestamps import delivery_ts_ms, effective_ts_ms
@@ -34,7 +35,7 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     own; an empty array leaves one row without a record so that the line still counts as read.
     """
     text = drop_blank(lines, line).withColumn("_text", trimmed(F.col(line)))
-    parsed = text.withColumn("_v", parse_json_text(F.col("_text")))
+    parsed = text.withColumn("_w", wrapped_value(F.col("_text"))).withColumn("_v", sole_item(F.col("_w")))
     exploded = parsed.select(
         *lines.columns,
         F.substring("_text", 1, 1).alias("_first"),

@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot tenant even where the split costs one more shuffle behind the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Methods above this size are never compiled by the JVM; smaller ones per expression are.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.keys import unescape_key
-from tributary.functions.records import json_object, trimmed
+from tributary.functions.records import trimmed, with_json_object
 from tributary.functions.timestamps import rfc3339_time
 from tributary.schemas import NOTIFICATION
 
@@ -37,7 +37,7 @@ def with_processing_metadata(msgs: DataFrame, body: str = "body") -> DataFrame:
 
     No metadata gives zeros; metadata of the wrong shape is an error worth a retry.
     """
-    parsed = msgs.withColumn("_body", json_object(trimmed(F.col(body)))).withColumn(
+    parsed = with_json_object(msgs, trimmed(F.col(body)), "_body").withColumn(
         "_meta", F.try_variant_get("_body", "$.processing_metadata", "variant")
     )
     kind = F.schema_of_variant(F.col("_meta"))
@@ -62,10 +62,9 @@ def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
     A broken envelope, notification or key escape condemns the whole message (one row, no key).
     Missing records leave one row with neither key nor error: the message succeeded with no work.
     """
-    enveloped = with_processing_metadata(msgs, body).withColumn("_envelope", json_object(trimmed(F.col(body))))
-    inner = enveloped.withColumn("_text", _text_member(F.col("_envelope"), "Message", "message")).withColumn(
-        "_inner", json_object(trimmed(F.col("_text")))
-    )
+    enveloped = with_json_object(with_processing_metadata(msgs, body), trimmed(F.col(body)), "_envelope")
+    noted = enveloped.withColumn("_text", _text_member(F.col("_envelope"), "Message", "message"))
+    inner = with_json_object(noted, trimmed(F.col("_text")), "_inner")
     listed = inner.withColumn("_records", F.from_json(F.to_json("_inner"), NOTIFICATION, {"mode": "PERMISSIVE"})["Records"])
     keys = F.transform("_records", lambda r: F.coalesce(r["s3"]["object"]["key"], F.lit("")))
     bad_escape = F.coalesce(F.exists(keys, lambda k: unescape_key(k).isNull()), F.lit(False))
