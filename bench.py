@@ -23,6 +23,7 @@ HEADLINE = [
     "d7_skip_processed",
     "g1_order_events",
     "g2_pack_deliveries",
+    "g2_pack_routed_lines",
     "g2_pack_hot_stream",
     "a9_partial_lines",
     "g4_heartbeat_gaps",
@@ -70,7 +71,7 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "events": events,
-        "events_per_sec": {n: round(events / times[n]) for n in ("s4_event_time", "route_summary", "g2_pack_deliveries") if n in times},
+        "events_per_sec": {n: round(events / times[n]) for n in ("s4_event_time", "route_summary", "g2_pack_routed_lines") if n in times},
     }
     print(json.dumps(line))
     spark.stop()

@@ -11,8 +11,14 @@ from tributary.constants import COPY_ACL, MAX_BATCH_BYTES, MAX_BATCH_EVENTS
 from tributary.functions import keys as K
 from tributary.functions.timestamps import millis
 from tributary.operators.packing import pack_batches
-from tributary.operators.records import PLACE, fallback_ts
-from tributary.operators.routing import event_destination, lookup_join
+from tributary.operators.records import PLACE, fallback_ts, parse_lines, to_log_events
+from tributary.operators.routing import (
+    event_destination,
+    extract_tenant_info,
+    lookup_join,
+    route,
+    split_valid_keys,
+)
 
 # One delivery: the events of one object going to one stream.
 DELIVERY = ["tenant_id", "type", "log_group", "log_stream", "object_key"]
@@ -55,8 +61,34 @@ def plan_object_copies(routed: DataFrame, as_of) -> DataFrame:
     )
 
 
+# What a line carries from routing to packing.
+STREAM = ["tenant_id", "type", "log_group", "log_stream", "upload_ms"]
+
+
+def lines_to_deliver(lines: DataFrame, configs: DataFrame, salt: int | None = None) -> DataFrame:
+    """Lines of objects with an event delivery, with the stream they go to; needs ``upload_ms`` per line.
+
+    The key alone decides, so routing comes before any parsing and needs no listing: with a config
+    table below the broadcast size the lines are not shuffled at all, above it AQE or ``salt`` split
+    a hot tenant.
+    """
+    valid, _ = split_valid_keys(lines)
+    named = extract_tenant_info(valid).select(*lines.columns, "tenant_id", "application", "pod_name")
+    streams = configs.filter("type = 'cloudwatch'").select("tenant_id", "type", "log_group_name", "desired_logs")
+    routed = event_destination(route(named, streams, salt))
+    return routed.select(*lines.columns, *[c for c in STREAM if c not in lines.columns])
+
+
+def routed_events(lines: DataFrame, as_of) -> DataFrame:
+    """Events of routed lines with the time sent to their stream."""
+    return fallback_ts(to_log_events(parse_lines(lines), as_of, STREAM)).drop("upload_ms")
+
+
 def events_to_deliver(events: DataFrame, routed: DataFrame, salt: int | None = None) -> DataFrame:
-    """Events of every routed object, once per event delivery, with the time sent to the stream."""
+    """Events of every routed object, once per event delivery, with the time sent to the stream.
+
+    For events that are parsed already; :func:`lines_to_deliver` routes before the parse.
+    """
     streams = event_destination(routed.filter("type = 'cloudwatch'")).select(
         "object_key", "tenant_id", "type", "log_group", "log_stream", "upload_ms"
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.constants import DELIVERY_TYPES
@@ -56,10 +58,14 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def to_log_events(records: DataFrame, as_of) -> DataFrame:
-    """Records -> (object_key, line_no, item_no, event_ts_ms, message); non-objects are dropped."""
+def to_log_events(records: DataFrame, as_of, keep: Sequence[str] = ()) -> DataFrame:
+    """Records -> (object_key, line_no, item_no, event_ts_ms, message); non-objects are dropped.
+
+    ``keep`` names further columns to carry along.
+    """
     fields = records.filter("is_object").select(
         *PLACE,
+        *keep,
         "record",
         F.try_variant_get("record", "$.timestamp", "variant").alias("_ts"),
         F.try_variant_get("record", "$.message", "variant").alias("_message"),
@@ -67,7 +73,7 @@ def to_log_events(records: DataFrame, as_of) -> DataFrame:
     whole = json_text(without_metadata(F.col("record")))
     message = F.when(F.col("_message").isNotNull(), message_text(F.col("_message"))).otherwise(whole)
     return fields.select(
-        *PLACE, delivery_ts_ms(F.col("_ts"), as_of).alias("event_ts_ms"), message.alias("message")
+        *PLACE, *keep, delivery_ts_ms(F.col("_ts"), as_of).alias("event_ts_ms"), message.alias("message")
     )
 
 
@@ -95,7 +101,7 @@ def parse_whole_objects(spark: SparkSession, path: str, keys: DataFrame) -> Data
     return parse_lines(files, "content").drop("content")
 
 
-def whole_from_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
+def whole_from_lines(lines: DataFrame, keys: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(object_key, line_no, content): the lines of the named objects put together again.
 
     Used where the lines are at hand already. One row per object, as one JSON value must be.
@@ -103,20 +109,23 @@ def whole_from_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
     wanted = lines.join(keys, "object_key", "left_semi")
     pieces = F.sort_array(F.collect_list(F.struct("line_no", "line")))
     joined = F.array_join(F.transform(pieces, lambda p: p["line"]), "\n")
-    return wanted.groupBy("object_key").agg(F.lit(0).cast("bigint").alias("line_no"), joined.alias("content"))
+    return wanted.groupBy("object_key", *keep).agg(F.lit(0).cast("bigint").alias("line_no"), joined.alias("content"))
 
 
-def object_events(lines: DataFrame, as_of, records: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def object_events(
+    lines: DataFrame, as_of, records: DataFrame | None = None, keep: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Events of all objects with the whole-file fallback, and the objects that could not be read.
 
     The records are read more than once; a caller that has them written or checkpointed passes them.
+    ``keep`` names columns, constant per object, to carry along.
     """
     if records is None:
         records = parse_lines(lines)
-    whole = whole_from_lines(lines, fallback_keys(parse_stats(records)))
+    whole = whole_from_lines(lines, fallback_keys(parse_stats(records)), keep)
     again = parse_lines(whole, "content").drop("content")
-    events = to_log_events(records, as_of).unionByName(to_log_events(again, as_of))
-    failed = again.filter("parse_error").select("object_key", F.lit("recoverable").alias("error_class"))
+    events = to_log_events(records, as_of, keep).unionByName(to_log_events(again, as_of, keep))
+    failed = again.filter("parse_error").select("object_key", *keep, F.lit("recoverable").alias("error_class"))
     return events, failed
 
 

@@ -60,6 +60,21 @@ def _(t):
     return packed.select("tenant_id", "object_key", "line_no", "item_no", "seq", "batch_id")
 
 
+# The same from raw lines: routed by key, then parsed, with the upload time each line carries.
+@query(
+    "g2_pack_routed_lines",
+    oracle(
+        _packed_sql("dl", KEYS, "event_ts_ms, line_no, item_no", 4, 130, "SELECT tenant_id, object_key, line_no, item_no, seq, batch_id"),
+        "ev", "routed",
+        dl=DELIVERIES.replace("r.modified_ms)", "x.ingest_ms)").replace("USING (object_key) WHERE", "USING (object_key) JOIN raw x USING (line_no) WHERE"),
+    ),
+)
+def _(t):
+    lines = t.stored_with_upload
+    packed = D.pack_deliveries(D.routed_events(D.lines_to_deliver(lines, t.routable), AS_OF_MS), max_events=4, max_bytes=130)
+    return packed.select("tenant_id", "object_key", "line_no", "item_no", "seq", "batch_id")
+
+
 # One hot stream: every document of the table in one key.
 @query(
     "g2_pack_hot_stream",

@@ -107,7 +107,7 @@ def pod_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """(object_key, line_no, line): stored NDJSON, with arrays, scalars, blanks and broken lines."""
     raw = raw_logs(spark, sf_dir)
     eid = F.col("event_id")
@@ -130,7 +130,7 @@ def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
         usual,
     )
-    return raw.select("object_key", "line_no", line.alias("line"))
+    return raw.select("object_key", "line_no", line.alias("line"), *[F.expr(m) for m in more])
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:

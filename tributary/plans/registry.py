@@ -36,6 +36,11 @@ class Tables:
     def stored(self) -> DataFrame:
         return derive.stored_lines(self.spark, self.sf_dir)
 
+    @cached_property
+    def stored_with_upload(self) -> DataFrame:
+        """Stored lines with the upload time a scan would give them."""
+        return derive.stored_lines(self.spark, self.sf_dir, "ingest_ms AS upload_ms")
+
     @cached_property
     def records(self) -> DataFrame:
         return R.parse_lines(self.stored)

@@ -41,7 +41,7 @@ def key_below(root: str) -> Column:
 
 
 def read_log_objects(spark: SparkSession, path: str) -> DataFrame:
-    """(object_key, line_no, line) of all objects below a folder; ``.gz`` names are unzipped.
+    """(object_key, line_no, line, upload_ms) of all objects below a folder; ``.gz`` names are unzipped.
 
     ``line_no`` grows along a file but is not dense: numbering densely would cost a shuffle, and
     order is all that later operators need.
@@ -51,6 +51,7 @@ def read_log_objects(spark: SparkSession, path: str) -> DataFrame:
         key_below(path).alias("object_key"),
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").alias("line"),
+        F.unix_millis("_metadata.file_modification_time").alias("upload_ms"),
     )
 
 

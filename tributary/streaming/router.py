@@ -62,7 +62,7 @@ def route_lines(
 ) -> dict[str, DataFrame]:
     """All tables of one run: rejects, unroutable, copies, batches, failed objects and metrics.
 
-    Routing works on the objects; only lines of objects with an event delivery are parsed.
+    Routing works on keys; only lines of objects with an event delivery are parsed.
     """
     seen = lines.groupBy("object_key").agg(F.max("upload_ms").alias("upload_ms")).withColumn("bucket", F.lit(bucket))
     objects = with_suffix(seen, suffix)
@@ -70,18 +70,19 @@ def route_lines(
     named = RT.extract_tenant_info(valid)
     routable = C.routable_configs(configs, as_of)
     routed = RT.route(named, routable)
-    streams = routed.filter("type = 'cloudwatch'").select("object_key").distinct()
-    wanted = lines.join(streams, "object_key", "left_semi").drop("upload_ms")
-    # Statistics, fallback, range sampling and packing all read the records: parse once, pin the result.
+    wanted = D.lines_to_deliver(with_suffix(lines, suffix), routable)
+    # Statistics, fallback and packing all read the records: parse once, pin the result.
     ensure_checkpoint_dir(lines.sparkSession)
-    events, failed = R.object_events(wanted, as_of, R.parse_lines(wanted).drop("line").checkpoint())
-    packed = D.pack_deliveries(D.events_to_deliver(events, routed), max_events, max_bytes, chunks)
+    records = R.parse_lines(wanted).drop("line").checkpoint()
+    events, failed = R.object_events(wanted, as_of, records, D.STREAM)
+    deliveries = R.fallback_ts(events).drop("upload_ms")
+    packed = D.pack_deliveries(deliveries, max_events, max_bytes, chunks)
     batches = D.delivery_batches(packed)
     stamp = F.timestamp_millis(as_of if not isinstance(as_of, int) else F.lit(as_of).cast("bigint"))
     sent = batches.groupBy("tenant_id", "object_key").agg(
         F.sum("events").alias("successful_events"), F.lit(0).cast("bigint").alias("failed_events")
     )
-    lost = routed.filter("type = 'cloudwatch'").join(failed, "object_key", "left_semi").select(
+    lost = failed.select(
         "tenant_id", "object_key", F.lit(0).cast("bigint").alias("successful_events"), F.lit(1).cast("bigint").alias("failed_events")
     )
     return {
