@@ -115,6 +115,20 @@ def event_stats(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def reported_stats(stats: DataFrame, events: str = "events") -> DataFrame:
+    """What is reported for a delivery: one refused or unsent event makes all its events count as failed.
+
+    ``events`` is the number of events the delivery set out to send.
+    """
+    whole = F.col("failed_events") == 0
+    return stats.withColumns(
+        {
+            "successful_events": F.when(whole, F.col("successful_events")).otherwise(0),
+            "failed_events": F.when(whole, F.lit(0)).otherwise(F.col(events)),
+        }
+    )
+
+
 # -- metrics --------------------------------------------------------------------------------------
 
 def _metric_rows(df: DataFrame, method: Column, values: dict[str, Column]) -> DataFrame:

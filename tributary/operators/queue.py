@@ -18,6 +18,11 @@ def _utc_stamp(as_of):
     )
 
 
+def event_failures(attempts: DataFrame) -> DataFrame:
+    """Failed event deliveries, the only ones that go back to the queue; failed copies are just counted."""
+    return attempts.filter((F.col("type") == "cloudwatch") & ~F.col("succeeded"))
+
+
 def requeue(failures: DataFrame, as_of, max_retries: int = MAX_RETRIES) -> DataFrame:
     """Failed event deliveries go back with their offset, one more retry and a growing delay.
 

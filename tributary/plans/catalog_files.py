@@ -127,13 +127,14 @@ def _(t):
 
 def _put_objects(root: str):
     def run(frames):
-        import os
+        from pyarrow import fs
 
+        store, base = fs.FileSystem.from_uri(root)
         for frame in frames:
             for row in frame.itertuples():
-                name = f"{root}/{row.bucket}/{row.object_key}"
-                os.makedirs(os.path.dirname(name), exist_ok=True)
-                with open(name, "wb") as out:
+                name = f"{base}/{row.bucket}/{row.object_key}"
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(name, compression=None) as out:
                     out.write(row.object_key.encode())
             yield frame[["object_key"]]
 
@@ -142,11 +143,12 @@ def _put_objects(root: str):
 
 def _make_buckets(root: str):
     def run(frames):
-        import os
+        from pyarrow import fs
 
+        store, base = fs.FileSystem.from_uri(root)
         for frame in frames:
             for bucket in frame["dst_bucket"]:
-                os.makedirs(f"{root}/{bucket}", exist_ok=True)
+                store.create_dir(f"{base}/{bucket}", recursive=True)
             yield frame
 
     return run

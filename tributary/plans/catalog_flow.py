@@ -392,6 +392,31 @@ def _(t):
     return A.event_delivery_metrics(timed).select("tenant", "metric", "value", "unit", F.unix_millis("ts").alias("ts_ms"))
 
 
+@query(
+    "f8_reported_stats",
+    oracle(
+        """SELECT object_key, CASE WHEN failed_events = 0 THEN successful_events ELSE 0 END::BIGINT AS successful_events,
+        CASE WHEN failed_events = 0 THEN 0 ELSE n END::BIGINT AS failed_events FROM stats JOIN (SELECT object_key, sum(events) AS n FROM batches GROUP BY object_key) USING (object_key)""",
+        "listing", batches=BATCHES, rej=REJECTED, stats=EVENT_STATS,
+    ),
+)
+def _(t):
+    batches = _batches(t)
+    planned = batches.groupBy("object_key").agg(F.sum("events").alias("events"))
+    stats = A.event_stats(A.rejection_stats(batches), ["object_key"]).join(planned, "object_key")
+    return A.reported_stats(stats).select("object_key", "successful_events", "failed_events")
+
+
+@query(
+    "t3_event_failures",
+    oracle(
+        "SELECT object_key, tenant_id FROM attempts WHERE type = 'cloudwatch' AND NOT succeeded", "routed", attempts=ATTEMPTS
+    ),
+)
+def _(t):
+    return Q.event_failures(attempts_of(t.routed)).select("object_key", "tenant_id")
+
+
 @query(
     "f9_object_metrics",
     oracle(

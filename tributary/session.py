@@ -29,7 +29,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app: str = "tributary", master: str | None = None, **settings: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    # Checkpoint files of dropped tables are removed with them.
+    builder = SparkSession.builder.appName(app).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in {**SQL_SETTINGS, **settings}.items():
