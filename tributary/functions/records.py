@@ -44,6 +44,15 @@ def sole_item(wrapped: Column) -> Column:
     return F.when(F.try_variant_get(wrapped, "$[1]", "variant").isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
+def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns through a one-row explode.
+
+    The optimizer moves filters into column definitions, and a parse inside them would run again for
+    every mention. It does not move them below an explode.
+    """
+    return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def with_json_object(df: DataFrame, text: Column, out: str) -> DataFrame:
     """Adds the variant of a text that is one JSON object, parsed once per row."""
     return df.withColumn("_wrapped", wrapped_object(text)).withColumn(out, sole_item(F.col("_wrapped"))).drop("_wrapped")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.constants import MAX_RECEIVE_COUNT, MAX_RETRIES, MESSAGE_RETENTION_S, VISIBILITY_TIMEOUT_S
-from tributary.functions.records import trimmed, with_json_object
+from tributary.functions.records import settle, trimmed, with_json_object
 from tributary.functions.rules import retry_delay_s
 from tributary.functions.timestamps import millis
 
@@ -34,7 +34,7 @@ def requeue(failures: DataFrame, as_of, max_retries: int = MAX_RETRIES) -> DataF
         (F.coalesce(F.col("receipt_handle"), F.lit("")) != "") & (F.col("retry_count") + 1 <= max_retries)
     )
     opened = with_json_object(eligible, trimmed(F.col("body")), "_v")
-    parsed = opened.withColumn("_body", F.col("_v").cast("map<string,variant>")).filter("_v is not null")
+    parsed = settle(opened, {"_body": F.col("_v").cast("map<string,variant>")}).filter("_body is not null")
     old = F.try_element_at(F.col("_body"), F.lit("processing_metadata"))
     kept_meta = F.when(F.schema_of_variant(old).startswith("OBJECT"), old.cast("map<string,variant>"))
     written = {

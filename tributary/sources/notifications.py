@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.keys import unescape_key
-from tributary.functions.records import trimmed, with_json_object
+from tributary.functions.records import settle, trimmed, with_json_object
 from tributary.functions.timestamps import rfc3339_time
 from tributary.schemas import NOTIFICATION
 
@@ -47,13 +47,15 @@ def with_processing_metadata(msgs: DataFrame, body: str = "body") -> DataFrame:
     requeued = F.try_variant_get("_meta", "$.requeued_at", "string")
     bad_stamp = requeued.isNotNull() & rfc3339_time(requeued).isNull()
     broken = ~absent & (~kind.startswith("OBJECT") | offset.isNull() | retries.isNull() | bad_stamp)
-    return parsed.select(
-        *msgs.columns,
-        F.when(absent | broken, F.lit(0).cast("bigint")).otherwise(offset).alias("offset"),
-        F.when(absent | broken, F.lit(0).cast("bigint")).otherwise(retries).alias("retry_count"),
-        F.when(absent | broken, F.lit("")).otherwise(F.coalesce(handle, F.lit(""))).alias("original_receipt_handle"),
-        (F.col("_body").isNotNull() & broken).alias("metadata_error"),
-    )
+    plain = absent | broken
+    zero = F.lit(0).cast("bigint")
+    found = {
+        "offset": F.when(plain, zero).otherwise(offset),
+        "retry_count": F.when(plain, zero).otherwise(retries),
+        "original_receipt_handle": F.when(plain, F.lit("")).otherwise(F.coalesce(handle, F.lit(""))),
+        "metadata_error": F.col("_body").isNotNull() & broken,
+    }
+    return settle(parsed, found).select(*msgs.columns, *found)
 
 
 def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
