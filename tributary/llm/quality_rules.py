@@ -20,7 +20,7 @@ SPREAD = 6
 #: Rows from which a group's own sketch is used.
 ENOUGH = 200
 #: Added beyond the fence, in the units of the measure.
-FLOORS = {"symbols": 50, "dup_lines": 300, "repeats": 250, "word_length": 150}
+FLOORS = {"symbols": 50, "dup_lines": 400, "repeats": 350, "word_length": 150}
 _SPACES = " \t\n\x0b\f\r"
 _SPACE = r"[\x20\x09-\x0D]+"
 

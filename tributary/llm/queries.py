@@ -59,7 +59,8 @@ def _license_sql() -> str:
     rows = ", ".join(f"('{t.label}', {t.base}, {text(t.key)}, {t.key_at}, {text(t.words)})" for t in license_scan.TEMPLATES)
     return rf"""WITH t(label, base, phrase, phrase_at, template) AS (VALUES {rows}),
         w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
-        p AS (SELECT *, unnest(list_filter(range(1, len(ws) + 1), lambda i: ws[i] = phrase[1] AND ws[i:i + len(phrase) - 1] = phrase)) AS pos FROM w, t),
+        f AS (SELECT *, unnest(list_filter(range(1, len(ws) + 1), lambda i: ws[i] = phrase[1])) AS pos FROM w, t),
+        p AS (SELECT * FROM f WHERE ws[pos:pos + len(phrase) - 1] = phrase),
         h AS (SELECT doc_id, label, base, pos - 1 AS start, len(list_filter(range(1, len(template) + 1), lambda j: pos - phrase_at + j - 1 > 0 AND coalesce(ws[pos - phrase_at + j - 1] = template[j], FALSE))) / len(template) AS share FROM p),
         g AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
                      string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM h GROUP BY doc_id)
