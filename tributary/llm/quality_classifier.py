@@ -149,23 +149,30 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", i
     return Model(w * ratio, bias, slope, shift)
 
 
-def _score(model: Model, columns: list[str]):
+def _score(model: Model, text_col: str):
     weights = model.weights.astype(np.float32)
 
     def run(batches):
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, text_col):
                 margin = np.zeros(part.num_rows)
-                for at, bits in indicators(part["text"]):
+                for at, bits in indicators(part[text_col]):
                     flat = np.flatnonzero(bits)
                     margin[at : at + len(bits)] = np.bincount(flat >> 15, weights=weights[flat & (BUCKETS - 1)], minlength=len(bits))
                 score = model.probability(margin + model.bias)
-                for out in part.select(columns).append_column("score", pa.array(score)).combine_chunks().to_batches():
-                    yield out
+                yield from part.append_column("__score", pa.array(score)).combine_chunks().to_batches()
 
     return run
 
 
+def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with score and predicted behind its columns, which replace columns of these names; see score()."""
+    plain = docs.drop("score", "predicted")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
+    scored = plain.mapInArrow(_score(model, text_col), f"{fields}, __score double")
+    return scored.withColumnRenamed("__score", "score").withColumn("predicted", F.when(F.col("score") >= REJECT_BELOW, 1).otherwise(0))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted) of every row; score is P(label = 1) of the whole text, predicted 1 from REJECT_BELOW on.
 
@@ -173,9 +180,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     scored like any other row; other columns are ignored; an empty table gives no rows.
     """
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kind = plain.schema["doc_id"].dataType.simpleString()
-    scored = plain.mapInArrow(_score(model, ["doc_id"]), f"doc_id {kind}, score double")
-    return scored.withColumn("predicted", F.when(F.col("score") >= REJECT_BELOW, 1).otherwise(0))
+    return score_rows(plain, model).select("doc_id", "score", "predicted")
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:

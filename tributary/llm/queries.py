@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import chat, license_scan, near_dedup, pii, quality_classifier, quality_rules
+from tributary.llm import chat, language_model, license_scan, near_dedup, pii, quality_classifier, quality_rules
 from tributary.llm.decontaminate import find_leaks
 from tributary.llm.packing import pack
 from tributary.llm.substring_dedup import remove_repeated_spans
@@ -59,6 +59,11 @@ def _(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+@query("op3_language_model")
+def _(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def _license_sql() -> str:
     text = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
     rows = ", ".join(f"('{t.label}', {t.base}, {text(t.key)}, {t.key_at}, {text(t.words)})" for t in license_scan.TEMPLATES)

@@ -21,6 +21,9 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: A-Z to a-z, all other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 _powers: list[np.ndarray] = []
 
 
@@ -103,8 +106,11 @@ def text_bytes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return data, offsets[1:] - offsets[0] - 1
 
 
-def split_words(texts: pa.Array | pa.ChunkedArray) -> Words:
+def split_words(texts: pa.Array | pa.ChunkedArray, written: np.ndarray | None = None) -> Words:
+    """Words of the texts; ``written`` maps each byte to the byte it counts as."""
     data, text_end = text_bytes(texts)
+    if written is not None:
+        data = written[data]
     space = np.concatenate([[True], _SPACE[data]])
     change = np.flatnonzero(space[1:] != space[:-1])
     start, end = change[::2], change[1::2]
