@@ -73,12 +73,19 @@ def test_copies(spark, tmp_path):
     meta = plan.first().metadata
     assert meta["delivery-timestamp"] == "1704110400" and "cluster-id" not in meta and len(meta) == 6
     for _ in range(2):  # a repeated run leaves the same object
-        done = {(r.dst_bucket, r.dst_key): (r.succeeded, r.error_class) for r in copies.execute_copies(plan, str(source), str(target), 2).collect()}
+        every = copies.execute_copies(plan, str(source), str(target), 2).collect()
+        assert len(every) == len(rows) and sorted(r.superseded for r in every) == [False, False, False, True]
+        done = {(r.dst_bucket, r.dst_key): (r.succeeded, r.error_class) for r in every}
         assert done == {
             ("t-logs", "pre/t/a/p/f.json.gz"): (True, None),
             ("nowhere", "pre/t/a/p/f.json.gz"): (False, "non_recoverable"),
             ("t-logs", "pre/t/a/p/gone.json.gz"): (False, "non_recoverable"),
         }
+    put(str(source), "central/c2/t/a/p/f.json.gz", "newer")
+    late = plan.withColumn("upload_ms", F.lit(1)).limit(1).unionByName(
+        plan.limit(1).withColumns({"object_key": F.lit("c2/t/a/p/f.json.gz"), "upload_ms": F.lit(0)}))
+    both = copies.execute_copies(late, str(source), str(target), 2).collect()
+    assert {(r.object_key, r.succeeded, r.superseded) for r in both} == {("c/t/a/p/f.json.gz", True, False), ("c2/t/a/p/f.json.gz", True, True)}
     made = [os.path.join(d, f) for d, _, fs in os.walk(target) for f in fs]
     assert [os.path.basename(m) for m in made] == ["f.json.gz"]
     assert gzip.decompress(open(made[0], "rb").read()) == b"hello"

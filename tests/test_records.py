@@ -99,6 +99,9 @@ def test_notifications(spark):
     df = spark.createDataFrame(list(cases.items()), "message_id string, body string")
     got = {r.message_id: r for r in N.parse_notifications(df).collect()}
     assert len(got) == len(cases)
+    two = json.dumps({"Message": json.dumps({"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": k}}} for k in ("good.gz", "bad%zz", "behind.gz")]})})
+    rows = N.parse_notifications(spark.createDataFrame([("m", two)], "message_id string, body string")).orderBy("record_idx").collect()
+    assert [(r.record_idx, r.object_key, r.error_code) for r in rows] == [(0, "good.gz", None), (1, None, "invalid_escape")]
     keys = {"good": "c/t/app/pod/f.json.gz", "plus": "a b/c", "no-key": "", "meta": "k"}
     assert {k: r.object_key for k, r in got.items() if r.object_key is not None} == keys
     errors = {k: (r.error_class, r.error_code) for k, r in got.items() if r.error_code}

@@ -67,10 +67,43 @@ def elements(text: Column, parsed: Column) -> Column:
     return F.when(text.startswith("["), parsed.cast("array<variant>")).otherwise(F.array(parsed))
 
 
+# A JSON string, or a number that may need another form: with a fraction, an exponent or 16 digits.
+_STRING_OR_NUMBER = r'"(?:[^"\\]|\\.)*+"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?'
+_ODD_NUMBER = r"[0-9][.eE]|[0-9]{16}"
+
+
+def number_text(token: Column) -> Column:
+    """A JSON number as the published encoder prints its 64-bit float: plain from 1e-6 up to below 1e21, else with an exponent.
+
+    The digits are the shortest that give the float back, padded with zeros; so whole numbers above 2**53 are rounded.
+    """
+    value = token.cast("double")
+    printed = F.abs(value).cast("string")  # 123.45, 1.2345E7 or 1.0E-7
+    mantissa, tail = F.substring_index(printed, "E", 1), F.regexp_extract(printed, "E(.*)$", 1)
+    whole, part = F.substring_index(mantissa, ".", 1), F.regexp_replace(F.substring_index(mantissa, ".", -1), "^0$", "")
+    shift = F.when(tail == "", 0).otherwise(tail.try_cast("int"))
+    digits, point = F.concat(whole, part), F.length(whole) + shift
+    left = F.when(point <= 0, "0").otherwise(F.rpad(F.substr(digits, F.lit(1), point), F.greatest(point, F.lit(1)), F.lit("0")))
+    right = F.when(point <= 0, F.concat(F.repeat(F.lit("0"), -point), digits)).otherwise(F.substr(digits, point + 1))
+    right = F.regexp_replace(right, "0+$", "")
+    plain = F.when(right == "", left).otherwise(F.concat_ws(".", left, right))
+    exponent = F.concat(F.when(shift < 0, "-").otherwise("+"), F.abs(shift).cast("string"))
+    scientific = F.concat(F.when(part == "", whole).otherwise(mantissa), F.lit("e"), exponent)
+    size = F.abs(value)
+    out = F.when((size != 0) & ((size < 1e-6) | (size >= 1e21)), scientific).otherwise(plain)
+    return F.when(token.startswith("-"), F.concat(F.lit("-"), out)).otherwise(out)
+
+
 def json_text(value: Column) -> Column:
-    """JSON text of a variant or map, with <, > and & escaped the way the published encoder does."""
+    """JSON text of a variant or map, the way the published encoder writes it: numbers as 64-bit floats, and <, >, & and the
+    separators U+2028 and U+2029 escaped."""
     text = F.to_json(value)
-    for raw, escaped in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e")):
+    between = F.split(text, _STRING_OR_NUMBER, -1)
+    tokens = F.regexp_extract_all(text, F.lit(_STRING_OR_NUMBER), F.lit(0))
+    shown = F.transform(tokens, lambda t: F.when(t.startswith('"') | ~t.rlike(_ODD_NUMBER), t).otherwise(number_text(t)))
+    rewritten = F.array_join(F.zip_with(between, shown, lambda b, t: F.concat(b, F.coalesce(t, F.lit("")))), "")
+    text = F.when(text.rlike(_ODD_NUMBER), rewritten).otherwise(text)
+    for raw, escaped in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
         text = F.replace(text, F.lit(raw), F.lit(escaped))
     return text
 

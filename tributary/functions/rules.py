@@ -28,7 +28,7 @@ def is_empty(text: Column) -> Column:
 
 def valid_tenant_id(value: Column) -> Column:
     return F.coalesce(
-        F.length(value).between(1, 128) & value.rlike(r"^(?=.*[\p{L}\p{N}])[\p{L}\p{N}_-]+$"), F.lit(False)
+        F.length(value).between(1, 128) & value.rlike(r"^(?=.*[\p{L}\p{N}])[\p{L}\p{N}_-]+\z"), F.lit(False)
     )
 
 
@@ -37,12 +37,12 @@ def valid_role_arn(value: Column) -> Column:
 
 
 def valid_bucket(value: Column) -> Column:
-    return value.rlike(r"^(?=.*[\p{L}\p{N}])[\p{L}\p{N}.-]+$")
+    return value.rlike(r"^(?=.*[\p{L}\p{N}])[\p{L}\p{N}.-]+\z")
 
 
 def valid_region(value: Column, allow_underscore: bool = False) -> Column:
     extra = "_" if allow_underscore else ""
-    return value.rlike(rf"^(?=.*[\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}{extra}-]+$")
+    return value.rlike(rf"^(?=.*[\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}{extra}-]+\z")
 
 
 def valid_desired_logs(value: Column) -> Column:

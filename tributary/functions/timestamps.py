@@ -12,8 +12,8 @@ from tributary.constants import EPOCH_MS_BOUNDARY
 from tributary.functions.records import wrapped_object
 
 # Fixed patterns of the log formats.
-RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:\d{2})$"
-ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?$"
+RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:\d{2})\z"
+ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?\z"
 ISO_START = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{3,6})?Z?)"
 TIME_FIELD = r'time="([^"]+)"'
 KLOG_LINE = r"(?s)^[IWEF](\d{2})(\d{2})\s+(\d{2}:\d{2}:\d{2})\.(\d{3})\d{3}.*$"

@@ -212,6 +212,18 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return rows
 
 
+def record_stage_counts(records: DataFrame) -> DataFrame:
+    """Stage counts of lines, records and events of parsed records, in one pass over them."""
+    one = records.agg(
+        F.count_if(F.col("item_no") == 0).alias("lines"),
+        F.count_if((F.col("item_no") == 0) & F.col("parse_error")).alias("broken"),
+        F.count_if(~F.col("parse_error")).alias("records"),
+        F.count_if("is_object").alias("events"),
+    )
+    stage = lambda name, n, bad: F.struct(F.lit(name).alias("stage"), F.col(n).alias("events"), bad.cast("bigint").alias("errors"))
+    return one.select(F.inline(F.array(stage("lines", "lines", F.col("broken")), stage("records", "records", F.lit(0)), stage("events", "events", F.lit(0)))))
+
+
 def dedupe_deliveries(attempts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per delivery key; redelivery repeats are dropped, the earliest attempt stays."""
     rest = [c for c in attempts.columns if c not in keys]

@@ -95,10 +95,13 @@ def fallback_keys(stats: DataFrame) -> DataFrame:
 def parse_whole_objects(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     """Records of whole files: an array of records or one pretty-printed record.
 
-    A file that is no JSON value keeps one row with ``parse_error``: a recoverable failure.
+    A file that is no JSON value keeps one row with ``parse_error``: a recoverable failure. So does one that
+    cannot be read, with an error_code.
     """
     files = read_whole_objects(spark, path, keys).withColumn("line_no", F.lit(0).cast("bigint"))
-    return parse_lines(files, "content").drop("content")
+    # Unreadable files pass the parser as a text that is no JSON.
+    shown = files.withColumn("content", F.coalesce("content", F.lit("unreadable")))
+    return parse_lines(shown, "content").drop("content")
 
 
 def whole_from_lines(lines: DataFrame, keys: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -94,7 +94,8 @@ def _(t):
 @query(
     "c10_message_text",
     oracle(
-        """SELECT line_no, item_no::INTEGER AS item_no, CASE json_type(m) WHEN 'VARCHAR' THEN m->>'$' ELSE CAST(m AS VARCHAR) END AS message
+        """SELECT line_no, item_no::INTEGER AS item_no, CASE WHEN json_type(m) = 'VARCHAR' THEN m->>'$' WHEN json_exists(m, '$.a')
+            THEN '{"a":[1000,-1e-7,1e+21,2.5,0.000001,123456789.125,12345678901234567000],"b 1.50":"1.50\\u2028\\u2029"}' ELSE CAST(m AS VARCHAR) END AS message
         FROM (SELECT line_no, item_no, json_extract(rec, '$.message') AS m FROM records WHERE json_type(rec) = 'OBJECT')
         WHERE m IS NOT NULL""",
         "records",
@@ -492,7 +493,7 @@ def _(t):
     oracle(
         r"""SELECT page_id, id, length(id) BETWEEN 1 AND 128 AND regexp_matches(id, '^[\p{L}\p{N}_-]+$') AND regexp_matches(id, '[\p{L}\p{N}]') AS valid
         FROM (SELECT page_id, CASE page_id % 6 WHEN 0 THEN url WHEN 1 THEN '' WHEN 2 THEN '-_-' WHEN 3 THEN regexp_replace(url, '[^a-z0-9]', '_', 'g')
-          WHEN 4 THEN repeat('é', 120 + (page_id % 20)::INTEGER) ELSE 'tenant-' || page_id END AS id FROM pages)"""
+          WHEN 4 THEN repeat('é', 120 + (page_id % 20)::INTEGER) ELSE 'tenant-' || page_id || CASE WHEN page_id % 12 = 5 THEN chr(10) ELSE '' END END AS id FROM pages)"""
     ),
 )
 def _(t):
@@ -501,7 +502,7 @@ def _(t):
         F.when(n % 6 == 0, F.col("url")).when(n % 6 == 1, "").when(n % 6 == 2, "-_-")
         .when(n % 6 == 3, F.regexp_replace("url", "[^a-z0-9]", "_"))
         .when(n % 6 == 4, F.repeat(F.lit("é"), (120 + n % 20).cast("int")))
-        .otherwise(text("tenant-", n.cast("string")))
+        .otherwise(text("tenant-", n.cast("string"), F.when(n % 12 == 5, "\n").otherwise("")))
     )
     df = t.given("pages").select("page_id", ident.alias("id"))
     return df.withColumn("valid", U.valid_tenant_id(F.col("id")))
@@ -514,16 +515,17 @@ def _(t):
         regexp_matches(bucket_name, '^[\p{L}\p{N}.-]+$') AND regexp_matches(bucket_name, '[\p{L}\p{N}]') AS bucket_ok,
         regexp_matches(target_region, '^[\p{L}\p{N}-]+$') AND regexp_matches(target_region, '[\p{L}\p{N}]') AS region_ok,
         regexp_matches(replace(target_region, 'east', '_'), '^[\p{L}\p{N}_-]+$') AND regexp_matches(target_region, '[\p{L}\p{N}]') AS region_report_ok
-        FROM cfg""",
+        FROM (SELECT * REPLACE (bucket_name || tail AS bucket_name, target_region || tail AS target_region) FROM (SELECT *, CASE WHEN tenant_id LIKE '%7' THEN chr(10) ELSE '' END AS tail FROM cfg))""",
         "cfg",
     ),
 )
 def _(t):
-    region = F.col("target_region")
+    tail = F.when(F.col("tenant_id").like("%7"), "\n").otherwise("")  # a trailing line feed is refused
+    region, bucket = F.concat("target_region", tail), F.concat("bucket_name", tail)
     return t.configs.select(
         "tenant_id", "type",
         U.valid_role_arn(F.col("log_distribution_role_arn")).alias("arn_ok"),
-        U.valid_bucket(F.col("bucket_name")).alias("bucket_ok"),
+        U.valid_bucket(bucket).alias("bucket_ok"),
         U.valid_region(region).alias("region_ok"),
         U.valid_region(F.replace(region, F.lit("east"), F.lit("_")), allow_underscore=True).alias("region_report_ok"),
     )

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tributary.operators import records as R
 from tributary.operators.enrich import extract_log_level, structure_record
 from tributary.plans.catalog_fields import JSON_TIME, TEXT_TIME
-from tributary.plans.catalog_order import DELIVERIES, KEYS, _packed_sql
+from tributary.plans.catalog_flow import ATTEMPTS, redelivered
+from tributary.plans.catalog_order import DELIVERIES, KEYS, _packed_sql, beat_records
 from tributary.plans.derive import AS_OF_MS, BUCKET
 from tributary.plans.oracle import oracle
 from tributary.plans.registry import Tables, query
@@ -23,7 +24,7 @@ def _store_lines(t: Tables) -> str:
     """Stored lines as text objects in the central layout."""
     path = scratch_path(t.spark, "store")
     dims = {folder: F.get(F.split("object_key", "/"), F.lit(i)) for folder, i in KEY_PARTS.items()}
-    rows = t.stored.withColumns(dims).repartition(8, *KEY_PARTS).sortWithinPartitions(*KEY_PARTS, "line_no")
+    rows = t.stored.withColumns(dims).hint("rebalance", *KEY_PARTS).sortWithinPartitions(*KEY_PARTS, "line_no")
     rows.select(*KEY_PARTS, F.col("line").alias("value")).write.partitionBy(*KEY_PARTS).option(
         "compression", "gzip"
     ).text(path)
@@ -36,15 +37,51 @@ POD_PREFIX = "regexp_replace(object_key, '/[^/]*$', '')"
 @query(
     "a1_read_log_objects",
     oracle(
-        f"""SELECT {POD_PREFIX} AS pod_prefix, count(*) AS lines, sum(strlen(line))::BIGINT AS line_bytes FROM stored GROUP BY 1""", "stored"
+        f"""SELECT {POD_PREFIX} AS pod_prefix, line, count(*) AS n FROM stored GROUP BY ALL""", "stored"
     ),
 )
 def _(t):
     lines = central.read_central(t.spark, _store_lines(t))
     prefix = F.regexp_replace("object_key", "/[^/]*$", "")
-    return lines.groupBy(prefix.alias("pod_prefix")).agg(
-        F.count("*").alias("lines"), F.sum(F.octet_length("line")).alias("line_bytes")
-    )
+    return lines.groupBy(prefix.alias("pod_prefix"), "line").agg(F.count("*").alias("n"))
+
+
+@query(
+    "a1_each_object",
+    oracle(
+        """SELECT replace(object_key, '//', '/-/') AS object_key, CASE WHEN object_key LIKE '%.gz' THEN CASE eid % 3 WHEN 1 THEN 'truncated' WHEN 2 THEN 'corrupt' END END AS error_code,
+        CASE WHEN object_key NOT LIKE '%.gz' OR eid % 3 = 0 THEN 2 ELSE 0 END::BIGINT AS lines FROM listing""",
+        "listing",
+    ),
+)
+def _(t):
+    # One file per object: whole, cut short, or no gzip at all.
+    root = scratch_path(t.spark, "each")
+    named = F.replace("object_key", F.lit("//"), F.lit("/-/"))  # a path has no empty part
+    t.listing.select(named.alias("object_key"), "eid").mapInPandas(_put_packed(root), "object_key string").write.format("noop").mode("overwrite").save()
+    rows = O.read_each_object(t.spark, root)
+    return rows.groupBy("object_key").agg(F.min("error_code").alias("error_code"), F.count("line").alias("lines"))
+
+
+def _put_packed(root: str):
+    def run(frames):
+        import gzip
+
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for frame in frames:
+            for row in frame.itertuples():
+                plain = f"{row.object_key}\n{row.eid}\n".encode()
+                packed = gzip.compress(plain)
+                name = f"{base}/{row.object_key}"
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(name, compression=None) as out:
+                    zipped = name.endswith(".gz")
+                    out.write(plain if not zipped else (packed, packed[:-6], plain)[row.eid % 3])
+            yield frame[["object_key"]]
+
+    return run
 
 
 @query("a10_plain_lines", oracle("SELECT message, count(*) AS n FROM raw GROUP BY message", "raw"))
@@ -72,7 +109,7 @@ def _(t):
     one = F.lit('{\n "message":\n "turn 0"\n}')
     body = F.when(n == 0, F.concat(F.lit("[\n"), F.col("all"), F.lit("\n]"))).when(n == 1, one).otherwise(F.concat(one, F.lit("\n}")))
     path = scratch_path(t.spark, "whole")
-    docs.select("conv_id", body.alias("value")).repartition(8, "conv_id").write.partitionBy("conv_id").option(
+    docs.select("conv_id", body.alias("value")).hint("rebalance", "conv_id").write.partitionBy("conv_id").option(
         "compression", "gzip"
     ).text(path)
     lines = O.read_log_objects(t.spark, path)
@@ -86,43 +123,53 @@ def _(t):
 @query(
     "b1_central_sink",
     oracle(
-        f"""SELECT cluster_id || '/' || namespace || '/' || application || '/' || pod_name AS pod_prefix, count(*) AS lines,
-        min(COALESCE({TEXT_TIME}, {JSON_TIME}, ingest_ms)) AS first_ms FROM raw GROUP BY 1""",
+        f"""SELECT cluster_id || '/' || namespace || '/' || application || '/' || pod_name AS pod_prefix, message,
+        COALESCE({TEXT_TIME}, {JSON_TIME}, ingest_ms) AS ts_ms, count(*) AS n, true AS within_limit FROM raw GROUP BY ALL""",
         "raw",
     ),
 )
 def _(t):
     from tributary.operators.enrich import with_event_time
 
+    limit = 20_000
+
     path = scratch_path(t.spark, "central")
     timed = t.raw.withColumn("timestamp", F.timestamp_millis("ingest_ms")).transform(with_event_time, AS_OF_MS)
-    central.write_central(timed.select(*central.DIMENSIONS, "timestamp", "message"), path)
+    central.write_central(timed.select(*central.DIMENSIONS, "timestamp", "message"), path, object_bytes=limit)
     lines = central.read_central(t.spark, path)
-    stamp = F.unix_millis(F.try_variant_get(F.parse_json("line"), "$.timestamp", "string").cast("timestamp"))
-    prefix = F.regexp_replace("object_key", "/[^/]*$", "")
-    return lines.groupBy(prefix.alias("pod_prefix")).agg(F.count("*").alias("lines"), F.min(stamp).alias("first_ms"))
+    sizes = lines.groupBy("object_key").agg((F.sum(F.octet_length("line") + 1) <= limit).alias("within_limit"))
+    prefix, ts, message = F.regexp_replace("object_key", "/[^/]*$", ""), _member("timestamp").cast("timestamp"), _member("message")
+    rows = lines.join(sizes, "object_key").select(prefix.alias("pod_prefix"), message.alias("message"), F.unix_millis(ts).alias("ts_ms"), "within_limit")
+    return rows.groupBy("pod_prefix", "message", "ts_ms").agg(F.count("*").alias("n"), F.min("within_limit").alias("within_limit"))
+
+
+def _member(name: str):
+    return F.try_variant_get(F.parse_json("line"), f"$.{name}", "string")
 
 
 @query(
     "b2_executed_copies",
     oracle(
-        """SELECT tenant_id, application, count(*) AS copied FROM routed WHERE type = 's3' AND object_key NOT LIKE '%.json' GROUP BY ALL""", "routed"
+        """SELECT tenant_id, application, count(*) + count_if(eid % 7 = 0) AS copied, count_if(eid % 7 = 0) AS superseded, count(*) AS objects
+        FROM routed WHERE type = 's3' GROUP BY ALL""", "routed"
     ),
 )
 def _(t):
     from tributary.operators.delivery import plan_object_copies
 
     root, target = scratch_path(t.spark, "source"), scratch_path(t.spark, "target")
-    routed = t.routed.filter("object_key not like '%.json'")
-    plan = plan_object_copies(routed, AS_OF_MS)
-    put = plan.select("bucket", "object_key").distinct().repartition(8, "object_key")
+    # Some objects exist in a second cluster too; the destination key leaves the cluster out, so these copies collide.
+    twins = t.routed.filter("eid % 7 = 0").withColumn("object_key", F.regexp_replace("object_key", "^[^/]+", "twin-mc-9"))
+    plan = plan_object_copies(t.routed.unionByName(twins), AS_OF_MS)
+    put = plan.select("bucket", "object_key").distinct().repartition("object_key")
     put.mapInPandas(_put_objects(root), "object_key string").write.format("noop").mode("overwrite").save()
-    buckets = plan.select("dst_bucket").distinct().repartition(8, "dst_bucket")
+    buckets = plan.select("dst_bucket").distinct()
     buckets.mapInPandas(_make_buckets(target), "dst_bucket string").write.format("noop").mode("overwrite").save()
     done = copies.execute_copies(plan, root, target)
-    named = plan.select("dst_bucket", "dst_key", "tenant_id", F.get(F.split("object_key", "/"), F.lit(2)).alias("application"))
-    good = done.filter("succeeded").select("dst_bucket", "dst_key")
-    return good.join(named, ["dst_bucket", "dst_key"]).groupBy("tenant_id", "application").agg(F.count("*").alias("copied"))
+    parts = F.split("object_key", "/")
+    return done.filter("succeeded").groupBy(F.get(parts, F.lit(1)).alias("tenant_id"), F.get(parts, F.lit(2)).alias("application")).agg(
+        F.count("*").alias("copied"), F.count_if("superseded").alias("superseded"), F.count_distinct("dst_bucket", "dst_key").alias("objects")
+    )
 
 
 def _put_objects(root: str):
@@ -186,7 +233,7 @@ def _(t):
     "t1_collector_stream",
     oracle(
         f"""SELECT 'c-1/' || COALESCE(pod_namespace, 'unknown') || '/' || COALESCE(app_label, 'unknown') || '/' || COALESCE(pod, 'unknown') AS pod_prefix,
-        count(*) AS lines, max(COALESCE({TEXT_TIME}, {JSON_TIME}, ts_in_ms, 1706659200000)) AS last_ms FROM pods WHERE hosted = 'true' GROUP BY 1""",
+        message, COALESCE({TEXT_TIME}, {JSON_TIME}, ts_in_ms, 1706659200000) AS ts_ms, count(*) AS n FROM pods WHERE hosted = 'true' GROUP BY ALL""",
         "pods",
     ),
 )
@@ -196,9 +243,11 @@ def _(t):
     logs = collector.read_pod_logs(t.spark, source)
     collector.start_collector(logs, "c-1", path, ckpt, ("hosted", "true"), AS_OF_MS, once=True).awaitTermination()
     lines = central.read_central(t.spark, path)
-    stamp = F.unix_millis(F.try_variant_get(F.parse_json("line"), "$.timestamp", "string").cast("timestamp"))
-    prefix = F.regexp_replace("object_key", "/[^/]*$", "")
-    return lines.groupBy(prefix.alias("pod_prefix")).agg(F.count("*").alias("lines"), F.max(stamp).alias("last_ms"))
+    prefix, ts = F.regexp_replace("object_key", "/[^/]*$", ""), F.unix_millis(_member("timestamp").cast("timestamp"))
+    return lines.groupBy(prefix.alias("pod_prefix"), _member("message").alias("message"), ts.alias("ts_ms")).agg(F.count("*").alias("n"))
+
+
+UPLOADED = 9_000_000_000_000
 
 
 @query(
@@ -209,17 +258,17 @@ def _(t):
         + " GROUP BY ALL",
         "ev", "routed",
         dl2=f"""SELECT DISTINCT r.tenant_id, r.log_group_name AS log_group, {POD_PREFIX.replace('object_key', 'e.object_key')} AS pod_prefix, e.line_no, e.item_no, e.message,
-            e.event_ts_ms FROM ev e JOIN routed r ON {POD_PREFIX.replace('object_key', 'e.object_key')} = {POD_PREFIX.replace('object_key', 'r.object_key')}
-            WHERE r.type = 'cloudwatch' AND e.event_ts_ms > 1000000000000""",
+            CASE WHEN e.event_ts_ms = 0 THEN {UPLOADED} ELSE e.event_ts_ms END AS event_ts_ms FROM ev e JOIN routed r ON {POD_PREFIX.replace('object_key', 'e.object_key')} = {POD_PREFIX.replace('object_key', 'r.object_key')}
+            WHERE r.type = 'cloudwatch'""",
     ),
 )
 def _(t):
     ensure_checkpoint_dir(t.spark)
-    # Lines without a usable time would get the upload time of the files written here; leave them out.
+    # Lines with the time 0 get the upload time of the files written here, which is after all others: one file
+    # for each pod, and the time itself is shown as UPLOADED.
     path = scratch_path(t.spark, "store")
     dims = {folder: F.get(F.split("object_key", "/"), F.lit(i)) for folder, i in KEY_PARTS.items()}
-    rows = t.stored.filter('line not like \'%"timestamp":0}\'').withColumns(dims)
-    laid = rows.repartition(8, *KEY_PARTS).sortWithinPartitions(*KEY_PARTS, "line_no")
+    laid = t.stored.withColumns(dims).repartition(*KEY_PARTS).sortWithinPartitions(*KEY_PARTS, "line_no")
     laid.select(*KEY_PARTS, F.col("line").alias("value")).write.partitionBy(*KEY_PARTS).option("compression", "gzip").text(path)
     output = scratch_path(t.spark, "routed")
     conf = router.RouterConf(
@@ -230,7 +279,7 @@ def _(t):
     prefix = F.regexp_replace("object_key", "/[^/]*$", "")
     return t.spark.read.parquet(f"{output}/batches").select(
         "tenant_id", prefix.alias("pod_prefix"), "batch_id", "events",
-        F.array_min(F.transform("log_events", lambda e: e["event_ts_ms"])).alias("first_ms"),
+        F.array_min(F.transform("log_events", lambda e: F.when(e["event_ts_ms"] > AS_OF_MS, F.lit(UPLOADED)).otherwise(e["event_ts_ms"]))).alias("first_ms"),
         F.array_join(F.transform("log_events", lambda e: e["message"]), "|").alias("messages"),
     )
 
@@ -238,7 +287,7 @@ def _(t):
 def _stream_of(t: Tables, rows, name: str):
     """The rows as a file stream, written in time order so that nothing is late."""
     path = scratch_path(t.spark, name)
-    rows.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(path)
+    rows.repartitionByRange("ts").sortWithinPartitions("ts").write.parquet(path)
     return t.spark.readStream.schema(rows.schema).parquet(path)
 
 
@@ -255,16 +304,26 @@ def _drain(t: Tables, stream, name: str):
     oracle(
         """SELECT cluster_id, ts_ms AS last_beat_ms FROM (SELECT cluster_id, ts_ms, lead(ts_ms) OVER (PARTITION BY cluster_id ORDER BY ts_ms) AS nxt,
           max(ts_ms) OVER () AS newest FROM raw0 WHERE event_type = 'view')
-        WHERE COALESCE(nxt - ts_ms > 30000000, true) AND ts_ms + 30000001 <= newest""",
+        WHERE COALESCE(nxt - ts_ms > 30000000, true) AND ts_ms + 30000001 <= newest - 600000""",
         "raw0",
     ),
 )
 def _(t):
-    beats = t.raw.filter("application = 'kube-controller-manager'").select("cluster_id", F.timestamp_millis("ts_ms").alias("ts"))
+    beats = beat_records(t).select("cluster_id", F.timestamp_millis("ts_ms").alias("ts"))
     alerts = liveness.heartbeat_alerts(_stream_of(t, beats, "beats"), max_gap_s=30_000)
     return _drain(t, alerts, "alerts").select("cluster_id", F.unix_millis("last_beat").alias("last_beat_ms"))
 
 
+@query(
+    "t9_dedupe_stream",
+    oracle("SELECT object_key, type, count(*) AS n FROM attempts GROUP BY ALL", "routed", attempts=ATTEMPTS),
+)
+def _(t):
+    tries = redelivered(t).select("object_key", "type", F.timestamp_millis("delivered_ms").alias("ts"))
+    once = liveness.dedupe_stream(_stream_of(t, tries, "attempts"), ["object_key", "type"])
+    return _drain(t, once, "deduped").groupBy("object_key", "type").agg(F.count("*").alias("n"))
+
+
 @query(
     "t8_streaming_statistics",
     oracle(

@@ -477,14 +477,12 @@ def _period_job(seconds: int):
             F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")).alias("ts"),
             F.col("event_type").alias("metric"), text("tenant-", F.col("user_id").cast("string")).alias("tenant"), "value",
         )
-        cents = metrics.withColumn("value", F.round(F.col("value") * 100).cast("bigint"))
-        keys = ["period_start", "metric", "tenant"]
-        sums = A.metric_statistics(cents, seconds, ("sum",)).withColumnRenamed("sum", "sum_cents")
-        rest = A.metric_statistics(metrics, seconds, ("maximum", "samples", "average"))
-        both = sums.join(rest, keys)
-        return both.select(
-            F.unix_seconds("period_start").alias("period_s"), "metric", "tenant", "sum_cents", "maximum", "samples",
-            F.round("average", 6).alias("average"),
+        # Two-digit values as exact decimals, so that sums do not depend on the order of the rows.
+        exact = metrics.withColumn("value", F.col("value").cast("decimal(18,2)"))
+        found = A.metric_statistics(exact, seconds, ("sum", "maximum", "samples", "average"))
+        return found.select(
+            F.unix_seconds("period_start").alias("period_s"), "metric", "tenant", (F.col("sum") * 100).cast("bigint").alias("sum_cents"),
+            F.col("maximum").cast("double").alias("maximum"), "samples", F.round(F.col("sum").cast("double") / F.col("samples"), 6).alias("average"),
         )
 
     return job
@@ -556,7 +554,7 @@ def _(t):
         """SELECT message_id, "offset", retry_count + 1 AS retry_count, least(pow(2, retry_count + 1), 900)::INTEGER AS delay_s,
         1706659200000 + least(pow(2, retry_count + 1), 900)::BIGINT * 1000 AS visible_ms,
         env->>'$.Message' AS message, "offset" AS body_offset, retry_count + 1 AS body_retry_count, receipt_handle AS body_handle, '2024-01-31T00:00:00Z' AS body_requeued_at
-        FROM judged WHERE error_code IS NULL AND receipt_handle <> '' AND retry_count + 1 <= 3""",
+        FROM judged WHERE error_code IS NULL AND COALESCE(bad_at, -1) <> 0 AND receipt_handle <> '' AND retry_count + 1 <= 3""",
         "judged",
     ),
 )
@@ -588,8 +586,7 @@ def _(t):
     ),
 )
 def _(t):
-    lines = t.records.filter("item_no = 0").select(F.col("parse_error").alias("error"))
-    return A.stage_counts({"lines": lines, "records": t.records.filter("not parse_error"), "events": t.events})
+    return A.record_stage_counts(t.records)
 
 
 @query(
@@ -608,10 +605,16 @@ def _(t):
 @query(
     "t9_dedupe",
     oracle(
-        "SELECT tenant_id, type, min(delivered_ms) AS delivered_ms FROM attempts GROUP BY tenant_id, type",
+        "SELECT object_key, type, tenant_id, delivered_ms FROM attempts",
         "routed", attempts=ATTEMPTS,
     ),
 )
 def _(t):
-    tries = attempts_of(t.routed).select("tenant_id", "type", "delivered_ms", "object_key")
-    return A.dedupe_deliveries(tries, ["tenant_id", "type"]).select("tenant_id", "type", "delivered_ms")
+    return A.dedupe_deliveries(redelivered(t), ["object_key", "type"]).select("object_key", "type", "tenant_id", "delivered_ms")
+
+
+def redelivered(t):
+    """Every attempt, and for a third of them a redelivery some seconds later."""
+    tries = attempts_of(t.routed).select("object_key", "type", "tenant_id", "delivered_ms", "eid")
+    again = tries.filter("eid % 3 = 0").withColumn("delivered_ms", F.col("delivered_ms") + 5000)
+    return tries.unionByName(again)

@@ -159,6 +159,14 @@ def _(t):
 
 # -- health ---------------------------------------------------------------------------------------
 
+def beat_records(t):
+    """(cluster_id, ts_ms) of the heartbeat records among the messages of all events."""
+    beat = F.col("application") == "kube-controller-manager"
+    record = text('{"level":"info","message":"beat","interval_seconds":30,"heartbeat":', F.when(beat, "true").otherwise("false"), "}")
+    message = F.when(beat | (F.col("event_id") % 2 == 0), record).otherwise(F.col("message"))
+    return H.heartbeat_records(t.raw.select("cluster_id", "ts_ms", message.alias("message"))).select("cluster_id", "ts_ms")
+
+
 @query(
     "g4_heartbeat_gaps",
     oracle(
@@ -169,8 +177,7 @@ def _(t):
     ),
 )
 def _(t):
-    beats = t.raw.filter("application = 'kube-controller-manager'").select("cluster_id", "ts_ms")
-    return H.heartbeat_gaps(beats, AS_OF_MS, max_gap_s=30_000)
+    return H.heartbeat_gaps(beat_records(t), AS_OF_MS, max_gap_s=30_000)
 
 
 @query(

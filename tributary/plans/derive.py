@@ -107,6 +107,10 @@ def pod_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Numbers in forms the published encoder rewrites, and separators it escapes.
+NUMBERS = '{"a":[1e3,-1e-7,1e21,2.50,0.000001,123456789.125,12345678901234567890],"b 1.50":"1.50\u2028\u2029"}'
+
+
 def stored_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """(object_key, line_no, line): stored NDJSON, with arrays, scalars, blanks and broken lines."""
     raw = raw_logs(spark, sf_dir)
@@ -124,9 +128,9 @@ def stored_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
             4: text("   "),
             5: text('{"message":"z', ident, '","timestamp":0}'),
             6: text('{"message":"n', ident, '"}'),
-            7: text('{"message":"b', ident, '","timestamp":"bad"}'),
+            7: text('{"message":"b', ident, '","timestamp":"', F.when(eid % 40 == 7, "bad").otherwise(F.concat(iso, F.lit("Z\\n"))), '"}'),
             8: text('{"message":null,"timestamp":"', iso, 'Z"}'),
-            9: text('{"message":[1,"two"],"timestamp":', sec, ".5}"),
+            9: text('{"message":', F.when(eid % 40 == 9, '[1,"two"]').otherwise(NUMBERS), ',"timestamp":', sec, ".5}"),
         },
         usual,
     )
@@ -156,7 +160,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return text('{\\"s3\\":{\\"bucket\\":{\\"name\\":\\"', BUCKET, '\\"},\\"object\\":{\\"key\\":\\"', k, '\\"}}}')
 
     first = record(F.when(eid % 17 == 0, text("bad%zz/", key)).otherwise(F.replace(key, F.lit("-"), F.lit("%2D"))))
-    second = F.when(eid % 5 == 0, text(",", record("invalid-key+format.json.gz"))).otherwise("")
+    second = F.when(eid % 10 == 0, text(",", record("invalid-key+format.json.gz"))).when(
+        eid % 10 == 5, text(",", record("bad%zz/second.json.gz"), ",", record("never-reached.json.gz"))
+    ).otherwise("")
     inner = F.when(eid % 13 == 0, "not json").when(eid % 19 == 0, '{\\"Event\\":\\"test\\"}').otherwise(
         text('{\\"Records\\":[', first, second, "]}")
     )

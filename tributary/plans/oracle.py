@@ -46,9 +46,10 @@ CTES = {
         WHEN 4 THEN '   '
         WHEN 5 THEN '{"message":"z' || event_id || '","timestamp":0}'
         WHEN 6 THEN '{"message":"n' || event_id || '"}'
-        WHEN 7 THEN '{"message":"b' || event_id || '","timestamp":"bad"}'
+        WHEN 7 THEN '{"message":"b' || event_id || '","timestamp":"' || CASE WHEN event_id % 40 = 7 THEN 'bad' ELSE iso || 'Z\\n' END || '"}'
         WHEN 8 THEN '{"message":null,"timestamp":"' || iso || 'Z"}'
-        WHEN 9 THEN '{"message":[1,"two"],"timestamp":' || ts_s || '.5}'
+        WHEN 9 THEN '{"message":' || CASE WHEN event_id % 40 = 9 THEN '[1,"two"]'
+            ELSE '{"a":[1e3,-1e-7,1e21,2.50,0.000001,123456789.125,12345678901234567890],"b 1.50":"1.50' || chr(8232) || chr(8233) || '"}' END || ',"timestamp":' || ts_s || '.5}'
         ELSE '{"cluster_id":"' || cluster_id || '","message":"m' || event_id || ' é<>","timestamp":"' || iso || 'Z"}' END AS line
         FROM raw""",
     # Records of the stored lines: json_valid keeps whole JSON values only.
@@ -65,7 +66,8 @@ CTES = {
             WHEN 'DOUBLE' THEN CASE WHEN (rec->>'$.timestamp')::DOUBLE > 1e12 THEN trunc((rec->>'$.timestamp')::DOUBLE)::BIGINT ELSE trunc((rec->>'$.timestamp')::DOUBLE * 1000)::BIGINT END
             ELSE 1706659200000 END AS event_ts_ms,
         CASE json_type(rec, '$.message') WHEN 'VARCHAR' THEN rec->>'$.message'
-            ELSE replace(replace(replace(CASE WHEN json_exists(rec, '$.message') THEN CAST(json_extract(rec, '$.message') AS VARCHAR)
+            ELSE replace(replace(replace(CASE WHEN json_exists(rec, '$.message.a') THEN '{"a":[1000,-1e-7,1e+21,2.5,0.000001,123456789.125,12345678901234567000],"b 1.50":"1.50\\u2028\\u2029"}'
+                WHEN json_exists(rec, '$.message') THEN CAST(json_extract(rec, '$.message') AS VARCHAR)
                 ELSE '{"k":' || CAST(json_extract(rec, '$.k') AS VARCHAR) || ',"level":' || CAST(json_extract(rec, '$.level') AS VARCHAR) || '}' END,
                 '&', '\\u0026'), '<', '\\u003c'), '>', '\\u003e') END AS message
         FROM records WHERE json_type(rec) = 'OBJECT'""",
@@ -104,7 +106,9 @@ CTES = {
           CASE WHEN eid % 13 = 0 THEN 'not json' WHEN eid % 19 = 0 THEN '{\\"Event\\":\\"test\\"}'
             ELSE '{\\"Records\\":[{\\"s3\\":{\\"bucket\\":{\\"name\\":\\"central-logs\\"},\\"object\\":{\\"key\\":\\"'
               || CASE WHEN eid % 17 = 0 THEN 'bad%zz/' || object_key ELSE replace(object_key, '-', '%2D') END || '\\"}}}'
-              || CASE WHEN eid % 5 = 0 THEN ',{\\"s3\\":{\\"bucket\\":{\\"name\\":\\"central-logs\\"},\\"object\\":{\\"key\\":\\"invalid-key+format.json.gz\\"}}}' ELSE '' END
+              || CASE WHEN eid % 10 = 0 THEN ',{\\"s3\\":{\\"bucket\\":{\\"name\\":\\"central-logs\\"},\\"object\\":{\\"key\\":\\"invalid-key+format.json.gz\\"}}}'
+                WHEN eid % 10 = 5 THEN ',{\\"s3\\":{\\"bucket\\":{\\"name\\":\\"central-logs\\"},\\"object\\":{\\"key\\":\\"bad%zz/second.json.gz\\"}}}'
+                  || ',{\\"s3\\":{\\"bucket\\":{\\"name\\":\\"central-logs\\"},\\"object\\":{\\"key\\":\\"never-reached.json.gz\\"}}}' ELSE '' END
               || ']}' END
           || '"' || CASE WHEN eid % 11 = 0 THEN ',"processing_metadata":{"offset":' || (eid % 4) || ',"retry_count":' || (eid % 5) || '}'
                 WHEN eid % 23 = 0 THEN ',"processing_metadata":"broken"' ELSE '' END || '}' END AS body
@@ -113,17 +117,18 @@ CTES = {
     "opened2": """SELECT *, TRY_CAST(env->>'$.Message' AS JSON) AS note, json_type(env, '$.processing_metadata') AS mt FROM opened""",
     "judged": """SELECT *, CASE WHEN env IS NULL THEN 'invalid_envelope' WHEN note IS NULL THEN 'invalid_notification'
             WHEN mt IS NOT NULL AND mt <> 'OBJECT' THEN 'invalid_metadata'
-            WHEN regexp_matches(COALESCE(CAST(json_extract(note, '$.Records[*].s3.object.key') AS VARCHAR), ''), '%([^0-9A-Fa-f]|.[^0-9A-Fa-f])') THEN 'invalid_escape'
             END AS error_code,
+        list_position(list_transform(json_extract_string(note, '$.Records[*].s3.object.key'), lambda k: regexp_matches(k, '%([^0-9A-Fa-f]|.[^0-9A-Fa-f])')), true) - 1 AS bad_at,
         CASE WHEN mt = 'OBJECT' THEN COALESCE((env->>'$.processing_metadata.offset')::BIGINT, 0) ELSE 0 END AS "offset",
         CASE WHEN mt = 'OBJECT' THEN COALESCE((env->>'$.processing_metadata.retry_count')::BIGINT, 0) ELSE 0 END AS retry_count
         FROM opened2""",
     "notes": """SELECT message_id, "offset", retry_count, error_code, NULL::INTEGER AS record_idx, NULL AS bucket, NULL AS object_key, eid
         FROM judged WHERE error_code IS NOT NULL OR COALESCE(json_array_length(note, '$.Records'), 0) = 0
+        UNION ALL SELECT message_id, "offset", retry_count, 'invalid_escape', bad_at::INTEGER, NULL, NULL, eid FROM judged WHERE error_code IS NULL AND bad_at >= 0
         UNION ALL
         SELECT message_id, "offset", retry_count, NULL, i::INTEGER, note->>('$.Records[' || i || '].s3.bucket.name'),
             url_decode(replace(note->>('$.Records[' || i || '].s3.object.key'), '+', '%20')), eid
-        FROM (SELECT *, unnest(range(0, json_array_length(note, '$.Records')::BIGINT)) AS i FROM judged WHERE error_code IS NULL)""",
+        FROM (SELECT *, unnest(range(0, CASE WHEN bad_at >= 0 THEN bad_at ELSE json_array_length(note, '$.Records')::BIGINT END)) AS i FROM judged WHERE error_code IS NULL)""",
 }
 
 # Which tables a table is built from.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.rules import copy_error_class
@@ -13,14 +13,16 @@ from tributary.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-RESULT = "bucket string, object_key string, dst_bucket string, dst_key string, succeeded boolean, error string"
+RESULT = "bucket string, object_key string, dst_bucket string, dst_key string, succeeded boolean, error string, superseded boolean"
 BLOCK = 4 * 1024 * 1024
 
 
 def _copy_rows(source_root: str, target_root: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
+        from pyspark import TaskContext
 
+        attempt = TaskContext.get().taskAttemptId()
         source, source_base = fs.FileSystem.from_uri(source_root)
         target, target_base = fs.FileSystem.from_uri(target_root)
 
@@ -33,8 +35,9 @@ def _copy_rows(source_root: str, target_root: str):
             if source.get_file_info(origin).type == fs.FileType.NotFound:
                 return f"NoSuchKey: {row.object_key}"
             target.create_dir(goal.rsplit("/", 1)[0], recursive=True)
-            # A copy becomes visible in one step, so a repeated task leaves the same object behind.
-            part = f"{goal}.{row.part}.part"
+            # A copy becomes visible in one step, so a repeated task leaves the same object behind; two attempts of
+            # one task never share a part file.
+            part = f"{goal}.{row.part}-{attempt}.part"
             with source.open_input_stream(origin, compression=None) as reader:
                 with target.open_output_stream(part, compression=None, metadata=dict(row.metadata)) as writer:
                     while block := reader.read(BLOCK):
@@ -54,6 +57,7 @@ def _copy_rows(source_root: str, target_root: str):
             done = frame[["bucket", "object_key", "dst_bucket", "dst_key"]].copy()
             done["succeeded"] = [e is None for e in errors]
             done["error"] = errors
+            done["superseded"] = frame["superseded"]
             yield done
 
     return run
@@ -62,22 +66,25 @@ def _copy_rows(source_root: str, target_root: str):
 def execute_copies(plan: DataFrame, source_root: str, target_root: str, tasks: int | None = None) -> DataFrame:
     """Copies every planned object from ``source_root/bucket/key`` to ``target_root/dst_bucket/dst_key``.
 
-    Roots are paths or URIs every executor reaches. Each destination key is copied once. Adds
-    succeeded, error and error_class; the plan is dealt out evenly, whatever tenant owns it.
+    Roots are paths or URIs every executor reaches. One result per planned row, with succeeded, error, error_class and
+    superseded. Rows with one destination key run in one task, in order of their upload time (if the plan has one), then
+    bucket and key: the last one owns the bytes, and the others are superseded. A copy planned twice runs twice. The plan
+    is dealt out evenly, whatever tenant owns it.
     """
     spark = plan.sparkSession
     n = tasks or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    entries = F.map_entries("metadata")
-    once = plan.groupBy("dst_bucket", "dst_key").agg(
-        F.min(F.struct("bucket", "object_key", entries.alias("entries"))).alias("_from")
+    uploaded = F.col("upload_ms") if "upload_ms" in plan.columns else F.lit(0)
+    goal, order = ["dst_bucket", "dst_key"], [uploaded, "bucket", "object_key"]
+    last = Window.partitionBy(*goal).orderBy(*order)
+    rows = plan.withColumn("superseded", F.lead(F.lit(True), 1, False).over(last)).select(
+        "bucket",
+        "object_key",
+        *goal,
+        "metadata",
+        F.md5(F.concat_ws("/", "bucket", "object_key")).alias("part"),
+        "superseded",
+        uploaded.alias("_uploaded"),
     )
-    rows = once.select(
-        "_from.bucket",
-        "_from.object_key",
-        "dst_bucket",
-        "dst_key",
-        F.map_from_entries("_from.entries").alias("metadata"),
-        F.md5(F.concat_ws("/", "_from.bucket", "_from.object_key")).alias("part"),
-    ).repartition(n, "dst_bucket", "dst_key")
-    done = rows.mapInPandas(_copy_rows(source_root, target_root), RESULT)
+    dealt = rows.repartition(n, *goal).sortWithinPartitions(*goal, "_uploaded", "bucket", "object_key").drop("_uploaded")
+    done = dealt.mapInPandas(_copy_rows(source_root, target_root), RESULT)
     return done.withColumn("error_class", copy_error_class(F.col("error")))

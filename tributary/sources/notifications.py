@@ -37,6 +37,11 @@ def with_processing_metadata(msgs: DataFrame, body: str = "body") -> DataFrame:
 
     No metadata gives zeros; metadata of the wrong shape is an error worth a retry.
     """
+    return _opened(msgs, body).drop("_body")
+
+
+def _opened(msgs: DataFrame, body: str) -> DataFrame:
+    """The message columns, those of with_processing_metadata, and the parsed body."""
     parsed = with_json_object(msgs, trimmed(F.col(body)), "_body").withColumn(
         "_meta", F.try_variant_get("_body", "$.processing_metadata", "variant")
     )
@@ -55,26 +60,23 @@ def with_processing_metadata(msgs: DataFrame, body: str = "body") -> DataFrame:
         "original_receipt_handle": F.when(plain, F.lit("")).otherwise(F.coalesce(handle, F.lit(""))),
         "metadata_error": F.col("_body").isNotNull() & broken,
     }
-    return settle(parsed, found).select(*msgs.columns, *found)
+    return settle(parsed, found).select(*msgs.columns, *found, "_body")
 
 
 def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
     """One row per record: message columns, record_idx, bucket, object_key, error_class, error_code.
 
-    A broken envelope, notification or key escape condemns the whole message (one row, no key).
-    Missing records leave one row with neither key nor error: the message succeeded with no work.
+    A broken envelope or notification condemns the whole message (one row, no key). Records are taken in order: at
+    the first broken key escape there is an error row with its index, those before it stay, and those behind it are not
+    looked at. Missing records leave one row with neither key nor error: the message succeeded with no work.
     """
-    enveloped = with_json_object(with_processing_metadata(msgs, body), trimmed(F.col(body)), "_envelope")
-    noted = enveloped.withColumn("_text", _text_member(F.col("_envelope"), "Message", "message"))
+    noted = _opened(msgs, body).withColumn("_text", _text_member(F.col("_body"), "Message", "message"))
     inner = with_json_object(noted, trimmed(F.col("_text")), "_inner")
     listed = inner.withColumn("_records", F.from_json(F.to_json("_inner"), NOTIFICATION, {"mode": "PERMISSIVE"})["Records"])
-    keys = F.transform("_records", lambda r: F.coalesce(r["s3"]["object"]["key"], F.lit("")))
-    bad_escape = F.coalesce(F.exists(keys, lambda k: unescape_key(k).isNull()), F.lit(False))
     code = (
-        F.when(F.col("_envelope").isNull(), F.lit("invalid_envelope"))
+        F.when(F.col("_body").isNull(), F.lit("invalid_envelope"))
         .when(F.col("_inner").isNull(), F.lit("invalid_notification"))
         .when(F.col("metadata_error"), F.lit("invalid_metadata"))
-        .when(bad_escape, F.lit("invalid_escape"))
     )
     # All outcomes become items of one array. What comes out of the explode cannot be pushed below
     # it, so a later filter on the error or the key never repeats the parse.
@@ -93,12 +95,16 @@ def parse_notifications(msgs: DataFrame, body: str = "body") -> DataFrame:
             none,
         ),
     )
+    broken_at = F.array_position(F.transform("_found", lambda r: r["object_key"].isNull()), True).cast("int")
+    in_order = F.when(broken_at == 0, F.col("_found")).otherwise(
+        F.concat(F.slice("_found", F.lit(1), broken_at - 1), F.array(row(broken_at - 1, none, none, F.lit("invalid_escape"))))
+    )
     items = (
         F.when(F.col("_code").isNotNull(), F.array(row(F.lit(None), none, none, F.col("_code"))))
-        .when(F.size("_records") > 0, found)
+        .when(F.size("_records") > 0, in_order)
         .otherwise(F.array(row(F.lit(None), none, none, none)))
     )
-    rows = listed.withColumn("_code", code).select("*", F.explode_outer(items).alias("_r"))
+    rows = listed.withColumn("_code", code).withColumn("_found", found).select("*", F.explode_outer(items).alias("_r"))
     carried = [c for c in msgs.columns if c != body]
     return rows.select(
         *carried,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,8 +58,51 @@ def read_log_objects(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of each object, or one row with an error code; a broken object yields no line at all."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            key, stamp, content = (batch[c][i] for c in ("object_key", "upload_ms", "content"))
+            lines, code = [None], None
+            try:
+                raw = content.as_py()
+                text = (gzip.decompress(raw) if key.as_py().endswith(".gz") else raw).decode("utf-8", "replace")
+                lines = text.removesuffix("\n").split("\n") if text else []
+            except EOFError:
+                code = "truncated"
+            except (OSError, zlib.error):
+                code = "corrupt"
+            n = len(lines)
+            yield pa.record_batch(
+                [pa.array([key.as_py()] * n, pa.string()), pa.array(range(n), pa.int64()), pa.array(lines, pa.string()),
+                 pa.array([stamp.as_py()] * n, pa.int64()), pa.array([code] * n, pa.string())],
+                ["object_key", "line_no", "line", "upload_ms", "error_code"],
+            )
+
+
+def unpack_objects(files: DataFrame) -> DataFrame:
+    """(object_key, line_no, line, upload_ms, error_code) of files (object_key, upload_ms, content), batch or stream.
+
+    Each object is unpacked by itself: one that is ``corrupt`` or ``truncated`` gives one row with that code and no
+    line, and the others go on. An object is held whole; the central sink bounds its size.
+    """
+    return files.mapInArrow(_unpack, "object_key string, line_no bigint, line string, upload_ms bigint, error_code string")
+
+
+def whole_files(reader, path: str) -> DataFrame:
+    """(object_key, upload_ms, content) of all files below a folder, from a batch or stream reader."""
+    schema = "path string, modificationTime timestamp, length bigint, content binary"  # streams ask for it
+    files = reader.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").load(path)
+    return files.select(key_below(path).alias("object_key"), F.unix_millis("modificationTime").alias("upload_ms"), "content")
+
+
+def read_each_object(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_log_objects`, with an error code for each object that cannot be read."""
+    return unpack_objects(whole_files(spark.read.option("ignoreMissingFiles", "true"), path))
+
+
 def _read_whole(root: str):
-    """Contents of the named objects, opened one by one on the executor."""
+    """Contents of the named objects, opened one by one on the executor; an error code for those that cannot be read."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -64,21 +110,32 @@ def _read_whole(root: str):
         store, base = fs.FileSystem.from_uri(root)
         for frame in frames:
             for key in frame["object_key"]:
-                packing = "gzip" if key.endswith(".gz") else None
-                with store.open_input_stream(f"{base}/{key}", compression=packing) as reader:
-                    content = reader.read().decode("utf-8", "replace")
-                yield pd.DataFrame({"object_key": [key], "content": [content]})
+                content = code = None
+                try:
+                    with store.open_input_stream(f"{base}/{key}", compression=None) as reader:
+                        raw = reader.read()
+                    content = (gzip.decompress(raw) if key.endswith(".gz") else raw).decode("utf-8", "replace")
+                except FileNotFoundError:
+                    code = "missing"
+                except EOFError:
+                    code = "truncated"
+                except (OSError, zlib.error):
+                    code = "corrupt"
+                yield pd.DataFrame({"object_key": [key], "content": [content], "error_code": [code]})
 
     return run
 
 
 def read_whole_objects(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:
-    """(object_key, content), one row per file; with ``keys`` only those files are opened."""
+    """(object_key, content, error_code), one row per file; with ``keys`` only those files are opened.
+
+    The content of a ``missing``, ``truncated`` or ``corrupt`` file is null, and the others go on.
+    """
     if keys is not None:
         wanted = keys.select("object_key").distinct()
-        return wanted.mapInPandas(_read_whole(path), "object_key string, content string")
+        return wanted.mapInPandas(_read_whole(path), "object_key string, content string, error_code string")
     raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return raw.select(key_below(path).alias("object_key"), F.col("value").alias("content"))
+    return raw.select(key_below(path).alias("object_key"), F.col("value").alias("content"), F.lit(None).cast("string").alias("error_code"))
 
 
 def list_objects(spark: SparkSession, path: str, bucket: str) -> DataFrame:

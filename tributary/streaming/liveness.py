@@ -6,18 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tributary.constants import HEARTBEAT_MAX_GAP_S
 from tributary.operators.accounting import STATISTICS
 
 
+#: Many beat intervals (30 s): a beat that a slow collector delivers minutes late raises no false alert.
+LATENESS = "10 minutes"
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the query dropped so far because they came after the watermark, over the progress Spark keeps."""
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    return sum(s["numRowsDroppedByWatermark"] for s in states)
+
+
 def heartbeat_alerts(
-    beats: DataFrame, key: str = "cluster_id", max_gap_s: int = HEARTBEAT_MAX_GAP_S, lateness: str = "0 seconds"
+    beats: DataFrame, key: str = "cluster_id", max_gap_s: int = HEARTBEAT_MAX_GAP_S, lateness: str = LATENESS
 ) -> DataFrame:
     """One row per silence longer than the limit: key, last_beat, first_beat, beats.
 
     A silence is the end of a session: beats no further apart than the limit form one, and append
-    mode emits it as soon as the watermark has passed its end. Sessions are merged on the map side.
+    mode emits it as soon as the watermark has passed its end. Sessions are merged on the map side. Beats
+    that come up to ``lateness`` after newer ones still count; :func:`late_rows` tells how many came later than that.
     """
     live = beats.withWatermark("ts", lateness)
     # The limit itself is no silence yet, so a session reaches one millisecond further.
@@ -33,7 +45,7 @@ def stream_metric_statistics(
     metrics: DataFrame,
     period: int,
     stats: Sequence[str] = ("sum", "average", "maximum"),
-    lateness: str = "10 minutes",
+    lateness: str = LATENESS,
     keys: Sequence[str] = ("metric", "tenant"),
 ) -> DataFrame:
     """Period statistics that are final once the watermark has passed the period."""

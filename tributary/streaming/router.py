@@ -16,7 +16,7 @@ from tributary.operators import delivery as D
 from tributary.operators import records as R
 from tributary.operators import routing as RT
 from tributary.sinks.central import bare_key
-from tributary.sources.objects import SCAN_SUFFIX, key_below, with_suffix
+from tributary.sources.objects import SCAN_SUFFIX, unpack_objects, whole_files, with_suffix
 from tributary.session import ensure_checkpoint_dir
 from tributary.streaming.collector import now_ms
 
@@ -39,15 +39,14 @@ class RouterConf:
 
 
 def read_object_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of (object_key, line_no, line, upload_ms) of new objects; the checkpoint is the ledger."""
-    reader = spark.readStream.option("recursiveFileLookup", "true")
+    """Stream of (object_key, line_no, line, upload_ms, error_code) of new objects; the checkpoint is the ledger.
+
+    An object that cannot be unpacked gives one row with an error code instead of failing its micro-batch.
+    """
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path, lineSep="\n").select(
-        bare_key(key_below(path)).alias("object_key"),
-        F.col("value").alias("line"),
-        F.unix_millis("_metadata.file_modification_time").alias("upload_ms"),
-    )
+    return unpack_objects(whole_files(reader, path)).withColumn("object_key", bare_key(F.col("object_key")))
 
 
 def route_lines(
@@ -62,9 +61,16 @@ def route_lines(
 ) -> dict[str, DataFrame]:
     """All tables of one run: rejects, unroutable, copies, batches, failed objects and metrics.
 
-    Routing works on keys; only lines of objects with an event delivery are parsed.
+    Routing works on keys; only lines of objects with an event delivery are parsed. Rows with an ``error_code``, if
+    there is such a column, stand for objects that could not be read: their event deliveries are failed objects.
     """
-    seen = lines.groupBy("object_key").agg(F.max("upload_ms").alias("upload_ms")).withColumn("bucket", F.lit(bucket))
+    unreadable = None
+    if "error_code" in lines.columns:
+        unreadable, lines = lines.filter("error_code is not null"), lines.filter("error_code is null").drop("error_code")
+    readable_or_not = lines.select("object_key", "upload_ms")
+    if unreadable is not None:
+        readable_or_not = readable_or_not.unionByName(unreadable.select("object_key", "upload_ms"))
+    seen = readable_or_not.groupBy("object_key").agg(F.max("upload_ms").alias("upload_ms")).withColumn("bucket", F.lit(bucket))
     objects = with_suffix(seen, suffix)
     valid, rejects = RT.split_valid_keys(objects)
     named = RT.extract_tenant_info(valid)
@@ -75,6 +81,9 @@ def route_lines(
     ensure_checkpoint_dir(lines.sparkSession)
     records = R.parse_lines(wanted).drop("line").checkpoint()
     events, failed = R.object_events(wanted, as_of, records, D.STREAM)
+    if unreadable is not None:
+        lost_ones = D.lines_to_deliver(with_suffix(unreadable.drop("error_code"), suffix), routable)
+        failed = failed.unionByName(lost_ones.select("object_key", *D.STREAM, F.lit("recoverable").alias("error_class")))
     deliveries = R.fallback_ts(events).drop("upload_ms")
     packed = D.pack_deliveries(deliveries, max_events, max_bytes, chunks)
     batches = D.delivery_batches(packed)
@@ -100,10 +109,8 @@ def start_router(spark: SparkSession, conf: RouterConf, once: bool = False) -> S
     ensure_checkpoint_dir(spark)
 
     def run(batch: DataFrame, number: int) -> None:
-        numbered = batch.withColumn("line_no", F.monotonically_increasing_id())
-        # Several tables come from the same lines; a reliable checkpoint reads the objects once and
-        # keeps line numbers fixed when an executor is lost.
-        kept = numbered.checkpoint()
+        # Several tables come from the same lines; a reliable checkpoint reads the objects once.
+        kept = batch.checkpoint()
         as_of = conf.as_of if conf.as_of is not None else now_ms()
         tables = route_lines(
             kept, conf.configs(), conf.bucket, as_of, conf.max_events, conf.max_bytes, conf.chunks, conf.suffix
