@@ -177,22 +177,31 @@ def _assign(keys: Sequence[str], max_events: int, max_bytes: int, kept: Sequence
             n = batch.num_rows
             if n == 0:
                 continue
-            starts = _key_starts(batch, keys, previous).tolist()
-            sizes = batch.column(SIZE).to_pylist()
+            starts = np.flatnonzero(_key_starts(batch, keys, previous))
+            prefix = np.concatenate(([0], np.cumsum(batch.column(SIZE).to_numpy(zero_copy_only=False), dtype=np.int64)))
             carried = [batch.column(c) for c in STATE]
-            batch_ids, ranks = [0] * n, [0] * n
-            for i in range(n):
-                if starts[i]:
-                    events, size, numbered, seen = (c[i].as_py() for c in carried)
-                s = sizes[i]
-                if events == 0 or events >= max_events or size + s > max_bytes:
-                    events, size = 0, 0
-                    numbered += 1
-                events += 1
-                size += s
-                seen += 1
-                batch_ids[i] = numbered - 1
-                ranks[i] = seen
+            batch_ids, ranks = np.empty(n, np.int64), np.empty(n, np.int64)
+            begins = starts.tolist() if len(starts) and starts[0] == 0 else [0, *starts.tolist()]
+            fresh = set(starts.tolist())
+            for at, end in zip(begins, [*begins[1:], n]):
+                if at in fresh:
+                    events, size, numbered, seen = (c[at].as_py() for c in carried)
+                ranks[at:end] = seen + np.arange(1, end - at + 1)
+                seen += end - at
+                # One step for each batch: how far the open one reaches, by count and by bytes.
+                while at < end:
+                    left = max_bytes - size if events else max_bytes
+                    by_bytes = int(np.searchsorted(prefix, prefix[at] + left, side="right")) - 1
+                    stop = min(end, at + max_events - events, by_bytes)
+                    if not events:
+                        numbered += 1
+                        stop = max(stop, at + 1)  # an event above the limit travels alone
+                    if stop > at:
+                        batch_ids[at:stop] = numbered - 1
+                        events, size = events + stop - at, (size if events else 0) + int(prefix[stop] - prefix[at])
+                        at = stop
+                    if at < end:
+                        events = size = 0
             previous = _last_row(batch, keys)
             columns = [batch.column(c) for c in kept]
             columns += [pa.array(ranks, pa.int64()), pa.array(batch_ids, pa.int64())]
