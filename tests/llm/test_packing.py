@@ -18,7 +18,7 @@ def plain():
     return made
 
 
-ODD = ["", " ", "\n", " \n  a", "a  b\t\n c ", "it's  we'll x   y", "  z", "é è　 ß", "a\u0085 b", "<|endoftext|> a", "x\r\n\r\n  y\n", "\x1c a\x1c b", "0 12 345,67", "日本 語", "\x00a\x00 b"]
+ODD = ["", " ", "\n", " \n  a", "a  b\t\n c ", "it's  we'll x   y", "  z", "é è　 ß", "a\u0085 b", "<|endoftext|> a", "x\r\n\r\n  y\n", "\x1c a\x1c b", "0 12 345,67", "日本 語", "\x00a\x00 b", "a.b,c!! d's.", "x_y-z''q", "é. à,b…,c", "A***b ###"]
 
 
 def test_ids_are_those_of_whole_texts(plain, monkeypatch):
