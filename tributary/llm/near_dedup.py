@@ -12,9 +12,9 @@ about one point per element.
 2. Texts that share a bucket (band and key) are candidates. A bucket of more than ``SMALL`` texts is also split by the keys of the
    next bands, which only very similar texts share as well: in dense groups, true links meet again in small buckets.
 3. First every text is compared with the leader of each of its buckets, the text with the most neighbours in all: one pair
-   a text and bucket, however large the group. Then small buckets are compared in full, at most ``SMALL`` - 1 pairs a text. Then
-   rounds go on over larger buckets that still hold several classes, a member of each class with a leader
-   by another random order, until a round finds no link. Pairs within one class and pairs tested before are left out.
+   a text and bucket, however large the group; and small buckets are compared in full, at most ``SMALL`` - 1 pairs a text and
+   bucket. Then rounds go on over larger buckets that still hold several classes, a member of each class with a leader
+   by another random order, until a round finds no link.
    Every pair is verified on the whole multisets: a link needs a weighted Jaccard similarity of ``SIMILARITY``.
 4. Links are contracted to classes (large-star, small-star).
 
@@ -164,18 +164,21 @@ def components(links: DataFrame) -> DataFrame:
     def directed(df: DataFrame) -> DataFrame:
         return df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
 
-    def state(df: DataFrame):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def stars(df: DataFrame) -> bool:
+        """Whether each node has one root, and no root has one of its own."""
+        roles = df.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(df.select("b", F.lit(0), F.lit(1)))
+        both = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return both.where("up + down > 1 AND up > 0").isEmpty()
 
-    edges, before = _saved(directed(links), "links"), None
-    while (now := state(edges)) != before:
+    edges = _saved(directed(links), "links")
+    while not stars(edges):
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # large-star
         large = directed(large.union(edges.select("a", "b").join(least, "a").select("a", F.col("m").alias("b"))))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest)  # small-star
-        edges, before = _saved(directed(small), "stars"), now
+        edges = _saved(directed(small), "stars")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
@@ -208,15 +211,14 @@ def _led(members: DataFrame, salt: int) -> DataFrame:
     chosen = members.groupBy("level", "band", "key", "class").agg(F.min(order).alias("m"))
     leaders = chosen.groupBy("level", "band", "key").agg(F.min("m").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = chosen.join(leaders, ["level", "band", "key"]).where("m.class <> leader.class")
-    return pairs.select(F.greatest("m.rep", "leader.rep").alias("a"), F.least("m.rep", "leader.rep").alias("b")).distinct()
+    return pairs.select(F.greatest("m.rep", "leader.rep").alias("a"), F.least("m.rep", "leader.rep").alias("b"))
 
 
 def _full(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes in buckets of at most SMALL texts."""
-    groups = members.where(F.col("n") <= SMALL).groupBy("level", "band", "key").agg(F.sort_array(F.collect_list(F.struct("rep", "class"))).alias("g"))
-    one = groups.select("g", F.posexplode("g").alias("i", "x"))
-    pairs = one.select("x", F.explode(F.slice("g", F.lit(1), F.col("i"))).alias("y")).where("x.class <> y.class")
-    return pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    """All pairs (a, b) of buckets of at most SMALL texts."""
+    groups = members.where(F.col("n") <= SMALL).groupBy("level", "band", "key").agg(F.sort_array(F.collect_set("rep")).alias("g"))
+    one = groups.select("g", F.posexplode("g").alias("i", "a"))
+    return one.select("a", F.explode(F.slice("g", F.lit(1), F.col("i"))).alias("b"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,29 +238,28 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # Multisets of the candidates only, laid out by id so that rounds do not shuffle them.
     bags_name = f"bags_{uuid4().hex}"
     candidates = members.select("rep").distinct()
-    wanted = plain.join(candidates, plain["doc_id"] == candidates["rep"], "left_semi")
+    # Always as a merge join: the texts move once, at every size, and a hot id is split.
+    wanted = plain.join(candidates.hint("merge"), plain["doc_id"] == candidates["rep"], "left_semi")
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = wanted.mapInArrow(_bags, "doc_id bigint, bag binary")
     held.write.option("path", scratch_path(spark, "bags")).bucketBy(slots, "doc_id").sortBy("doc_id").saveAsTable(bags_name)
     try:
-        labels = tested = None
+        labels = None
         bags = spark.table(bags_name)
         for k in count():
-            own = _classed(members if k < 2 else members.where(F.col("n") > SMALL), labels)
-            pairs = _full(own) if k == 1 else _led(own, k)
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = _saved(pairs, "pairs")
+            if k == 0:
+                every = _led(_classed(members, None), 0).union(_full(members))
+            else:
+                every = _led(_classed(members.where(F.col("n") > SMALL), labels), k)
+            pairs = _saved(every.distinct(), "pairs")
             joined = pairs.join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a").join(
                 bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b")), "b"
             )
             found = _saved(joined.select("a", "b", "bag_a", "bag_b").mapInArrow(_verify, "a bigint, b bigint"), "found")
-            tested = pairs if tested is None else tested.union(pairs)
-            if not found.isEmpty():
-                known = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-                labels = components(known)
-            elif k > 1:
+            if found.isEmpty():
                 break
+            known = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            labels = components(known)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {bags_name}")
     of_rep = alike.select("p0", "p1", "rep")
