@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -149,6 +150,39 @@ def test_heartbeat_alerts(spark, tmp_path):
     assert sorted(map(tuple, found)) == [("a", 420, 3), ("a", 721, 1), ("b", 700, 1)]
 
 
+def test_silence_alert_without_further_beats(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 10), ("a", 70), ("b", 40)], "cluster_id string, s int").selectExpr("cluster_id", "timestamp_seconds(s) ts")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = liveness.silence_alerts(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), max_gap_s=2)
+    seen = []
+    query = stream.writeStream.outputMode("update").foreachBatch(lambda df, n: seen.extend(df.selectExpr("cluster_id", "unix_seconds(last_beat)").collect()))
+    running = query.option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="500 milliseconds").start()
+    for _ in range(120):
+        if len(seen) >= 2:
+            break
+        time.sleep(0.5)
+    running.stop()
+    assert sorted(map(tuple, seen)) == [("a", 70), ("b", 40)]
+
+
+def test_late_beats_are_kept_and_counted(spark, tmp_path):
+    schema = "cluster_id string, ts timestamp"
+    source = str(tmp_path / "in")
+    for k, beats in enumerate([[("a", 0), ("a", 900)], [("a", 600), ("a", 900)], [("a", -9000), ("a", 9000)], [("a", 9100)]]):  # one micro-batch each
+        rows = spark.createDataFrame(beats, "cluster_id string, s int").selectExpr("cluster_id", "timestamp_seconds(s) ts")
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        out = liveness.heartbeat_alerts(stream, lateness="10 minutes")
+        writer = out.writeStream.format("parquet").outputMode("append").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c"))
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        late = liveness.late_rows(query)
+        assert late == (1 if k == 2 else 0)
+    found = spark.read.parquet(str(tmp_path / "out")).select(F.unix_seconds("first_beat").alias("f"), F.unix_seconds("last_beat").alias("l"), "beats")
+    # The beat at 600, ten minutes late at most, bridges no gap but counts as a session of its own with the one at 900.
+    assert sorted(map(tuple, found.collect())) == [(0, 0, 1), (600, 900, 3)]
+
+
 def test_stream_dedupe_and_statistics(spark, tmp_path):
     rows = spark.createDataFrame([("x", 10, 1.0), ("x", 20, 2.0), ("y", 30, 4.0), ("z", 9000, 0.0)], "metric string, s int, value double")
     rows = rows.selectExpr("metric", "timestamp_seconds(s) ts", "value", "'t' tenant")

@@ -79,21 +79,18 @@ def lines_to_deliver(lines: DataFrame, configs: DataFrame, salt: int | None = No
     return routed.select(*lines.columns, *[c for c in STREAM if c not in lines.columns])
 
 
-def routed_events(lines: DataFrame, as_of) -> DataFrame:
-    """Events of routed lines with the time sent to their stream."""
-    return fallback_ts(to_log_events(parse_lines(lines), as_of, STREAM)).drop("upload_ms")
+def lines_of_routed(lines: DataFrame, routed: DataFrame, salt: int | None = None) -> DataFrame:
+    """Lines of routed objects, once per event delivery, with their stream and the upload time of the object.
 
+    For callers that have a listing: the join comes before the parse, so lines that go nowhere are not parsed.
+    """
+    streams = event_destination(routed.filter("type = 'cloudwatch'")).select("object_key", *STREAM)
+    return lookup_join(lines, streams, ["object_key"], salt)
 
-def events_to_deliver(events: DataFrame, routed: DataFrame, salt: int | None = None) -> DataFrame:
-    """Events of every routed object, once per event delivery, with the time sent to the stream.
 
-    For events that are parsed already; :func:`lines_to_deliver` routes before the parse.
-    """
-    streams = event_destination(routed.filter("type = 'cloudwatch'")).select(
-        "object_key", "tenant_id", "type", "log_group", "log_stream", "upload_ms"
-    )
-    joined = lookup_join(events, streams, ["object_key"], salt)
-    return fallback_ts(joined).drop("upload_ms")
+def routed_events(lines: DataFrame, as_of) -> DataFrame:
+    """Events of routed lines with the time sent to their stream."""
+    return fallback_ts(to_log_events(parse_lines(lines), as_of, STREAM)).drop("upload_ms")
 
 
 def pack_deliveries(

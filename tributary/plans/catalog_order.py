@@ -44,7 +44,7 @@ def _packed_sql(source: str, keys: str, order: str, max_events: int, max_bytes:
     ),
 )
 def _(t):
-    ordered = R.order_events(D.events_to_deliver(t.events, t.routed), ["tenant_id", "log_group", "log_stream"])
+    ordered = R.order_events(D.routed_events(D.lines_of_routed(t.stored, t.routed), AS_OF_MS), ["tenant_id", "log_group", "log_stream"])
     return ordered.select("tenant_id", "log_stream", "object_key", "line_no", "item_no", "seq")
 
 
@@ -56,7 +56,7 @@ def _(t):
     ),
 )
 def _(t):
-    packed = D.pack_deliveries(D.events_to_deliver(t.events, t.routed), max_events=4, max_bytes=130)
+    packed = D.pack_deliveries(D.routed_events(D.lines_of_routed(t.stored, t.routed), AS_OF_MS), max_events=4, max_bytes=130)
     return packed.select("tenant_id", "object_key", "line_no", "item_no", "seq", "batch_id")
 
 
@@ -109,7 +109,7 @@ def _(t):
     ),
 )
 def _(t):
-    deliveries = D.events_to_deliver(t.events, t.routed)
+    deliveries = D.routed_events(D.lines_of_routed(t.stored, t.routed), AS_OF_MS)
     packed = PK.pack_by_count(deliveries, D.DELIVERY, ["event_ts_ms", "line_no", "item_no"], 3, costly=True)
     return packed.select("tenant_id", "object_key", "line_no", "item_no", "batch_id")
 
@@ -147,7 +147,7 @@ def _(t):
     from tributary.session import scratch_path
     from tributary.sinks.tables import write_delivery_batches
 
-    packed = D.pack_deliveries(D.events_to_deliver(t.events, t.routed), max_events=4, max_bytes=130)
+    packed = D.pack_deliveries(D.routed_events(D.lines_of_routed(t.stored, t.routed), AS_OF_MS), max_events=4, max_bytes=130)
     path = scratch_path(t.spark, "batches")
     write_delivery_batches(D.delivery_batches(packed), path)
     return t.spark.read.parquet(path).select(

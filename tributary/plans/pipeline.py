@@ -49,7 +49,9 @@ def message_results(t) -> DataFrame:
     """One row per message: error class and delivery counts over its objects."""
     notes = parse_notifications(t.messages.select("message_id", "body"))
     counts = A.delivery_stats(attempts_of(t.routed), ["object_key"])
-    joined = notes.join(counts, "object_key", "left")
+    # Messages without a key meet nothing: each gets a key of its own, so that they do not gather in one task.
+    own = notes.withColumn("_key", F.coalesce("object_key", F.concat(F.lit("\0"), "message_id")))
+    joined = own.join(counts.withColumnRenamed("object_key", "_key"), "_key", "left")
     return joined.groupBy("message_id").agg(
         F.min("error_class").alias("error_class"),
         F.coalesce(F.sum("successful_deliveries"), F.lit(0)).alias("successful_deliveries"),

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tributary.constants import HEARTBEAT_MAX_GAP_S
 from tributary.operators.accounting import STATISTICS
+from tributary.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 
 #: Many beat intervals (30 s): a beat that a slow collector delivers minutes late raises no false alert.
@@ -41,6 +46,32 @@ def heartbeat_alerts(
     )
 
 
+def _watch(key: str, max_gap_s: int):
+    def run(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            (last,) = state.get
+            state.remove()
+            yield pd.DataFrame({key: [name[0]], "last_beat": [pd.Timestamp(last, unit="us")]})
+            return
+        newest = max((int(f["ts"].max().value) // 1000 for f in frames), default=0)
+        state.update((max(newest, state.get[0]) if state.exists else newest,))
+        state.setTimeoutDuration(max_gap_s * 1000)
+
+    return run
+
+
+def silence_alerts(beats: DataFrame, key: str = "cluster_id", max_gap_s: int = HEARTBEAT_MAX_GAP_S) -> DataFrame:
+    """(key, last_beat) of each key that has sent nothing for ``max_gap_s`` seconds of the wall clock, once for each silence.
+
+    A timer of the state store fires without any further row, so the alert comes even if every key has fallen
+    silent. Keys are known from their first beat on; a key that beats again is watched anew. Update mode.
+    """
+    newest = beats.select(key, "ts")
+    return newest.groupBy(key).applyInPandasWithState(
+        _watch(key, max_gap_s), f"{key} string, last_beat timestamp", "last_us bigint", "update", GroupStateTimeout.ProcessingTimeTimeout
+    )
+
+
 def stream_metric_statistics(
     metrics: DataFrame,
     period: int,
