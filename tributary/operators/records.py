@@ -18,7 +18,7 @@ from tributary.functions.records import (
     without_metadata,
     wrapped_value,
 )
-from tributary.functions.rules import NON_BLANK, event_size
+from tributary.functions.rules import NON_BLANK
 from tributary.functions.timestamps import delivery_ts_ms, effective_ts_ms
 from tributary.operators.ordering import row_rank
 from tributary.sources.objects import read_whole_objects
@@ -156,7 +156,3 @@ def order_events(events: DataFrame, keys, chunks: int | None = None) -> DataFram
 
 def known_types(df: DataFrame, kind: str = "type") -> DataFrame:
     return df.filter(F.col(kind).isin(*DELIVERY_TYPES))
-
-
-def with_event_size(events: DataFrame) -> DataFrame:
-    return events.withColumn("event_bytes", event_size(F.col("message")))

@@ -78,14 +78,3 @@ POD_LOG = T.StructType(
         ),
     ]
 )
-
-HEARTBEAT = T.StructType(
-    [
-        T.StructField("timestamp", T.StringType()),
-        T.StructField("level", T.StringType()),
-        T.StructField("message", T.StringType()),
-        T.StructField("heartbeat", T.BooleanType()),
-        T.StructField("interval_seconds", T.IntegerType()),
-        T.StructField("source", T.StringType()),
-    ]
-)
