@@ -30,7 +30,10 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    # One run of digits, or groups of the usual sizes with one kind of separator: a number beside it is not taken in.
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|"
+    + "|".join(f"[0-9]{{4}}{c}[0-9]{{4}}{c}[0-9]{{4}}{c}[0-9]{{1,7}}|[0-9]{{4}}{c}[0-9]{{6}}{c}[0-9]{{5}}" for c in " -")
+    + r")(?![0-9A-Za-z])",
 }
 _ANY = "|".join(PATTERNS.values())
 _MAY_HOLD = "[0-9@]|AKIA|ASIA"
