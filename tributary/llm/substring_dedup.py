@@ -197,6 +197,16 @@ def _found(sorted_keys: np.ndarray, key: np.ndarray) -> np.ndarray:
     return sorted_keys[np.minimum(np.searchsorted(sorted_keys, key), len(sorted_keys) - 1)] == key
 
 
+def _coded(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words, and each word as its place among them: neighbouring pieces share most words."""
+    distinct, code = np.unique(words, return_inverse=True)
+    return distinct, code.astype(np.uint16 if len(distinct) < 1 << 16 else np.uint32)
+
+
+def _decoded(distinct: bytes, codes: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(distinct, U)[np.frombuffer(codes, np.uint16 if len(codes) == 2 * n else np.uint32)]
+
+
 def _pieces(min_words: int, buckets: int):
     """Distinct repeated pieces of a block, by shard."""
     span = min_words - ANCHOR + 1
@@ -250,17 +260,18 @@ def _pieces(min_words: int, buckets: int):
         n = size[keep]
         word_ends = np.concatenate([[0], np.cumsum(n)])
         flat = text_words[range_index(where[keep], n)]
+        coded = [_coded(flat[word_ends[i] : word_ends[j]]) for i, j in zip(a, b)]
         return pa.table({
             "bucket": pa.array(bucket, pa.int32()), "block": pa.array([docs["block"][0].as_py()] * len(bucket), pa.int32()),
             "route": [route[keep][i:j].tobytes() for i, j in zip(a, b)], "name": [name[i:j].tobytes() for i, j in zip(a, b)],
-            "size": [n[i:j].astype(np.int32).tobytes() for i, j in zip(a, b)], "words": [flat[word_ends[i] : word_ends[j]].tobytes() for i, j in zip(a, b)],
+            "size": [n[i:j].astype(np.int32).tobytes() for i, j in zip(a, b)], "words": [x.tobytes() for x, _ in coded], "codes": [x.tobytes() for _, x in coded],
             "low": [low[i:j].tobytes() for i, j in zip(a, b)], "high": [high[i:j].tobytes() for i, j in zip(a, b)],
         }, schema=_PIECES)
 
     return run
 
 
-_PIECES = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in ("route", "name", "size", "words", "low", "high"))])
+_PIECES = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *((c, pa.binary()) for c in ("route", "name", "size", "words", "codes", "low", "high"))])
 
 
 def _first_holders(pieces: list[list[int]], low: list[int], min_words: int) -> list[list[int]]:
@@ -286,7 +297,9 @@ def _shard(min_words: int):
 
     def run(table: pa.Table) -> pa.Table:
         route, name, low, high = column(table, "route", U), column(table, "name", U), column(table, "low", np.int64), column(table, "high", np.int64)
-        size, words = column(table, "size", np.int32).astype(np.int64), column(table, "words", U)
+        size = column(table, "size", np.int32).astype(np.int64)
+        in_row = [int(np.frombuffer(x, np.int32).sum()) for x in table["size"].to_pylist()]
+        words = np.concatenate([_decoded(*x) for x in zip(table["words"].to_pylist(), table["codes"].to_pylist(), in_row)])
         counts = [len(x) // 8 for x in table["name"].to_pylist()]
         row = np.repeat(np.arange(len(counts)), counts)
         where = np.cumsum(size) - size
@@ -382,7 +395,7 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     questions = by_block.applyInArrow(_questions(min_words, buckets), "bucket int, block int, keys binary, many binary")
     answers = questions.groupBy("bucket").applyInArrow(_answer, "block int, plain binary, common binary")
     pieces = by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        _pieces(min_words, buckets), "bucket int, block int, route binary, name binary, size binary, words binary, low binary, high binary"
+        _pieces(min_words, buckets), "bucket int, block int, route binary, name binary, size binary, words binary, codes binary, low binary, high binary"
     )
     covered = pieces.groupBy("bucket").applyInArrow(_shard(min_words), "block int, window binary, below binary")
     return by_block.cogroup(covered.groupBy("block")).applyInArrow(
