@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.blocks import small_batches
 from tributary.llm.words import U, Words, gram_hashes, range_index, split_words, steps, text_bytes
 
 K1, B = 1.2, 0.75
@@ -206,6 +207,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     either side gives no rows. Texts are searched whole.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_id_col).cast("bigint").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.blocks import small_batches
 from tributary.llm.words import U, full_grams, gram_hashes, mix, split_words, steps
 from tributary.session import scratch_path
 
@@ -229,6 +230,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     by that id. Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = _saved(plain.mapInArrow(_sign, "doc_id bigint, p0 bigint, p1 bigint, bands array<bigint>"), "signatures")
     with_words = signed.where("doc_id IS NOT NULL AND size(bands) > 0")

@@ -19,15 +19,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.llm.blocks import small_batches
 from tributary.llm.words import U, range_hashes, range_index, steps, text_bytes
 from tributary.session import scratch_path
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 #: Bytes of text encoded at once; more text means fewer new words each time.
-STEP = 4 << 20
+STEP = 2 << 20
 #: Word ids a Python worker remembers between batches; beyond it starts anew.
-REMEMBERED_IDS = 4_000_000
+REMEMBERED_IDS = 2_000_000
 #: White space that the pre-tokenizer knows and the word splitter does not.
 _OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Kinds of bytes: 0 white space, 2 letter, 3 punctuation but the apostrophe, 1 any other.
@@ -172,6 +173,7 @@ def pack(
     Other columns are ignored; an empty table gives no pieces. Texts are tokenized whole.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, "tokens")
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     plain.mapInArrow(_tokenize(tokenizer_path, end_id), "doc_id bigint, before bigint, n_tokens bigint, id_bytes int, ids binary").withColumn(

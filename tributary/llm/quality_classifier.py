@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.blocks import small_batches
 from tributary.llm.words import U, gram_hashes, split_words, steps
 
 BUCKETS = 1 << 15
@@ -126,6 +127,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", i
 
     With rows of one class only, every text gets the smoothed share of that class.
     """
+    small_batches(labelled.sparkSession)
     plain = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("label"))
     sample = plain.where("label IN (0, 1)").orderBy(F.xxhash64("doc_id"), "doc_id", "text", "label").limit(max_rows)
     found = sample.select("text", "label").mapInArrow(_features, "label int, buckets binary").toArrow()  # bounded by max_rows
@@ -167,6 +169,7 @@ def _score(model: Model, text_col: str):
 
 def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with score and predicted behind its columns, which replace columns of these names; see score()."""
+    small_batches(docs.sparkSession)
     plain = docs.drop("score", "predicted")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
     scored = plain.mapInArrow(_score(model, text_col), f"{fields}, __score double")

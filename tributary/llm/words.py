@@ -15,7 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text a numpy step works on at once; a longer text is one step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
+# Arrow's own pool keeps freed memory in workers that live on; the system's gives it back.
+pa.set_memory_pool(pa.system_memory_pool())
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
