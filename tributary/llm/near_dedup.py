@@ -16,7 +16,10 @@ about one point per element.
    bucket. Then rounds go on over larger buckets that still hold several classes, a member of each class with a leader
    by another random order, until a round finds no link.
    Every pair is verified on the whole multisets: a link needs a weighted Jaccard similarity of ``SIMILARITY``.
-4. Links are contracted to classes (large-star, small-star).
+4. The rounds only save work: texts of larger buckets that hold several classes then go through an exact prefix filter. Units are
+   ordered by the number of these texts that hold them, rarest first; two texts can only be linked if their first common unit
+   stands early enough in both. Every such pair of different classes is verified, so no pair that shares a bucket is lost.
+5. Links are contracted to classes (large-star, small-star).
 
 Each step is a written table, so no step is computed twice and lost tasks start from files.
 """
@@ -222,6 +225,62 @@ def _full(members: DataFrame) -> DataFrame:
     return one.select("a", F.explode(F.slice("g", F.lit(1), F.col("i"))).alias("b"))
 
 
+def _units(batches):
+    for batch in batches:
+        bags = [np.frombuffer(x.as_buffer(), U) for x in batch["bag"]]
+        sizes = np.array([len(x) for x in bags], np.int64)
+        own = np.array([x.sum(dtype=U) for x in bags], U).view(np.int64)
+        each = {"rep": batch["rep"].to_numpy(), "class": batch["class"].to_numpy(), "own": own, "size": sizes}
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(bags):  # flat rows of bounded bytes, or one longer text
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 17), side="right")))
+            flat = {k: np.repeat(v[at:stop], sizes[at:stop]) for k, v in each.items()}
+            yield pa.record_batch(flat | {"unit": np.concatenate(bags[at:stop]).view(np.int64)})
+            at = stop
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """(rep, class, own, size, unit, place, short): the units by which each text (rep, class, bag) can meet another, and their places
+    (from 1) in the order of rarity. short: early enough to meet a longer text too."""
+    flat = _saved(texts.mapInArrow(_units, "rep bigint, class bigint, own bigint, size bigint, unit bigint"), "units")
+    # A unit of one text stands in front and meets nothing: it only moves the places of the others.
+    held = flat.groupBy("unit").agg(F.count("*").alias("df")).where("df > 1")
+    shared = flat.join(held, "unit").groupBy("rep", "class", "own", "size").agg(F.sort_array(F.collect_list(F.struct("df", "unit"))).alias("g"))
+    alone = F.col("size") - F.size("g")
+    reach = lambda share: F.col("size") - F.ceil(share * F.col("size") - 1e-6) + 1
+    first = shared.select("*", alone.alias("alone"), reach(SIMILARITY).alias("last")).where("last > alone")
+    rows = first.select("rep", "class", "own", "size", "alone", F.posexplode(F.slice("g", F.lit(1), (F.col("last") - F.col("alone")).cast("int"))).alias("i", "u"))
+    placed = rows.select("rep", "class", "own", "size", F.col("u.unit").alias("unit"), (F.col("alone") + F.col("i") + 1).alias("place"))
+    return placed.withColumn("short", F.col("place") <= reach(2 * SIMILARITY / (1 + SIMILARITY)))
+
+
+def _filtered(texts: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different classes among the texts (rep, class, bag) that may be linked, by prefixes and places.
+
+    At each unit the texts of its most common class meet the others only, so pairs of one class are never more than those of two."""
+    placed = _saved(_prefixes(texts), "prefixes")
+    counts = placed.groupBy("unit", "class").agg(F.count("*").alias("n"))
+    tops = counts.groupBy("unit").agg(F.max(F.struct("n", "class")).alias("t"), F.count("*").alias("k")).where("k > 1")
+    met = _saved(placed.join(tops.select("unit", F.col("t.class").alias("top")), "unit"), "met")
+    order = lambda s: F.struct(f"{s}.size", f"{s}.rep", f"{s}.own")
+    need = F.ceil(SIMILARITY / (1 + SIMILARITY) * (F.col("x.size") + F.col("y.size")) - 1e-6)
+    left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) + 1
+    able = (F.col("x.class") != F.col("y.class")) & (order("x") < order("y")) & (left >= need) & (F.col("x.size") >= SIMILARITY * F.col("y.size") - 1e-6)
+    found, rest = [], "class <> top"
+    for x, y in ((met.where("short").where(rest), met), (met.where("short"), met.where(rest))):
+        both = x.alias("x").join(y.alias("y"), (F.col("x.unit") == F.col("y.unit")) & able)
+        found.append(both.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")))
+    return found[0].union(found[1]).where("a <> b").distinct()
+
+
+def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(rep, class) of the texts in buckets of more than SMALL texts that hold several classes."""
+    large = _classed(members.where((F.col("level") == 0) & (F.col("n") > SMALL)), labels)
+    several = large.groupBy("band", "key").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most")
+    return large.join(several, ["band", "key"]).select("rep", "class").distinct()
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id) of every row: class_id is the smallest id among the documents that hang together by links.
 
@@ -248,20 +307,32 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     try:
         labels = None
         bags = spark.table(bags_name)
+
+        def linked(pairs: DataFrame) -> DataFrame:
+            pairs = _saved(pairs, "pairs")
+            joined = pairs.join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a").join(
+                bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b")), "b"
+            )
+            return _saved(joined.select("a", "b", "bag_a", "bag_b").mapInArrow(_verify, "a bigint, b bigint"), "found")
+
+        def joined_with(found: DataFrame) -> DataFrame:
+            return components(found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
         for k in count():
             if k == 0:
                 every = _led(_classed(members, None), 0).union(_full(members))
             else:
                 every = _led(_classed(members.where(F.col("n") > SMALL), labels), k)
-            pairs = _saved(every.distinct(), "pairs")
-            joined = pairs.join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a").join(
-                bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b")), "b"
-            )
-            found = _saved(joined.select("a", "b", "bag_a", "bag_b").mapInArrow(_verify, "a bigint, b bigint"), "found")
+            found = linked(every.distinct())
             if found.isEmpty():
                 break
-            known = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            labels = components(known)
+            labels = joined_with(found)
+        left = _saved(_open(members, labels), "open")
+        if not left.isEmpty():
+            texts = bags.join(left, bags["doc_id"] == left["rep"]).select("rep", "class", "bag").dropDuplicates(["rep", "bag"])
+            found = linked(_filtered(texts))
+            if not found.isEmpty():
+                labels = joined_with(found)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {bags_name}")
     of_rep = alike.select("p0", "p1", "rep")
