@@ -29,5 +29,13 @@ def test_against_brute_force(spark):
     assert L.scan(df.where("false")).collect() == []
 
 
+def test_texts_that_begin_inside_a_key_phrase(spark):
+    texts = [" ".join(t.key[i:]) + tail for t in L.TEMPLATES for i in range(1, len(t.key)) for tail in ("", " and more words", " " + " ".join(t.key))]
+    # Frequent first words, so that the rare words of a phrase stand behind them.
+    texts += [t.key[0] for t in L.TEMPLATES for _ in range(3 * len(texts))]
+    got = [(r.n_words, [tuple(h) for h in r.hits]) for r in L.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(4)).orderBy("doc_id").collect()]
+    assert got == [brute(t) for t in texts]
+
+
 def test_query(against_sql):
     against_sql("op4_license_scan")

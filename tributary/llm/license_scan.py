@@ -122,8 +122,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
 
         def complete(o: Column) -> Column:
             def full(x: Column, i: Column) -> Column:
-                needed = F.get(facts, x["k"])["needed"]
-                return F.coalesce(F.get(o, i - needed + 1) == x, F.lit(False)) & F.coalesce(F.get(o, i + 1) != x, F.lit(True))
+                t = F.get(facts, x["k"])
+                whole = F.coalesce(F.get(o, i - t["needed"] + 1) == x, F.lit(False)) & F.coalesce(F.get(o, i + 1) != x, F.lit(True))
+                return whole & (x["start"] + t["key_at"] >= 0)  # a key phrase cut by the start of the text is no hit
 
             return F.filter(o, full)
 
