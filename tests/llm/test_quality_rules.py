@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from tributary.llm import quality_rules as Q
 
 
@@ -60,6 +62,24 @@ def test_against_brute_force(spark, monkeypatch):
     assert Q.judge(df.where("false")).collect() == []
 
 
+def test_groups_of_long_words(spark):
+    """Words of about 40, 900 and 9,000 code points: clean rows are kept, rows of far longer or shorter words are not."""
+    rng = random.Random(3)
+    rows = []
+    for g, size in enumerate((40, 900, 9000)):
+        for i in range(220):
+            rows.append((1000 * g + i, " ".join(f"{k}".rjust(size + rng.randint(-size // 20, size // 20), "語") for k in range(50)), "ja", f"s{g}"))
+        rows += [(1000 * g + 900 + j, " ".join(f"{k}".rjust(n, "語") for k in range(50)), "ja", f"s{g}") for j, n in enumerate((size // 3, 2 * size))]
+    got = {r.doc_id: (r.kept, r.failed_rules) for r in Q.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(8)).collect()}
+    assert got == {i: (True, "") if i % 1000 < 900 else (False, "word_length") for i, *_ in rows}
+
+
+def test_scale(spark):
+    v = [0, 1, 1999, 2000, 2001, 2047, 2048, 2049, 4095, 4096, 4099, 10**6, 2**38 + 12345]
+    got = [r.s for r in spark.createDataFrame([(x,) for x in v], "v bigint").select("v", Q.scaled(F.col("v")).alias("s")).orderBy("v").collect()]
+    assert got == [x if x < 2048 else x >> (x.bit_length() - 11) << (x.bit_length() - 11) for x in v]
+
+
 def test_sketches_merge(spark):
     df = spark.createDataFrame([(i, "a b c " * (i % 7), "en" if i % 2 else "fr", f"s{i % 3}") for i in range(60)], "doc_id bigint, text string, lang string, source string")
     parts = Q.sketches(Q.measures(df))
