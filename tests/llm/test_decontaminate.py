@@ -94,3 +94,28 @@ def test_index_bounds_hold():
         assert index.most[t] == max(index.cell_most[c] for c in cells)
         for c in cells:
             assert index.cell_most[c] == np.max(index.posting_impact[index.posting_at[c] : index.posting_at[c + 1]])
+
+
+def test_long_items_are_found():
+    """Items of 200 to 2,000 words that stand verbatim at any offset in a document; the threshold is that of the best window."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(3000)] + ["the", "of", "and"] * 200
+    items = [" ".join(rng.choice(words) for _ in range(n)) for n in (200, 300, 500, 1000, 2000, 30, 64, 65)]
+    index = D.build_index(pa.table({"item_id": list(range(len(items))), "text": items}))
+    for offset in (0, 1, 17, 31, 50):
+        docs = [" ".join([f"f{k}" for k in range(offset)] + [t] + [f"g{k}" for k in range(40)]) for t in items]
+        got = {(t, i) for t, i, *_ in D.search_texts(index, pa.chunked_array([pa.array(docs)]))}
+        assert got == {(i, i) for i in range(len(items))}
+
+
+def test_best_windows():
+    rng = random.Random(2)
+    items = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 4) for _ in range(n)) for n in (0, 5, 63, 64, 65, 66, 150, 400)]
+    words = D.folded_words(pa.array(items))
+    term, inverse = np.unique(words.hashes(), return_inverse=True)
+    weight = {(t, w): rng.random() for t, item in enumerate(items) for w in set(item.split())}
+    each = np.array([weight[t, w] for t, item in enumerate(items) for w in item.split()])
+    own = np.array([sum(weight[t, w] for w in set(item.split())) for t, item in enumerate(items)])
+    got = D._best_windows(words, inverse, each, own)
+    want = [max(sum(weight[t, w] for w in set(item.split()[a : a + 64])) for a in range(max(1, len(item.split()) - 63))) for t, item in enumerate(items)]
+    assert np.allclose(got, want)

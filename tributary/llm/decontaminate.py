@@ -1,7 +1,8 @@
 """Benchmark decontamination: a BM25 index of test items, searched with every training passage under block-max bounds.
 
 Items are the indexed texts, and overlapping passages of every document are the queries. An impact is divided by the item's
-threshold (``SHARE`` of what the item scores with itself), so a score of 1 is a hit for any item. Items stand in blocks, and each
+threshold (``SHARE`` of the best score that a window of the item, as long as a passage, has with the item: for items of one passage, of what
+the item scores with itself), so a score of 1 is a hit for any item. Items stand in blocks, and each
 term knows its largest impact at all and in each block. A batch of passages is searched together: passages whose bounds add up to less
 than 1 go; then the blocks a passage cannot reach 1 in; only what is left is scored, and everything from 1 on
 is retrieved. Hits are verified against the whole document: of the item's question and of its answer, word runs must overlap.
@@ -115,6 +116,26 @@ def _runs(texts: list[str]) -> list[np.ndarray]:
     return [np.unique(gram_hashes(x, min(RUN, len(x)))) if len(x) else np.zeros(0, U) for x in each]
 
 
+def _best_windows(words: Words, term: np.ndarray, weight: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Per text, the most that the distinct words of a run of one passage weigh together; ``own`` for texts of up to one passage."""
+    long = words.per_text > 2 * HALF
+    if not long.any():
+        return own
+    text, place = words.text, np.arange(len(term))
+    begin = (np.cumsum(words.per_text) - words.per_text)[text]
+    order = np.lexsort((place, term, text))
+    before = np.full(len(term), -1)
+    again = (term[order][1:] == term[order][:-1]) & (text[order][1:] == text[order][:-1])
+    before[order[1:][again]] = order[:-1][again]
+    # A word counts in the windows that start behind its last use and hold it.
+    gain = np.zeros(len(term) + 1)
+    np.add.at(gain, np.maximum(np.maximum(before + 1, place - 2 * HALF + 1), begin), weight)
+    np.subtract.at(gain, place + 1, weight)
+    best = np.zeros(words.n_texts)
+    np.maximum.at(best, text, np.cumsum(gain[:-1]))
+    return np.where(long, best, own)
+
+
 def build_index(items: pa.Table) -> Index:
     """Of (item_id, text); items without words are never hit."""
     texts = [x or "" for x in items["text"].to_pylist()]
@@ -128,6 +149,8 @@ def build_index(items: pa.Table) -> Index:
     idf = np.log1p((len(texts) - frequency + 0.5) / (frequency + 0.5))
     impact = idf[of_term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / mean))
     own = np.bincount(item, weights=impact, minlength=len(texts))
+    of_word = np.searchsorted(pair, inverse.astype(np.int64) * max(1, len(texts)) + words.text)
+    own = _best_windows(words, inverse, impact[of_word], own)
     impact = impact / np.maximum(SHARE * own, 1e-12)[item]
     # Postings are in order of term and item, so of term and block too.
     block = item // BLOCK_ITEMS
