@@ -119,3 +119,14 @@ def test_best_windows():
     got = D._best_windows(words, inverse, each, own)
     want = [max(sum(weight[t, w] for w in set(item.split()[a : a + 64])) for a in range(max(1, len(item.split()) - 63))) for t, item in enumerate(items)]
     assert np.allclose(got, want)
+
+
+def test_parts_do_not_change_results(spark, monkeypatch, world):
+    docs, items = world
+    bench = spark.createDataFrame(list(enumerate(items)) + [(None, "f1")], "item_id bigint, text string")
+    texts = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    got = []
+    for limit in (1 << 30, 2000):
+        monkeypatch.setattr(D, "INDEX_BYTES", limit)
+        got.append(sorted(tuple(r) for r in D.find_leaks(texts, bench).collect()))
+    assert len(got[0]) > 10 and got[0] == got[1]

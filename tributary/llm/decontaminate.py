@@ -8,7 +8,7 @@ than 1 go; then the blocks a passage cannot reach 1 in; only what is left is sco
 is retrieved. Hits are verified against the whole document: of the item's question and of its answer, word runs must overlap.
 
 The index is broadcast and so must be bounded: beyond ``INDEX_BYTES`` of item text it is built and searched in
-parts. Document frequencies and the mean length are those of the part.
+parts. Document frequencies and the mean length are then counted once over all items, so scores do not depend on the parts.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.blocks import small_batches
 from tributary.llm.words import U, Words, gram_hashes, range_index, split_words, steps, text_bytes
+from tributary.session import scratch_path
 
 K1, B = 1.2, 0.75
 SHARE = 0.4
@@ -136,8 +137,18 @@ def _best_windows(words: Words, term: np.ndarray, weight: np.ndarray, own: np.nd
     return np.where(long, best, own)
 
 
-def build_index(items: pa.Table) -> Index:
-    """Of (item_id, text); items without words are never hit."""
+@dataclass
+class Counts:
+    """Of all items: their number, the mean length of those with words, and the number of items that hold each term of a part."""
+
+    items: int
+    mean: float
+    term: np.ndarray  # sorted hashes
+    frequency: np.ndarray
+
+
+def build_index(items: pa.Table, counts: Counts | None = None) -> Index:
+    """Of (item_id, text); items without words are never hit. Without ``counts`` these are all items."""
     texts = [x or "" for x in items["text"].to_pylist()]
     words = folded_words(pa.array(texts, pa.string()))
     term, inverse = np.unique(words.hashes(), return_inverse=True)
@@ -145,8 +156,10 @@ def build_index(items: pa.Table) -> Index:
     mean = max(1.0, length[length > 0].mean() if (length > 0).any() else 1.0)
     pair, tf = np.unique(inverse.astype(np.int64) * max(1, len(texts)) + words.text, return_counts=True)
     of_term, item = pair // max(1, len(texts)), pair % max(1, len(texts))
-    frequency = np.bincount(of_term, minlength=len(term))
-    idf = np.log1p((len(texts) - frequency + 0.5) / (frequency + 0.5))
+    frequency, n_items = np.bincount(of_term, minlength=len(term)), len(texts)
+    if counts is not None:
+        mean, n_items, frequency = counts.mean, counts.items, counts.frequency[np.searchsorted(counts.term, term)]
+    idf = np.log1p((n_items - frequency + 0.5) / (frequency + 0.5))
     impact = idf[of_term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item] / mean))
     own = np.bincount(item, weights=impact, minlength=len(texts))
     of_word = np.searchsorted(pair, inverse.astype(np.int64) * max(1, len(texts)) + words.text)
@@ -222,6 +235,34 @@ def _search(index):
     return run
 
 
+def _terms(batches):
+    """(item, term, length): a row for each distinct term of an item, and one without a term that has its length."""
+    for batch in batches:
+        for part in steps(batch, "text"):
+            words = folded_words(part["text"])
+            order = np.lexsort((words.hashes(), words.text))
+            term, text = words.hashes()[order], words.text[order]
+            new = np.concatenate([[True], (term[1:] != term[:-1]) | (text[1:] != text[:-1])])[: len(term)]
+            yield pa.record_batch({
+                "part": pa.concat_arrays([part["part"].combine_chunks(), part["part"].combine_chunks().take(pa.array(text[new]))]),
+                "term": pa.array(np.concatenate([np.zeros(words.n_texts, np.int64), term[new].view(np.int64)]), mask=np.arange(words.n_texts + new.sum()) < words.n_texts),
+                "length": pa.array(np.concatenate([words.per_text, np.zeros(new.sum(), np.int64)]).astype(np.int64)),
+            })
+
+
+def _counted(items: DataFrame) -> tuple[int, float, DataFrame]:
+    """Number of items (item_id, text, part), mean length, and (part, term, n): the items that hold each term, for the parts that hold it."""
+    spark = items.sparkSession
+    path = scratch_path(spark, "item_terms")
+    items.mapInArrow(_terms, "part int, term bigint, length bigint").write.parquet(path)
+    rows = spark.read.parquet(path)
+    n, with_words, total = rows.where("term IS NULL").agg(F.count("*"), F.count_if(F.col("length") > 0), F.sum("length")).first()
+    frequency = rows.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n"), F.collect_set("part").alias("parts"))
+    path = scratch_path(spark, "item_frequencies")
+    frequency.select(F.explode("parts").alias("part"), "term", "n").write.partitionBy("part").parquet(path)
+    return n, max(1.0, total / with_words if with_words else 1.0), spark.read.parquet(path)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, score, passages, question_overlap, answer_overlap): one row for each row of ``docs`` and item it holds.
 
@@ -235,9 +276,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items = benchmark.select(F.col(item_id_col).cast("bigint").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where("item_id IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-size // INDEX_BYTES))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(parts)).cast("int"))
+    n, mean, frequency = _counted(items) if parts > 1 else (0, 0.0, None)
     out = None
     for k in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).orderBy("item_id", "text").toArrow()  # at most about INDEX_BYTES
-        found = plain.mapInArrow(_search(spark.sparkContext.broadcast(build_index(own))), "doc_id bigint, item_id bigint, score double, passages bigint, question_overlap double, answer_overlap double")
+        own = items.where(F.col("part") == k).orderBy("item_id", "text").toArrow()  # at most about INDEX_BYTES
+        counts = None
+        if frequency is not None:
+            of_part = frequency.where(F.col("part") == k).select("term", "n").toArrow()  # the terms of the part
+            term = of_part["term"].to_numpy().view(U)
+            order = np.argsort(term)
+            counts = Counts(n, mean, term[order], of_part["n"].to_numpy()[order])
+        index = spark.sparkContext.broadcast(build_index(own, counts))
+        found = plain.mapInArrow(_search(index), "doc_id bigint, item_id bigint, score double, passages bigint, question_overlap double, answer_overlap double")
         out = found if out is None else out.unionByName(found)
     return out
