@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import chat, language_model, license_scan, near_dedup, pii, quality_classifier, quality_rules
+from tributary.llm import chat, importance, language_model, license_scan, near_dedup, pii, quality_classifier, quality_rules, spelling
 from tributary.llm.decontaminate import find_leaks
 from tributary.llm.packing import pack
 from tributary.llm.substring_dedup import remove_repeated_spans
+from tributary.llm.token_counts import count_tokens
 from tributary.session import configure
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +149,66 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
+#: CRC-32 in SQL: the table of one byte, and what folds the bytes of {0} (in hexadecimal digits) into it.
+_CRC_TABLE = """(SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, (a & 1) * 3988292384)) ORDER BY i) AS crc_table
+                FROM (SELECT unnest(range(256)) AS i))"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1, 2),
+                lambda k: (16 * (instr('0123456789ABCDEF', substr({0}, k, 1)) - 1) + instr('0123456789ABCDEF', substr({0}, k + 1, 1)) - 1)::BIGINT)),
+                lambda a, b: xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+
+@query(
+    "op11_spelling_variants",
+    rf"""WITH RECURSIVE t AS MATERIALIZED {_CRC_TABLE},
+        r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{license_scan.UPPER}', '{license_scan.LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+        d AS (SELECT doc_id, run, count(*) AS n, hex(encode(doc_id::VARCHAR || ':' || run)) AS x FROM r GROUP BY ALL),
+        h AS (SELECT run, n, coalesce({_CRC.format("x")}, 1) AS h FROM d, t),
+        e AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+        v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM e WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        k AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+        c AS (SELECT word, n, i, left(word, (i - 1)::INT) || substr(word, (i + 1)::INT) AS rest FROM k),
+        p AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m FROM c a JOIN c b USING (i, rest) WHERE a.word <> b.word),
+        q AS (SELECT DISTINCT c.word, c.n, v.word AS other, v.n AS m FROM c JOIN v ON c.rest = v.word),
+        u AS (SELECT * FROM p UNION SELECT * FROM q UNION SELECT other, m, word, n FROM q),
+        b AS (SELECT word, any_value(n) AS n, count(*) AS n_near, min((-m, other)) AS best FROM u GROUP BY word),
+        f AS MATERIALIZED (SELECT word, n_near, CASE WHEN -best[1] >= 2 * n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * n THEN -best[1] END AS form_n FROM b),
+        w AS (SELECT word, word AS root, 0 AS step FROM v UNION ALL SELECT w.word, f.form, step + 1 FROM w JOIN f ON f.word = w.root WHERE f.form IS NOT NULL),
+        l AS (SELECT word, arg_max(root, step) AS root FROM w GROUP BY word)
+        SELECT v.word, form, root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n::BIGINT AS form_n FROM v LEFT JOIN f USING (word) JOIN l USING (word)""",
+)
+def _(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+_PLAIN_WORDS = rf"""regexp_extract_all(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    "op12_importance_resampling",
+    rf"""WITH t AS MATERIALIZED {_CRC_TABLE},
+        d AS MATERIALIZED (SELECT doc_id, {_PLAIN_WORDS} AS ws FROM documents),
+        m AS (SELECT unnest({_PLAIN_WORDS}) AS w FROM benchmark),
+        dw AS (SELECT doc_id, unnest(ws) AS w FROM d),
+        du AS MATERIALIZED (SELECT w, ({_CRC.format("x")}) % 10000 AS bucket FROM (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM dw UNION SELECT w FROM m)), t),
+        s AS (SELECT bucket, count(*) AS s FROM dw JOIN du USING (w) GROUP BY bucket),
+        g AS (SELECT bucket, count(*) AS t FROM m JOIN du USING (w) GROUP BY bucket),
+        z AS (SELECT coalesce((SELECT sum(s) FROM s), 0)::DOUBLE AS all_s, coalesce((SELECT sum(t) FROM g), 0)::DOUBLE AS all_t),
+        gain AS MATERIALIZED (SELECT s.bucket, floor(1000.0::DOUBLE * ln((coalesce(t, 0)::DOUBLE + 1) * (all_s + 10000) / ((s::DOUBLE + 1) * (all_t + 10000))))::BIGINT AS gain
+                              FROM s LEFT JOIN g USING (bucket), z),
+        x AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM dw JOIN du USING (w) JOIN gain USING (bucket) GROUP BY doc_id),
+        h AS (SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                     list_reduce(list_transform(range(1, 9), lambda k: (instr('0123456789abcdef', substr(sha256('2024:' || doc_id), k, 1)) - 1)::BIGINT), lambda a, b: 16 * a + b) AS h
+              FROM d LEFT JOIN x USING (doc_id)),
+        c AS (SELECT doc_id, n_features, weight, (weight + floor(-1000.0::DOUBLE * ln(-ln((h::DOUBLE + 0.5) / 4294967296.0::DOUBLE))))::BIGINT AS score FROM h),
+        r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS k, count(*) OVER (PARTITION BY n_features >= 20) AS able FROM c)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= 10 * able // 100 THEN k END AS rank FROM r""",
+)
+def _(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_token_counts")
+def _(spark, sf_dir):
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
