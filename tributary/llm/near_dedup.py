@@ -9,24 +9,20 @@ Jaccard similarity. Points come in ascending time and stop at the latest compone
 about one point per element.
 
 1. One pass over the texts gives a 128-bit fingerprint of the multiset and ``BANDS`` band keys. Equal multisets collapse.
-2. Texts that share a bucket (band and key) are candidates. A bucket of more than ``SMALL`` texts is also split by the keys of the
-   next bands, which only very similar texts share as well: in dense groups, true links meet again in small buckets.
-3. First every text is compared with the leader of each of its buckets, the text with the most neighbours in all: one pair
-   a text and bucket, however large the group; and small buckets are compared in full, at most ``SMALL`` - 1 pairs a text and
-   bucket. Then rounds go on over larger buckets that still hold several classes, a member of each class with a leader
-   by another random order, until a round finds no link.
+2. Texts that share a bucket (band and key) are candidates. Every text is compared with the leader of each of its buckets, the text with the most
+   neighbours in all: one pair a text and bucket, however large the group. Buckets of at most ``SMALL`` texts are compared in full.
    Every pair is verified on the whole multisets: a link needs a weighted Jaccard similarity of ``SIMILARITY``.
-4. The rounds only save work: texts of larger buckets that hold several classes then go through an exact prefix filter. Units are
+3. Links are contracted to classes (large-star, small-star). Of each larger bucket, one text of each class stays, and buckets of one class go. At most ``ROUNDS``
+   more rounds compare these texts with a random one of them, and contract again, so the table shrinks from round to round.
+4. The rounds only save work: texts of larger buckets that still hold several classes then go through an exact prefix filter. Units are
    ordered by the number of these texts that hold them, rarest first; two texts can only be linked if their first common unit
    stands early enough in both. Every such pair of different classes is verified, so no pair that shares a bucket is lost.
-5. Links are contracted to classes (large-star, small-star).
 
 Each step is a written table, so no step is computed twice and lost tasks start from files.
 """
 
 from __future__ import annotations
 
-from itertools import count
 from uuid import uuid4
 
 import numpy as np
@@ -45,8 +41,11 @@ BANDS, ROWS = 30, 5
 COMPONENTS = BANDS * ROWS
 #: Largest bucket that is compared in full.
 SMALL = 9
-#: Further bands that split a larger bucket, one after the other.
-SPLITS = 2
+#: Rounds over larger buckets between the first comparison and the filter.
+ROUNDS = 2
+#: A pair of texts and the classes they are in so far.
+LINK = ["a", "b", "class_a", "class_b"]
+LINK_SCHEMA = ", ".join(f"{c} bigint" for c in LINK)
 _STEP = U(0x9E3779B97F4A7C15)
 
 
@@ -153,7 +152,7 @@ def _verify(batches):
     for batch in batches:
         a, b = batch["bag_a"], batch["bag_b"]
         right = [similarity(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)) >= SIMILARITY for x, y in zip(a, b)]
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(right, pa.bool_()))
+        yield batch.select(LINK).filter(pa.array(right, pa.bool_()))
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
@@ -187,42 +186,55 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _buckets(alike: DataFrame) -> DataFrame:
-    """(level, band, key, rep, n, near): buckets of at least two texts, their sizes, and the neighbours of each text in all its bands."""
-    rows, levels = alike.select("rep", F.posexplode("bands").alias("band", "key")), []
-    for level in range(SPLITS + 1):
-        sizes = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-        shared = _saved(rows.join(sizes, ["band", "key"]).select(F.lit(level).alias("level"), "band", "key", "rep", "n"), "buckets")
-        levels.append(shared)
-        following = F.get("bands", F.pmod(F.col("band") + level + 1, F.lit(BANDS)))
-        rows = shared.where(F.col("n") > SMALL).join(alike, "rep").select("rep", "band", F.xxhash64("key", following).alias("key"))
-    near = levels[0].groupBy("rep").agg(F.sum("n").alias("near"))
-    every = levels[0]
-    for more in levels[1:]:
-        every = every.union(more)
-    return every.join(near, "rep").select("level", "band", "key", "rep", "n", "near")
-
-
-def _classed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("class", F.col("rep"))
-    return members.join(labels, F.col("rep") == F.col("node"), "left").select(*members.columns, F.coalesce("root", "rep").alias("class"))
-
-
-def _led(members: DataFrame, salt: int) -> DataFrame:
-    """Pairs (a, b): in each bucket, a member of each class with the leader. Salt 0: by neighbours, else in random order."""
-    rank = -F.col("near") if salt == 0 else F.xxhash64("rep", "band", F.lit(salt))
-    order = F.struct(rank.alias("o"), "rep", "class")
-    chosen = members.groupBy("level", "band", "key", "class").agg(F.min(order).alias("m"))
-    leaders = chosen.groupBy("level", "band", "key").agg(F.min("m").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = chosen.join(leaders, ["level", "band", "key"]).where("m.class <> leader.class")
-    return pairs.select(F.greatest("m.rep", "leader.rep").alias("a"), F.least("m.rep", "leader.rep").alias("b"))
+    """(band, key, rep, n, near): buckets of at least two texts, their sizes, and the neighbours of each text in all its bands."""
+    rows = alike.select("rep", F.posexplode("bands").alias("band", "key"))
+    sizes = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = _saved(rows.join(sizes, ["band", "key"]), "buckets")
+    near = shared.groupBy("rep").agg(F.sum("n").alias("near"))
+    return shared.join(near, "rep").select("band", "key", "rep", "n", "near")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """(a, b, class_a, class_b): each pair of m and leader once, the larger id in front."""
+    ahead = F.col("m.rep") > F.col("leader.rep")
+    of = lambda name, first: F.when(ahead == F.lit(first), F.col(f"m.{name}")).otherwise(F.col(f"leader.{name}"))
+    return met.select(of("rep", True).alias("a"), of("rep", False).alias("b"), of("class", True).alias("class_a"), of("class", False).alias("class_b"))
+
+
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """Each text with the leader of each of its buckets."""
+    leaders = members.groupBy("band", "key").agg(F.min(F.struct((-F.col("near")).alias("o"), "rep", F.col("rep").alias("class"))).alias("leader"))
+    met = members.select("band", "key", F.struct("rep", F.col("rep").alias("class")).alias("m")).join(leaders, ["band", "key"])
+    return _pairs(met.where("m.rep <> leader.rep"))
 
 
 def _full(members: DataFrame) -> DataFrame:
-    """All pairs (a, b) of buckets of at most SMALL texts."""
-    groups = members.where(F.col("n") <= SMALL).groupBy("level", "band", "key").agg(F.sort_array(F.collect_set("rep")).alias("g"))
+    """All pairs of buckets of at most SMALL texts."""
+    groups = members.where(F.col("n") <= SMALL).groupBy("band", "key").agg(F.sort_array(F.collect_set("rep")).alias("g"))
     one = groups.select("g", F.posexplode("g").alias("i", "a"))
-    return one.select("a", F.explode(F.slice("g", F.lit(1), F.col("i"))).alias("b"))
+    both = one.select("a", F.explode(F.slice("g", F.lit(1), F.col("i"))).alias("b"))
+    return both.select("a", "b", F.col("a").alias("class_a"), F.col("b").alias("class_b"))
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """(band, key, class, rep): one text of each class of each bucket, of buckets that hold several classes."""
+    one = rows.groupBy("band", "key", "class").agg(F.min("rep").alias("rep"))
+    several = one.groupBy("band", "key").agg(F.count("*").alias("k")).where("k > 1")
+    return _saved(one.join(several.drop("k"), ["band", "key"]), "parted")
+
+
+def _led(parted: DataFrame, salt: int) -> DataFrame:
+    """In each bucket, the text of each class with a random one of them."""
+    order = F.struct(F.xxhash64("rep", "band", F.lit(salt)).alias("o"), "rep", "class")
+    leaders = parted.groupBy("band", "key").agg(F.min(order).alias("leader"))
+    met = parted.select("band", "key", F.struct("rep", "class").alias("m")).join(leaders, ["band", "key"])
+    return _pairs(met.where("m.class <> leader.class"))
+
+
+def _moved(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows with the root of their class."""
+    at = roots.select(F.col("node").alias("class"), "root")
+    return rows.join(at, "class", "left").withColumn("class", F.coalesce("root", "class")).drop("root")
 
 
 def _units(batches):
@@ -270,15 +282,8 @@ def _filtered(texts: DataFrame) -> DataFrame:
     found, rest = [], "class <> top"
     for x, y in ((met.where("short").where(rest), met), (met.where("short"), met.where(rest))):
         both = x.alias("x").join(y.alias("y"), (F.col("x.unit") == F.col("y.unit")) & able)
-        found.append(both.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")))
-    return found[0].union(found[1]).where("a <> b").distinct()
-
-
-def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(rep, class) of the texts in buckets of more than SMALL texts that hold several classes."""
-    large = _classed(members.where((F.col("level") == 0) & (F.col("n") > SMALL)), labels)
-    several = large.groupBy("band", "key").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most")
-    return large.join(several, ["band", "key"]).select("rep", "class").distinct()
+        found.append(both.select(F.struct("x.rep", "x.class").alias("m"), F.struct("y.rep", "y.class").alias("leader")))
+    return _pairs(found[0].union(found[1])).where("a <> b")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,39 +310,39 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     held = wanted.mapInArrow(_bags, "doc_id bigint, bag binary")
     held.write.option("path", scratch_path(spark, "bags")).bucketBy(slots, "doc_id").sortBy("doc_id").saveAsTable(bags_name)
     try:
-        labels = None
         bags = spark.table(bags_name)
 
         def linked(pairs: DataFrame) -> DataFrame:
-            pairs = _saved(pairs, "pairs")
-            joined = pairs.join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a").join(
+            joined = pairs.distinct().join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a").join(
                 bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b")), "b"
             )
-            return _saved(joined.select("a", "b", "bag_a", "bag_b").mapInArrow(_verify, "a bigint, b bigint"), "found")
-
-        def joined_with(found: DataFrame) -> DataFrame:
-            return components(found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-
-        for k in count():
-            if k == 0:
-                every = _led(_classed(members, None), 0).union(_full(members))
-            else:
-                every = _led(_classed(members.where(F.col("n") > SMALL), labels), k)
-            found = linked(every.distinct())
+            return _saved(joined.select(*LINK, "bag_a", "bag_b").mapInArrow(_verify, LINK_SCHEMA), "found")
+
+        between = lambda found: found.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
+        links = linked(_first_pairs(members).union(_full(members)))
+        roots = components(between(links))
+        large = _saved(_moved(members.where(F.col("n") > SMALL).select("band", "key", "rep", F.col("rep").alias("class")), roots), "large")
+        parted, rounds = _parted(large), 0
+        for k in range(ROUNDS):
+            if parted.isEmpty():
+                break
+            found = linked(_led(parted, k))
             if found.isEmpty():
                 break
-            labels = joined_with(found)
-        left = _saved(_open(members, labels), "open")
-        if not left.isEmpty():
+            links, rounds = links.union(found), k + 1
+            parted = _parted(_moved(parted, components(between(found))))
+        labels = roots if rounds == 0 else components(links.select("a", "b"))
+        if not parted.isEmpty():
+            still = large.join(parted.select("band", "key").distinct(), ["band", "key"], "left_semi").select("rep", F.col("rep").alias("class")).distinct()
+            left = _moved(still, labels)
             texts = bags.join(left, bags["doc_id"] == left["rep"]).select("rep", "class", "bag").dropDuplicates(["rep", "bag"])
             found = linked(_filtered(texts))
             if not found.isEmpty():
-                labels = joined_with(found)
+                labels = components(found.select("a", "b").union(labels.select("node", "root")))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {bags_name}")
     of_rep = alike.select("p0", "p1", "rep")
-    if labels is not None:
-        of_rep = of_rep.join(labels, F.col("rep") == F.col("node"), "left").select("p0", "p1", F.coalesce("root", "rep").alias("rep"))
+    of_rep = of_rep.join(labels, F.col("rep") == F.col("node"), "left").select("p0", "p1", F.coalesce("root", "rep").alias("rep"))
     # Ids that stand in several rows tie the classes of these rows together.
     joined = with_words.select("doc_id", "p0", "p1").join(of_rep, ["p0", "p1"]).groupBy("doc_id").agg(F.min("rep").alias("class_id"), F.max("rep").alias("other"))
     ties = joined.where("class_id <> other")
