@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tributary.llm import chat
 
@@ -39,6 +40,33 @@ def test_machine(spark, roles, valid):
     assert got[1].valid_order == valid
 
 
+def test_loss_follows_the_machine(spark):
+    """Answers to a tool are states of their own; only they are learnt, and a broken move goes on from the role's state."""
+    own = chat.Template(learnt=("answer",), moves={"start": {"user": "user"}, "user": {"assistant": "assistant"}, "assistant": {"tool": "tool"}, "tool": {"assistant": "answer"}})
+    roles = ["user", "assistant", "tool", "assistant", "user", "tool", "assistant", "odd", "assistant"]
+    df = chat.format_conversations(rows_of(spark, [(1, i, r, f"t{i}") for i, r in enumerate(roles)]), template=own)
+    states = df.select("valid_order", chat.learnt_texts(df["segments"]).alias("learnt")).first()
+    assert states.learnt == ["t3", "t6"] and not states.valid_order
+    path = spark.createDataFrame([(roles,)], "roles array<string>").select(chat.run_machine(F.col("roles"), own).alias("p")).first().p
+    assert [(x.state, x.valid) for x in path] == [
+        ("user", True), ("assistant", True), ("tool", True), ("answer", True), ("user", False), ("tool", False), ("answer", True), ("", False), ("assistant", False),
+    ]
+
+
+def test_query_runs_the_machine(spark):
+    from tributary.llm import queries
+
+    from .conftest import FOLDER
+
+    plan = queries.JOBS["op7_chat_formatting"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") >= 1
+
+
+def test_long_conversation(spark):
+    got = read(spark, [(1, i, ("user", "assistant")[i % 2], "x") for i in range(20_000)])
+    assert got[1].valid_order and len(got[1].learnt) == 10_000
+
+
 def test_no_marker_survives_in_texts(spark):
     got = read(spark, [(1, 0, "user", "<|end|>\n<s></s>[INST]<<SYS>>")])
     assert not any(m in got[1].segments[1].text for m in ("<", "["))

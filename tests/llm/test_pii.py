@@ -98,6 +98,47 @@ def test_round_trip_format_and_links(spark):
     assert [t for t, _ in both] == [f"x {one[v]} y" for v in VALUES]
 
 
+CARDS = ["3056 930902 5904", "3056-930902 5904", "6304 0000 0000 0000 000", "4200 6409 2168 4802", "4200-6409 2168 4802", "371449 6353984310123", "3714 496353 98431"]
+
+
+def with_check(d):
+    return d[:-1] + next(c for c in pii.DIGITS if luhn(d[:-1] + c))
+
+
+def test_card_groups(spark):
+    """Grouped numbers are replaced whole by valid ones; a short number behind a card stays."""
+    good = []
+    for c in CARDS:
+        it = iter(with_check("".join(x for x in c if x.isdigit())))
+        good.append("".join(next(it) if x.isdigit() else x for x in c))
+    assert good[:5] == CARDS[:5]
+    texts = [f"pay {c} now" for c in good]
+    done = run(spark, texts)
+    assert [t for t, _ in run(spark, [t for t, _ in done], back=True)] == texts
+    for c, (new, kinds) in zip(good, done):
+        made = new[4:-4]
+        assert kinds == ["card"] and luhn("".join(x for x in made if x.isdigit())) and [x for x in made if not x.isdigit()] == [x for x in c if not x.isdigit()]
+        assert all(a != b for a, b in zip(c.replace("-", " ").split()[:2], made.replace("-", " ").split()[:2]))
+    tails = [f"4200 6409 2168 4802 {k}" for k in range(120)]
+    moved_ = run(spark, tails)
+    assert [t for t, _ in run(spark, [t for t, _ in moved_], back=True)] == tails
+    for t, (new, kinds) in zip(tails, moved_):
+        digits = "".join(x for x in t if x.isdigit())
+        assert kinds == ["card"] and new[:9] != t[:9]
+        assert luhn(digits) == luhn("".join(x for x in new if x.isdigit())) and (luhn(digits) or new[19:] == t[19:])
+
+
+def test_international_numbers(spark):
+    values = ["+49 30 1234567", "+44 20 7946 0958", "+33.1.23.45.67.89", "+4915112345678", "+49 (30) 1234567", "+86 10 1234 5678"]
+    done = run(spark, [f"call {v}, please" for v in values])
+    assert [t for t, _ in run(spark, [t for t, _ in done], back=True)] == [f"call {v}, please" for v in values]
+    for v, (new, kinds) in zip(values, done):
+        made = new[5:-8]
+        assert kinds == ["intl"] and made != v and made[:3] == v[:3] and [c for c in made if not c.isdigit()] == [c for c in v if not c.isdigit()]
+    short = ["+1 000", "+49 30 12", "+12 345 678 901 234 567 8"]
+    assert run(spark, short) == [(t, []) for t in short]
+
+
 @pytest.mark.parametrize("a,b", [(7, 5), (1, 40), (49, 366)])
 def test_pairs_are_permuted(spark, a, b):
     df = spark.range(a * b).select((F.col("id") % a).alias("l"), F.floor(F.col("id") / a).alias("r"))

@@ -1,5 +1,8 @@
 """Chat formatting: a finite-state machine over roles, and a declarative template.
 
+The machine reads the roles in order. Its state after a turn says whether the turn's text is learnt, and whether the move was one of the template. After a
+move that the template lacks it goes on from the state named like the role (an unnamed one if there is none), so later turns keep their flags.
+
 Each turn becomes ``<|role|>`` line feed, text, ``<|end|>`` line feed. Inside roles and texts ``\\``, ``<`` and ``[`` are
 written as ``\\\\``, ``\\l`` and ``\\b`` (and in roles ``|`` as ``\\p``), so no text can hold a marker of this template or any other control string
 such as ``</s>`` or ``[INST]``; the reading side takes the escapes back. Everything is one
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Template:
-    """Text around a turn, the roles that are learnt, and the machine: state -> {role: next state}."""
+    """Text around a turn, the states whose text is learnt, and the machine: state -> {role: next state}."""
 
     before_role: str = "<|"
     after_role: str = "|>\n"
@@ -52,14 +55,24 @@ def unescape(text: Column) -> Column:
     return F.array_join(plain, "\\")
 
 
-def _valid(roles: Column, template: Template) -> Column:
-    """Runs the machine; a move that the template lacks leads to the state null and stays there."""
-    moves = F.create_map(*(F.lit(x) for state, to in template.moves.items() for role, nxt in to.items() for x in (f"{state} {role}", nxt)))
-    return F.aggregate(roles, F.lit(template.start), lambda state, role: F.element_at(moves, F.concat_ws(" ", F.coalesce(state, F.lit("")), role))).isNotNull()
+def run_machine(roles: Column, template: Template) -> Column:
+    """[(state, valid)] of the roles, one for each turn. The fold writes one letter for a state, a capital after a move that the template lacks."""
+    states = list(dict.fromkeys([template.start, *template.moves, *(s for to in template.moves.values() for s in to.values()), *template.learnt, ""]))
+    if len(states) > 26:
+        raise ValueError("a template has at most 25 states")
+    letter = {s: chr(ord("a") + i) for i, s in enumerate(states)}
+    moves = F.create_map(*(F.lit(x) for state, to in template.moves.items() for role, nxt in to.items() for x in (f"{letter[state]} {role}", letter[nxt])))
+    again = F.create_map(*(F.lit(x) for s in states for x in (s, letter[s].upper())))
+    step = lambda path, role: F.concat(
+        path, F.coalesce(F.element_at(moves, F.concat_ws(" ", F.lower(F.right(path, F.lit(1))), role)), F.element_at(again, role), F.lit(letter[""].upper()))
+    )
+    path = F.aggregate(roles, F.lit(letter[template.start]), step)
+    names = F.create_map(*(F.lit(x) for s in states for x in (letter[s], s)))
+    return F.transform(F.split(F.substr(path, F.lit(2)), ""), lambda c: F.struct(F.element_at(names, F.lower(c)).alias("state"), (c == F.lower(c)).alias("valid")))
 
 
 def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", template: Template = TEMPLATE) -> DataFrame:
-    """One row per conversation: conv_id, n_turns, valid_order, segments [(text, loss)] and formatted (segments joined).
+    """One row per conversation: conv_id, n_turns, valid_order (every move is one of the template), segments [(text, loss)] and formatted (segments joined).
 
     Turns are ordered by turn number, then role, then text, so ties and repeated rows have one result; a null turn
     number comes first, a null role or text is empty. A conversation whose roles break the machine is formatted all
@@ -69,17 +82,18 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     s = F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     grouped = turns.select(F.col(conv_col).alias("conv_id"), s.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
-    def segments(t: Column) -> Column:
+    def segments(t: Column, state: Column) -> Column:
         head = F.concat(F.lit(template.before_role), F.replace(escape(t["role"]), F.lit("|"), F.lit("\\p")), F.lit(template.after_role))
-        learnt = t["role"].isin(*template.learnt)
+        learnt = state["state"].isin(*template.learnt)
         part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
         return F.array(part(head, F.lit(False)), part(escape(t["text"]), learnt), part(F.lit(template.after_text), F.lit(False)))
 
-    return grouped.select(
+    ran = grouped.withColumn("states", run_machine(F.transform("turns", lambda t: t["role"]), template))
+    return ran.select(
         "conv_id",
         F.size("turns").cast("bigint").alias("n_turns"),
-        _valid(F.transform("turns", lambda t: t["role"]), template).alias("valid_order"),
-        F.flatten(F.transform("turns", segments)).alias("segments"),
+        F.forall("states", lambda x: x["valid"]).alias("valid_order"),
+        F.flatten(F.zip_with("turns", "states", segments)).alias("segments"),
     ).withColumn("formatted", F.array_join(F.transform("segments", lambda x: x["text"]), ""))
 
 

@@ -28,13 +28,17 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    # Other international numbers: a country code, then digits in one run or in groups with one kind of separator.
+    "intl": r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:(?<sep>[ .-])(?:\([0-9]{1,4}\)|[0-9]{1,8})(?:\k<sep>[0-9]{1,8}){0,5}|[0-9]{7,12})(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])",
-    # One run of digits, or groups of the usual sizes with one kind of separator: a number beside it is not taken in.
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|"
-    + "|".join(f"[0-9]{{4}}{c}[0-9]{{4}}{c}[0-9]{{4}}{c}[0-9]{{1,7}}|[0-9]{{4}}{c}[0-9]{{6}}{c}[0-9]{{5}}" for c in " -")
+    # One run of digits, or groups of the usual sizes. A last group of one to three digits needs the separator of the others, and nothing that goes on behind it.
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?<gap>[ -])(?:[0-9]{4}\k<gap>){3}[0-9]{1,3}(?![.,/:-]?[0-9])|"
+    + "|".join(g.replace(" ", "[ -]").replace("d", "[0-9]") for g in ("d{4} d{4} d{4} d{1,7}", "d{4} d{6} d{4,5}", "d{6} d{13}"))
     + r")(?![0-9A-Za-z])",
 }
+#: Digits of a phone number with its country code.
+E164 = (8, 15)
 _ANY = "|".join(PATTERNS.values())
 _MAY_HOLD = "[0-9@]|AKIA|ASIA"
 
@@ -129,19 +133,42 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _card(m: Column, key: str, back: bool) -> Column:
-    def valid(d: Column) -> Column:
+    """A valid number, whole. If four groups of four are one without the group of one to three digits behind them, that group stays; numbers of this kind
+    are permuted among themselves: a step that makes the whole valid is followed by another."""
+
+    def moved(d: Column) -> Column:
         n = F.length(d) - 1
         right = F.floor(n / 2).cast("int")
         body = F.substr(d, F.lit(1), n)
         left = n - right
         pair = permute_pair(F.substr(body, F.lit(1), left).cast("bigint"), F.substr(body, left + 1).cast("bigint"), F.pow(F.lit(10), left), F.pow(F.lit(10), right), key, "card", back)
         made = _let(pair, lambda p: F.concat(_padded(p["l"], left), _padded(p["r"], right)))
-        full = _let(made, lambda x: F.concat(x, F.pmod(-luhn_sum(F.concat(x, F.lit("0"))), F.lit(10)).cast("string")))
-        return F.when(luhn_sum(d) % 10 == 0, _refill(m, full)).otherwise(m)
+        return _let(made, lambda x: F.concat(x, F.pmod(-luhn_sum(F.concat(x, F.lit("0"))), F.lit(10)).cast("string")))
+
+    good = lambda d: luhn_sum(d) % 10 == 0
+
+    def valid(d: Column) -> Column:
+        head, tail = F.substr(d, F.lit(1), F.lit(16)), F.substr(d, F.lit(17))
+        apart = F.rlike(m, F.lit("^(?:[0-9]{4}[ -]){4}[0-9]{1,3}$"))
+        walk = lambda s, _: F.when(s["done"], s).otherwise(_let(moved(s["d"]), lambda x: F.struct(x.alias("d"), (~good(F.concat(x, tail))).alias("done"))))
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.struct(head.alias("d"), F.lit(False).alias("done")), walk, lambda s: F.concat(s["d"], tail))
+        return F.when(good(d), _refill(m, moved(d))).when(apart & good(head), _refill(m, walked)).otherwise(m)
 
     return _let(_digits(m), valid)
 
 
+def _intl(m: Column, key: str, back: bool) -> Column:
+    """The digits behind the country code, which ends at the first separator; of a run of digits the first two stay."""
+
+    def made(d: Column) -> Column:
+        code = F.regexp_extract(m, r"^\+([0-9]{1,3})[ .-]", 1)
+        kept = F.when(F.length(code) > 0, F.length(code)).otherwise(2)
+        new = F.concat(F.substr(d, F.lit(1), kept), permute_text(F.substr(d, kept + 1), key, "intl", (DIGITS,), back))
+        return F.when(F.length(d).between(*E164), _refill(m, new)).otherwise(m)
+
+    return _let(_digits(m), made)
+
+
 def _ip(m: Column, key: str, back: bool) -> Column:
     octets = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
 
@@ -263,7 +290,7 @@ def _access_key(m: Column, key: str, back: bool) -> Column:
     return F.concat(F.substr(m, F.lit(1), F.lit(4)), permute_text(F.substr(m, F.lit(5)), key, "access key", (UPPER + DIGITS,), back))
 
 
-_MAKERS = {"email": _email, "access_key": _access_key, "secret": _secret, "iban": _iban, "ip": _ip, "phone": _phone, "ssn": _ssn, "date": _date, "card": _card}
+_MAKERS = {"email": _email, "access_key": _access_key, "secret": _secret, "iban": _iban, "ip": _ip, "phone": _phone, "intl": _intl, "ssn": _ssn, "date": _date, "card": _card}
 
 
 def pseudonym(value: Column, key: str, back: bool = False) -> Column:
