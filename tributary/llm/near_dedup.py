@@ -12,11 +12,12 @@ about one point per element.
 2. Texts that share a bucket (band and key) are candidates. Every text is compared with the leader of each of its buckets, the text with the most
    neighbours in all: one pair a text and bucket, however large the group. Buckets of at most ``SMALL`` texts are compared in full.
    Every pair is verified on the whole multisets: a link needs a weighted Jaccard similarity of ``SIMILARITY``.
-3. Links are contracted to classes (large-star, small-star). Of each larger bucket, one text of each class stays, and buckets of one class go. At most ``ROUNDS``
+3. Texts go to the class of the leader they are linked with. Of each larger bucket, one text of each class stays, and buckets of one class go. At most ``ROUNDS``
    more rounds compare these texts with a random one of them, and contract again, so the table shrinks from round to round.
 4. The rounds only save work: texts of larger buckets that still hold several classes then go through an exact prefix filter. Units are
    ordered by the number of these texts that hold them, rarest first; two texts can only be linked if their first common unit
    stands early enough in both. Every such pair of different classes is verified, so no pair that shares a bucket is lost.
+5. All links together give the final classes (large-star, small-star).
 
 Each step is a written table, so no step is computed twice and lost tasks start from files.
 """
@@ -27,7 +28,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.blocks import small_batches
@@ -43,8 +44,8 @@ COMPONENTS = BANDS * ROWS
 SMALL = 9
 #: Rounds over larger buckets between the first comparison and the filter.
 ROUNDS = 2
-#: A pair of texts and the classes they are in so far.
-LINK = ["a", "b", "class_a", "class_b"]
+#: A pair of texts, the class of the one and that of its leader so far, and a rank among leaders.
+LINK = ["a", "b", "child", "parent", "rank"]
 LINK_SCHEMA = ", ".join(f"{c} bigint" for c in LINK)
 _STEP = U(0x9E3779B97F4A7C15)
 
@@ -189,21 +190,20 @@ def _buckets(alike: DataFrame) -> DataFrame:
     """(band, key, rep, n, near): buckets of at least two texts, their sizes, and the neighbours of each text in all its bands."""
     rows = alike.select("rep", F.posexplode("bands").alias("band", "key"))
     sizes = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = _saved(rows.join(sizes, ["band", "key"]), "buckets")
-    near = shared.groupBy("rep").agg(F.sum("n").alias("near"))
-    return shared.join(near, "rep").select("band", "key", "rep", "n", "near")
+    shared = rows.join(sizes, ["band", "key"])
+    return shared.select("band", "key", "rep", "n", F.sum("n").over(Window.partitionBy("rep")).alias("near"))
 
 
 def _pairs(met: DataFrame) -> DataFrame:
-    """(a, b, class_a, class_b): each pair of m and leader once, the larger id in front."""
-    ahead = F.col("m.rep") > F.col("leader.rep")
-    of = lambda name, first: F.when(ahead == F.lit(first), F.col(f"m.{name}")).otherwise(F.col(f"leader.{name}"))
-    return met.select(of("rep", True).alias("a"), of("rep", False).alias("b"), of("class", True).alias("class_a"), of("class", False).alias("class_b"))
+    """Each pair of m and leader (rep, class, rank), the larger id in front."""
+    one, two = F.col("m.rep"), F.col("leader.rep")
+    return met.select(F.greatest(one, two).alias("a"), F.least(one, two).alias("b"), F.col("m.class").alias("child"), F.col("leader.class").alias("parent"), F.col("leader.rank").alias("rank"))
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
     """Each text with the leader of each of its buckets."""
-    leaders = members.groupBy("band", "key").agg(F.min(F.struct((-F.col("near")).alias("o"), "rep", F.col("rep").alias("class"))).alias("leader"))
+    best = F.max(F.struct(F.col("near").alias("rank"), (-F.col("rep")).alias("r"))).alias("l")
+    leaders = members.groupBy("band", "key").agg(best).select("band", "key", F.struct((-F.col("l.r")).alias("rep"), (-F.col("l.r")).alias("class"), "l.rank").alias("leader"))
     met = members.select("band", "key", F.struct("rep", F.col("rep").alias("class")).alias("m")).join(leaders, ["band", "key"])
     return _pairs(met.where("m.rep <> leader.rep"))
 
@@ -213,7 +213,7 @@ def _full(members: DataFrame) -> DataFrame:
     groups = members.where(F.col("n") <= SMALL).groupBy("band", "key").agg(F.sort_array(F.collect_set("rep")).alias("g"))
     one = groups.select("g", F.posexplode("g").alias("i", "a"))
     both = one.select("a", F.explode(F.slice("g", F.lit(1), F.col("i"))).alias("b"))
-    return both.select("a", "b", F.col("a").alias("class_a"), F.col("b").alias("class_b"))
+    return both.select("a", "b", F.col("a").alias("child"), F.col("b").alias("parent"), F.lit(0).cast("bigint").alias("rank"))
 
 
 def _parted(rows: DataFrame) -> DataFrame:
@@ -225,12 +225,21 @@ def _parted(rows: DataFrame) -> DataFrame:
 
 def _led(parted: DataFrame, salt: int) -> DataFrame:
     """In each bucket, the text of each class with a random one of them."""
-    order = F.struct(F.xxhash64("rep", "band", F.lit(salt)).alias("o"), "rep", "class")
+    order = F.struct(F.xxhash64("rep", "band", F.lit(salt)).alias("rank"), "rep", "class")
     leaders = parted.groupBy("band", "key").agg(F.min(order).alias("leader"))
     met = parted.select("band", "key", F.struct("rep", "class").alias("m")).join(leaders, ["band", "key"])
     return _pairs(met.where("m.class <> leader.class"))
 
 
+def _hubs(found: DataFrame) -> DataFrame:
+    """(node, root): where each class goes, to that of its leader of highest rank, or to that leader's own."""
+    best = F.max(F.struct("rank", (-F.col("parent")).alias("p"))).alias("h")
+    up = _saved(found.groupBy("child").agg(best).select(F.col("child").alias("node"), (-F.col("h.p")).alias("root")), "hubs")
+    higher = up.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    back = F.col("top") == F.col("node")  # two that lead each other
+    return up.join(higher, "root", "left").select("node", F.when(back, F.least("node", "root")).otherwise(F.coalesce("top", "root")).alias("root"))
+
+
 def _moved(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows with the root of their class."""
     at = roots.select(F.col("node").alias("class"), "root")
@@ -282,7 +291,7 @@ def _filtered(texts: DataFrame) -> DataFrame:
     found, rest = [], "class <> top"
     for x, y in ((met.where("short").where(rest), met), (met.where("short"), met.where(rest))):
         both = x.alias("x").join(y.alias("y"), (F.col("x.unit") == F.col("y.unit")) & able)
-        found.append(both.select(F.struct("x.rep", "x.class").alias("m"), F.struct("y.rep", "y.class").alias("leader")))
+        found.append(both.select(F.struct("x.rep", "x.class").alias("m"), F.struct("y.rep", "y.class", F.lit(0).cast("bigint").alias("rank")).alias("leader")))
     return _pairs(found[0].union(found[1])).where("a <> b")
 
 
@@ -313,32 +322,30 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         bags = spark.table(bags_name)
 
         def linked(pairs: DataFrame) -> DataFrame:
-            joined = pairs.distinct().join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a").join(
+            joined = pairs.dropDuplicates(["a", "b"]).join(bags.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a")), "a").join(
                 bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b")), "b"
             )
             return _saved(joined.select(*LINK, "bag_a", "bag_b").mapInArrow(_verify, LINK_SCHEMA), "found")
 
-        between = lambda found: found.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
         links = linked(_first_pairs(members).union(_full(members)))
-        roots = components(between(links))
-        large = _saved(_moved(members.where(F.col("n") > SMALL).select("band", "key", "rep", F.col("rep").alias("class")), roots), "large")
-        parted, rounds = _parted(large), 0
+        large = _saved(_moved(members.where(F.col("n") > SMALL).select("band", "key", "rep", F.col("rep").alias("class")), _hubs(links)), "large")
+        parted, moves = _parted(large), []
         for k in range(ROUNDS):
             if parted.isEmpty():
                 break
             found = linked(_led(parted, k))
             if found.isEmpty():
                 break
-            links, rounds = links.union(found), k + 1
-            parted = _parted(_moved(parted, components(between(found))))
-        labels = roots if rounds == 0 else components(links.select("a", "b"))
+            links = links.union(found)
+            moves.append(_saved(_hubs(found), "moves"))
+            parted = _parted(_moved(parted, moves[-1]))
         if not parted.isEmpty():
-            still = large.join(parted.select("band", "key").distinct(), ["band", "key"], "left_semi").select("rep", F.col("rep").alias("class")).distinct()
-            left = _moved(still, labels)
+            left = large.join(parted.select("band", "key").distinct(), ["band", "key"], "left_semi").select("rep", "class").distinct()
+            for move in moves:
+                left = _moved(left, move)
             texts = bags.join(left, bags["doc_id"] == left["rep"]).select("rep", "class", "bag").dropDuplicates(["rep", "bag"])
-            found = linked(_filtered(texts))
-            if not found.isEmpty():
-                labels = components(found.select("a", "b").union(labels.select("node", "root")))
+            links = links.union(linked(_filtered(texts)))
+        labels = components(links.select("a", "b"))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {bags_name}")
     of_rep = alike.select("p0", "p1", "rep")
