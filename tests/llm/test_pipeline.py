@@ -55,3 +55,30 @@ def test_run_registers(spark):
 
     assert __spark_entry__.queries()["pipeline"] is P.run and "pipeline" not in __spark_entry__.oracle_sql()
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def edge_rows(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, and columns named like those of the operators."""
+    plain = "a quiet report about the harbour and the weather of the coming week in the north"
+    rows = [(1, plain), (1, plain), (2, plain), (3, None), (4, ""), (5, "  \n"), (None, plain), (6, "call 438-555-7372 or mail a.b@c.org about the report of the week"), (7, "word " * 30_000), (8, "word " * 30_000)]
+    more = "lang string, source string, n_chars bigint, score double, predicted string, class_id bigint, rank int, block int, label int"
+    return spark.createDataFrame([(i, t, None, None, None, 0.5, "x", 9, 1, 2, 0) for i, t in rows], f"doc_id bigint, text string, {more}").repartition(3)
+
+
+def test_edges_of_every_stage(spark):
+    docs, stages = edge_rows(spark), dict(P.STAGES)
+    texts = sorted([(r.doc_id, r.text) for r in docs.collect()], key=str)
+    rows = lambda df: sorted([(r.doc_id, r.text) for r in df.collect()], key=str)
+    judged = rows(stages["quality classifier"](spark, docs, FOLDER))
+    assert set(judged) <= set(texts) and judged.count(texts[0]) in (0, texts.count(texts[0]))
+    kept = rows(stages["near-dedup"](spark, docs, FOLDER))
+    assert kept == [(i, t) for i, t in texts if i not in (2, 8)]
+    assert rows(stages["decontamination"](spark, docs, FOLDER)) == texts
+    private = stages["pii"](spark, docs, FOLDER)
+    assert all(new == old for (_, new), (i, old) in zip(rows(private), texts) if i != 6)
+    (six,) = [r for r in private.collect() if r.doc_id == 6]
+    assert "438-555-7372" not in six.text and "a.b@c.org" not in six.text and six.n_chars == len(six.text)
+    pieces = stages["packing"](spark, docs, FOLDER).collect()
+    assert sum(r.length for r in pieces if r.doc_id in (3, 4)) == 2 and sum(r.length for r in pieces if r.doc_id == 7) > 30_000
+    for name, stage in P.STAGES:
+        assert stage(spark, docs.where("false"), FOLDER).count() == 0, name

@@ -153,16 +153,32 @@ def test_heartbeat_alerts(spark, tmp_path):
 def test_silence_alert_without_further_beats(spark, tmp_path):
     rows = spark.createDataFrame([("a", 10), ("a", 70), ("b", 40)], "cluster_id string, s int").selectExpr("cluster_id", "timestamp_seconds(s) ts")
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = liveness.silence_alerts(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), max_gap_s=2)
+    stream = liveness.silence_alerts(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), max_gap_s=2, event_time=False, forget_s=3600)
     seen = []
-    query = stream.writeStream.outputMode("update").foreachBatch(lambda df, n: seen.extend(df.selectExpr("cluster_id", "unix_seconds(last_beat)").collect()))
+    query = stream.writeStream.outputMode("append").foreachBatch(lambda df, n: seen.extend(df.select("cluster_id").collect()))
     running = query.option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="500 milliseconds").start()
     for _ in range(120):
         if len(seen) >= 2:
             break
         time.sleep(0.5)
     running.stop()
-    assert sorted(map(tuple, seen)) == [("a", 70), ("b", 40)]
+    assert sorted(map(tuple, seen)) == [("a",), ("b",)]
+
+
+def test_silence_alerts_in_event_time(spark, tmp_path):
+    """Late beats close a gap, a key that never beats and one that falls silent last are found, and each silence once."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    known = spark.createDataFrame([("a", 0), ("never", 5), ("late", 5)], "cluster_id string, s int").selectExpr("cluster_id", "timestamp_seconds(s) ts")
+    batches = [[("a", 100), ("a", 900), ("b", 1)], [("a", 500), ("b", 1500), ("late", 300)], [("a", 1300), ("c", 5000)], [("c", 5300)]]
+    for beats in batches:  # one micro-batch each, in runs of their own: state and timers come back from the checkpoint
+        rows = spark.createDataFrame(beats, "cluster_id string, s int").selectExpr("cluster_id", "timestamp_seconds(s) ts")
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = liveness.silence_alerts(spark.readStream.schema(rows.schema).parquet(source), max_gap_s=400, lateness="1000 seconds", known=known)
+        writer = stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", str(tmp_path / "c"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(out).select("cluster_id", F.unix_seconds("last_beat"), F.unix_seconds("silent_from")).collect()
+    # 100, 500, 900 and 1300 are 400 s apart, no silence; the beat at 500 came a batch late.
+    assert sorted(map(tuple, got), key=str) == sorted([("a", 1300, 1300), ("b", 1, 1), ("b", 1500, 1500), ("late", 300, 300), ("never", None, 5)], key=str)
 
 
 def test_late_beats_are_kept_and_counted(spark, tmp_path):

@@ -70,6 +70,8 @@ def elements(text: Column, parsed: Column) -> Column:
 # A JSON string, or a number that may need another form: with a fraction, an exponent or 16 digits.
 _STRING_OR_NUMBER = r'"(?:[^"\\]|\\.)*+"|-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?'
 _ODD_NUMBER = r"[0-9][.eE]|[0-9]{16}"
+# Such a number in a compact text stands at its start or behind one of three signs.
+_HOLDS_ODD_NUMBER = r"(?:^|[:,\[])-?(?:[0-9]+[.eE]|[0-9]{16})"
 
 
 def number_text(token: Column) -> Column:
@@ -97,15 +99,19 @@ def number_text(token: Column) -> Column:
 def json_text(value: Column) -> Column:
     """JSON text of a variant or map, the way the published encoder writes it: numbers as 64-bit floats, and <, >, & and the
     separators U+2028 and U+2029 escaped."""
-    text = F.to_json(value)
-    between = F.split(text, _STRING_OR_NUMBER, -1)
-    tokens = F.regexp_extract_all(text, F.lit(_STRING_OR_NUMBER), F.lit(0))
-    shown = F.transform(tokens, lambda t: F.when(t.startswith('"') | ~t.rlike(_ODD_NUMBER), t).otherwise(number_text(t)))
-    rewritten = F.array_join(F.zip_with(between, shown, lambda b, t: F.concat(b, F.coalesce(t, F.lit("")))), "")
-    text = F.when(text.rlike(_ODD_NUMBER), rewritten).otherwise(text)
-    for raw, escaped in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
-        text = F.replace(text, F.lit(raw), F.lit(escaped))
-    return text
+
+    def written(text: Column) -> Column:
+        between = F.split(text, _STRING_OR_NUMBER, -1)
+        tokens = F.regexp_extract_all(text, F.lit(_STRING_OR_NUMBER), F.lit(0))
+        shown = F.transform(tokens, lambda t: F.when(t.startswith('"') | ~t.rlike(_ODD_NUMBER), t).otherwise(number_text(t)))
+        rewritten = F.array_join(F.zip_with(between, shown, lambda b, t: F.concat(b, F.coalesce(t, F.lit("")))), "")
+        text = F.when(text.rlike(_HOLDS_ODD_NUMBER), rewritten).otherwise(text)
+        for raw, escaped in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e"), ("\u2028", "\\u2028"), ("\u2029", "\\u2029")):
+            text = F.replace(text, F.lit(raw), F.lit(escaped))
+        return text
+
+    # An item of an array is computed once, however often it is named.
+    return F.element_at(F.transform(F.array(F.to_json(value)), written), 1)
 
 
 def message_text(value: Column) -> Column:

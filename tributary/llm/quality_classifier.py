@@ -2,7 +2,7 @@
 model fitted by dual coordinate descent.
 
 Features of a text are indicators, hashed to ``BUCKETS``: runs of three bytes with the space between words as one
-of them (so style and alphabet generalise to words never seen), and runs of two to four equal words or lines.
+of them (so style and alphabet generalise to words never seen), and runs of two to four equal words, one bucket for each length (2, 3 and 4).
 The log-count ratio of each feature is counted over the fitting rows, in two numbers per bucket, and scales its
 indicator. A Platt curve over the fitting margins turns margins into probabilities.
 
@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.llm.blocks import small_batches
 from tributary.llm.words import U, gram_hashes, split_words, steps
@@ -162,7 +163,7 @@ def _score(model: Model, text_col: str):
                     flat = np.flatnonzero(bits)
                     margin[at : at + len(bits)] = np.bincount(flat >> 15, weights=weights[flat & (BUCKETS - 1)], minlength=len(bits))
                 score = model.probability(margin + model.bias)
-                yield from part.append_column("__score", pa.array(score)).combine_chunks().to_batches()
+                yield from part.append_column("score", pa.array(score)).combine_chunks().to_batches()
 
     return run
 
@@ -171,9 +172,8 @@ def score_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     """``docs`` with score and predicted behind its columns, which replace columns of these names; see score()."""
     small_batches(docs.sparkSession)
     plain = docs.drop("score", "predicted")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
-    scored = plain.mapInArrow(_score(model, text_col), f"{fields}, __score double")
-    return scored.withColumnRenamed("__score", "score").withColumn("predicted", F.when(F.col("score") >= REJECT_BELOW, 1).otherwise(0))
+    fields = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(_score(model, text_col), fields).withColumn("predicted", F.when(F.col("score") >= REJECT_BELOW, 1).otherwise(0))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,8 +187,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
-    """Rows no label is learnt from."""
-    return F.crc32(F.col(id_col).cast("string")) % 5 == 0
+    """Rows no label is learnt from; false without an id."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:

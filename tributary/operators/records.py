@@ -140,12 +140,14 @@ def fallback_ts(events: DataFrame, upload_ms: str = "upload_ms") -> DataFrame:
 def skip_processed(events: DataFrame, offsets: DataFrame, chunks: int | None = None) -> DataFrame:
     """Drops the first ``offset`` events of an object, in file order.
 
-    Only objects with a positive offset are numbered; all others pass without a shuffle of their own.
+    Only objects with a positive offset are numbered; all others pass without a shuffle of their own. Both branches are semi and anti joins on
+    the key, which the optimizer moves below the parse: each line is parsed in one of them.
     """
     positive = offsets.filter("offset > 0").groupBy("object_key").agg(F.max("offset").alias("offset"))
-    tagged = events.join(positive, "object_key", "left")
-    untouched = tagged.filter("offset is null").select(*events.columns)
-    numbered = row_rank(tagged.filter("offset is not null"), ["object_key"], ["line_no", "item_no"], "_rank", chunks, costly=True)
+    keys = positive.select("object_key")
+    untouched = events.join(keys, "object_key", "left_anti")
+    cut = events.join(keys, "object_key", "left_semi")
+    numbered = row_rank(cut, ["object_key"], ["line_no", "item_no"], "_rank", chunks, costly=True).join(positive, "object_key")
     return untouched.unionByName(numbered.filter("_rank > offset").select(*events.columns))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.operators import records as R
+from tributary.operators import search as S
 from tributary.operators.enrich import extract_log_level, structure_record
 from tributary.plans.catalog_fields import JSON_TIME, TEXT_TIME
 from tributary.plans.catalog_flow import ATTEMPTS, redelivered
@@ -94,30 +95,90 @@ def _(t):
 @query(
     "s6_whole_objects",
     oracle(
-        """SELECT conv_id, conv_id % 3 = 2 AS parse_error, i::INTEGER AS item_no, CASE WHEN conv_id % 3 = 2 THEN NULL ELSE 'turn ' || i END AS message
-        FROM (SELECT conv_id, unnest(CASE WHEN conv_id % 3 = 0 THEN range(count(*)) ELSE [0] END) AS i FROM conversations GROUP BY conv_id)"""
+        """SELECT conv_id, false AS parse_error, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1)::INTEGER AS item_no,
+          role, text AS message FROM conversations WHERE conv_id % 3 = 0
+        UNION ALL SELECT conv_id, false, 0, 'all', string_agg(COALESCE(text, ''), chr(10) ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FROM conversations WHERE conv_id % 3 = 1 GROUP BY conv_id
+        UNION ALL SELECT DISTINCT conv_id, true, 0, NULL, NULL FROM conversations WHERE conv_id % 3 = 2"""
     ),
 )
 def _(t):
-    # One file per conversation: a pretty-printed array, a pretty-printed object, or broken text.
+    # One file per conversation with all its texts: a pretty-printed array of turns, one pretty-printed object, or an array without its end.
+    turn = F.struct("turn", "role", "text")
+    grouped = t.given("conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    pretty = {"pretty": "true"}
+    every = F.to_json(F.transform("turns", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("message"))), pretty)
+    joined = F.array_join(F.transform("turns", lambda x: F.coalesce(x["text"], F.lit(""))), "\n")
+    one = F.to_json(F.struct(F.lit("all").alias("role"), joined.alias("message")), pretty)
     n = F.col("conv_id") % 3
-    turn = F.concat(F.lit('{\n "message":\n "turn '), F.col("turn").cast("string"), F.lit('"\n}'))
-    docs = t.given("conversations").groupBy("conv_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", turn.alias("j")))), lambda x: x["j"]), ",\n").alias("all"),
-        F.count("*").alias("turns"),
-    )
-    one = F.lit('{\n "message":\n "turn 0"\n}')
-    body = F.when(n == 0, F.concat(F.lit("[\n"), F.col("all"), F.lit("\n]"))).when(n == 1, one).otherwise(F.concat(one, F.lit("\n}")))
+    body = F.when(n == 0, every).when(n == 1, one).otherwise(F.concat(F.lit("[\n"), one))
     path = scratch_path(t.spark, "whole")
-    docs.select("conv_id", body.alias("value")).hint("rebalance", "conv_id").write.partitionBy("conv_id").option(
-        "compression", "gzip"
-    ).text(path)
+    grouped.select("conv_id", body.alias("value")).hint("rebalance", "conv_id").write.partitionBy("conv_id").option("compression", "gzip").text(path)
     lines = O.read_log_objects(t.spark, path)
     keys = R.fallback_keys(R.parse_stats(R.parse_lines(lines)))
     records = R.parse_whole_objects(t.spark, path, keys)
-    message = F.try_variant_get("record", "$.message", "string")
+    member = lambda name: F.try_variant_get("record", f"$.{name}", "string")
     conv = F.regexp_extract("object_key", r"conv_id=(\d+)", 1).cast("bigint")
-    return records.select(conv.alias("conv_id"), "parse_error", "item_no", message.alias("message"))
+    return records.select(conv.alias("conv_id"), "parse_error", "item_no", member("role").alias("role"), member("message").alias("message"))
+
+
+@query(
+    "a3_list_objects",
+    oracle("SELECT 'central-logs' AS bucket, replace(object_key, '//', '/-/') AS object_key, strlen(replace(object_key, '//', '/-/'))::BIGINT AS size_bytes, true AS dated FROM listing", "listing"),
+)
+def _(t):
+    root = scratch_path(t.spark, "listed")
+    named = F.replace("object_key", F.lit("//"), F.lit("/-/"))
+    put = t.listing.select("bucket", named.alias("object_key"))
+    put.mapInPandas(_put_objects(root), "object_key string").write.format("noop").mode("overwrite").save()
+    found = O.list_objects(t.spark, f"{root}/{BUCKET}", BUCKET)
+    return found.select("bucket", "object_key", "size_bytes", (F.col("modified_ms") > AS_OF_MS).alias("dated"))
+
+
+SEARCHED = ("m77 é<>", "timestamp", "no such text")
+
+
+@query(
+    "d11_indexed_search",
+    oracle(
+        f"""SELECT term, replace(object_key, '//', '/-/') AS object_key, line, count(*) AS n, true AS skipped_most
+        FROM stored, (SELECT unnest({list(SEARCHED)!r}) AS term) WHERE contains(line, term) GROUP BY ALL""",
+        "stored",
+    ),
+)
+def _(t):
+    # One plain object for each key, and the index built from the same lines.
+    root = scratch_path(t.spark, "searched")
+    plain = t.stored.select(F.replace("object_key", F.lit("//"), F.lit("/-/")).alias("object_key"), "line_no", "line")
+    put = plain.groupBy("object_key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("content"))
+    put.mapInPandas(_put_contents(root), "object_key string").write.format("noop").mode("overwrite").save()
+    path = scratch_path(t.spark, "index")
+    S.build_index(plain).write.parquet(path)
+    index, rows = t.spark.read.parquet(path), None
+    objects = index.select("object_key").distinct().count()
+    # The rare term opens few objects; the one that is nowhere as well.
+    few = all(S.may_hold(index, term).count() <= 3 + objects // 50 for term in (SEARCHED[0], SEARCHED[2]))
+    for term in SEARCHED:
+        found = S.search_objects(t.spark, root, index, term).select(F.lit(term).alias("term"), "object_key", "line")
+        rows = found if rows is None else rows.union(found)
+    return rows.groupBy("term", "object_key", "line").agg(F.count("*").alias("n"), F.lit(few).alias("skipped_most"))
+
+
+def _put_contents(root: str):
+    def run(frames):
+        import gzip
+
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for frame in frames:
+            for row in frame.itertuples():
+                name = f"{base}/{row.object_key}"
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(name, compression=None) as out:
+                    out.write(gzip.compress(row.content.encode()) if name.endswith(".gz") else row.content.encode())
+            yield frame[["object_key"]]
+
+    return run
 
 
 @query(
@@ -201,30 +262,50 @@ def _make_buckets(root: str):
     return run
 
 
-@query(
-    "b5_two_sinks",
-    oracle(
-        """SELECT sink, environment, count(*) AS n FROM (SELECT unnest(['main', 'debug']) AS sink,
-          CASE split_part(cluster_id, '-', 1) WHEN 'stg' THEN 'staging' WHEN 'dev' THEN 'development' ELSE 'production' END AS environment FROM raw) GROUP BY ALL""",
-        "raw",
-    ),
-)
-def _(t):
+STORED = """SELECT ingest_ms AS timestamp, namespace AS customer_id, cluster_id,
+    CASE split_part(cluster_id, '-', 1) WHEN 'stg' THEN 'staging' WHEN 'dev' THEN 'development' ELSE 'production' END AS environment,
+    application, pod_name, 'INFO' AS log_level, message, 'collector' AS source FROM raw"""
+TWO_SINKS = f"SELECT sink, w.*, count(*) AS n FROM ({STORED}) w, (SELECT unnest(['main', 'debug']) AS sink) GROUP BY ALL"
+
+
+def _structured(rows):
     from tributary.functions.keys import environment
 
-    rows = extract_log_level(t.raw).withColumns(
-        {"timestamp": F.col("ingest_ms"), "customer_id": F.col("namespace"), "environment": environment(F.col("cluster_id"))}
-    )
+    named = {"timestamp": F.col("ingest_ms"), "customer_id": F.col("namespace"), "environment": environment(F.col("cluster_id"))}
+    return structure_record(extract_log_level(rows).withColumns(named), "collector")
+
+
+def _both_sinks(t: Tables, schema, main: str, debug: str):
+    read = lambda path, sink: t.spark.read.schema(schema).option("recursiveFileLookup", "true").json(path).withColumn("sink", F.lit(sink))
+    both = read(main, "main").unionByName(read(debug, "debug"))
+    return both.groupBy(*both.columns).agg(F.count("*").alias("n"))
+
+
+@query("b5_two_sinks", oracle(TWO_SINKS, "raw"))
+def _(t):
     main, debug = scratch_path(t.spark, "main"), scratch_path(t.spark, "debug")
-    central.fan_out(
-        structure_record(rows, "collector"),
-        [lambda d: d.write.option("compression", "gzip").json(main), lambda d: d.write.json(debug)],
-    )
-    schema = "environment string"
-    both = t.spark.read.schema(schema).json(main).withColumn("sink", F.lit("main")).unionByName(
-        t.spark.read.schema(schema).json(debug).withColumn("sink", F.lit("debug"))
-    )
-    return both.groupBy("sink", "environment").agg(F.count("*").alias("n"))
+    rows = _structured(t.raw)
+    central.fan_out(rows, [lambda d: d.write.option("compression", "gzip").json(main), lambda d: d.write.json(debug)])
+    return _both_sinks(t, rows.schema, main, debug)
+
+
+@query("b5_stream_fan_out", oracle(TWO_SINKS, "raw"))
+def _(t):
+    # Three micro-batches; the main sink is given the first one twice, as after a lost commit, and writes it in place.
+    source, main, debug = (scratch_path(t.spark, n) for n in ("fan-in", "main", "debug"))
+    raw = t.raw.select("ingest_ms", "namespace", "cluster_id", "application", "pod_name", "message", "event_id")
+    for k in range(3):
+        raw.where(F.col("event_id") % 3 == k).drop("event_id").repartition(2).write.mode("append").parquet(source)
+    stream = t.spark.readStream.schema(raw.drop("event_id").schema).option("maxFilesPerTrigger", 2).parquet(source)
+    rows = _structured(stream)
+
+    def to_main(df, number):
+        for _ in range(1 + (number == 0)):
+            df.write.mode("overwrite").option("compression", "gzip").json(f"{main}/batch={number}")
+
+    to_debug = lambda df, number: df.write.mode("overwrite").json(f"{debug}/batch={number}")
+    central.stream_fan_out(rows, [to_main, to_debug], scratch_path(t.spark, "fan-ckpt"), once=True).awaitTermination()
+    return _both_sinks(t, rows.schema, main, debug)
 
 
 # -- streams --------------------------------------------------------------------------------------
@@ -314,6 +395,74 @@ def _(t):
     return _drain(t, alerts, "alerts").select("cluster_id", F.unix_millis("last_beat").alias("last_beat_ms"))
 
 
+WATCH_BATCHES, WATCH_SPAN_MS, WATCH_FILES = 4, 650_000_000, 2
+WATCH_START_MS = 1_704_067_200_000  # 2024-01-01, where the events begin
+
+
+@query(
+    "t6_silence_watch",
+    oracle(
+        f"""SELECT cluster_id, CASE WHEN real THEN ts_ms END AS last_beat_ms, ts_ms AS silent_from_ms FROM (
+          SELECT *, lead(ts_ms) OVER (PARTITION BY cluster_id ORDER BY ts_ms) AS nxt, max(ts_ms) FILTER (real) OVER () AS newest FROM (
+            SELECT cluster_id, ts_ms, bool_or(real) AS real FROM (
+              SELECT cluster_id, ts_ms, true AS real FROM raw0 WHERE event_type = 'view' AND NOT (cluster_id = 'lab-mc-2' AND ts_ms > {WATCH_START_MS} + 2 * {WATCH_SPAN_MS})
+              UNION ALL SELECT DISTINCT cluster_id || suffix, {WATCH_START_MS}, false FROM raw0, (SELECT unnest(['', '-spare']) AS suffix)) GROUP BY ALL))
+        WHERE COALESCE(nxt - ts_ms > 30000000, true) AND ts_ms + 30000001 <= newest - 700000000""",
+        "raw0",
+    ),
+)
+def _(t):
+    # Beats in four micro-batches; every tenth comes a batch late. One cluster falls silent in the middle, and some known ones never beat.
+    cut = (F.col("cluster_id") == "lab-mc-2") & (F.col("ts_ms") > WATCH_START_MS + 2 * WATCH_SPAN_MS)
+    beats = beat_records(t).where(~cut).select("cluster_id", "ts_ms", F.timestamp_millis("ts_ms").alias("ts"))
+    due = F.floor((F.col("ts_ms") - WATCH_START_MS) / WATCH_SPAN_MS) + F.when(F.col("ts_ms") % 10 == 0, 1).otherwise(0)
+    arrival = F.least(due, F.lit(WATCH_BATCHES - 1))
+    path = scratch_path(t.spark, "watched")
+    for k in range(WATCH_BATCHES):
+        beats.where(arrival == k).select("cluster_id", "ts").repartition(WATCH_FILES).write.mode("append").parquet(path)
+    suffix = F.explode(F.array(F.lit(""), F.lit("-spare")))
+    known = t.raw.select("cluster_id").distinct().select("cluster_id", suffix.alias("s")).select(
+        F.concat("cluster_id", "s").alias("cluster_id"), F.timestamp_millis(F.lit(WATCH_START_MS)).alias("ts")
+    )
+    stream = t.spark.readStream.schema("cluster_id string, ts timestamp").option("maxFilesPerTrigger", WATCH_FILES).parquet(path)
+    alerts = liveness.silence_alerts(stream, max_gap_s=30_000, lateness="700000 seconds", known=known)
+    return _drain(t, alerts, "silences").select("cluster_id", F.unix_millis("last_beat").alias("last_beat_ms"), F.unix_millis("silent_from").alias("silent_from_ms"))
+
+
+@query(
+    "t4_message_outcomes",
+    oracle(
+        """SELECT object_key, outcome, at_ms, receive_count FROM (
+          SELECT *, CASE WHEN dead_ms IS NOT NULL THEN 'dead_letter' WHEN deleted_ms IS NULL THEN 'expired' END AS outcome,
+            COALESCE(dead_ms, sent_ms + 1209600000) AS at_ms, CASE WHEN dead_ms IS NOT NULL THEN 3 ELSE n END AS receive_count
+          FROM (SELECT *, CASE WHEN n >= 3 AND (deleted_ms IS NULL OR deleted_ms > sent_ms + 2960000) THEN sent_ms + 2960000 END AS dead_ms FROM (
+            SELECT *, CASE WHEN eid % 3 = 0 AND n > 0 THEN sent_ms + 70000 + (n - 1) * 1000000 END AS deleted_ms FROM (
+              SELECT object_key, min(ts_ms) AS sent_ms, min(event_id) AS eid, (min(event_id) % 5)::INTEGER AS n FROM raw GROUP BY object_key))))
+        WHERE outcome IS NOT NULL AND at_ms <= (SELECT max(greatest(sent_ms, COALESCE(sent_ms + 60000 + (n - 1) * 1000000, 0) * (n > 0)::INTEGER, CASE WHEN eid % 3 = 0 AND n > 0 THEN sent_ms + 70000 + (n - 1) * 1000000 ELSE 0 END)) - 700000000
+          FROM (SELECT min(ts_ms) AS sent_ms, min(event_id) AS eid, min(event_id) % 5 AS n FROM raw GROUP BY object_key))""",
+        "raw",
+    ),
+)
+def _(t):
+    # Each object's message is sent with its first event and received up to four times, 1,000 s apart; some are deleted after the last receive.
+    sent = t.raw.groupBy("object_key").agg(F.min("ts_ms").alias("sent_ms"), F.min("event_id").alias("eid"))
+    n = F.col("eid") % 5
+    event = lambda kind, at: F.struct(F.lit(kind).alias("kind"), at.cast("bigint").alias("at_ms"))
+    received = F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda j: event("received", F.col("sent_ms") + 60_000 + j * 1_000_000)))
+    deleted = F.when((F.col("eid") % 3 == 0) & (n > 0), F.array(event("deleted", F.col("sent_ms") + 70_000 + (n - 1) * 1_000_000)))
+    none = F.array().cast("array<struct<kind: string, at_ms: bigint>>")
+    every = F.concat(F.array(event("sent", F.col("sent_ms"))), F.coalesce(received, none), F.coalesce(deleted, none))
+    events = sent.select("object_key", F.inline(every)).withColumn("ts", F.timestamp_millis("at_ms"))
+    # Four micro-batches; every seventh event comes a batch late.
+    late = F.when(F.xxhash64("object_key", "kind", "at_ms") % 7 == 0, 1).otherwise(0)
+    arrival = F.least(F.floor((F.col("at_ms") - WATCH_START_MS) / WATCH_SPAN_MS) + late, F.lit(WATCH_BATCHES - 1))
+    path = scratch_path(t.spark, "queue-events")
+    for k in range(WATCH_BATCHES):
+        events.where(arrival == k).select("object_key", "kind", "ts").repartition(WATCH_FILES).write.mode("append").parquet(path)
+    stream = t.spark.readStream.schema("object_key string, kind string, ts timestamp").option("maxFilesPerTrigger", WATCH_FILES).parquet(path)
+    return _drain(t, liveness.message_outcomes(stream, "object_key", "700000 seconds"), "outcomes")
+
+
 @query(
     "t9_dedupe_stream",
     oracle("SELECT object_key, type, count(*) AS n FROM attempts GROUP BY ALL", "routed", attempts=ATTEMPTS),

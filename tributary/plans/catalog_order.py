@@ -14,6 +14,8 @@ from tributary.operators import records as R
 from tributary.plans.derive import AS_OF_MS, text
 from tributary.plans.oracle import oracle
 from tributary.plans.registry import query
+from tributary.session import scratch_path
+from tributary.sinks.config_store import ConfigStore
 
 # -- order and packing ----------------------------------------------------------------------------
 
@@ -372,6 +374,36 @@ def _(t):
     return C.delete_configs(t.configs, _requests(t))[0].select("tenant_id", "type")
 
 
+STORE_STEPS = {
+    "c1": """SELECT tenant_id, type, enabled, bucket_name FROM cfg
+        UNION ALL SELECT tenant_id, type, COALESCE(enabled, true), bucket_name FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, type ORDER BY request_no) AS rn FROM new WHERE request_no % 3 = 0)
+        WHERE rn = 1 AND (tenant_id, type) NOT IN (SELECT (tenant_id, type) FROM cfg)""",
+    "c2": """SELECT c.tenant_id, c.type, COALESCE(f.enabled, c.enabled) AS enabled, COALESCE(f.bucket_name, c.bucket_name) AS bucket_name
+        FROM c1 c LEFT JOIN (SELECT tenant_id, type, arg_max(enabled, request_no) FILTER (WHERE enabled IS NOT NULL) AS enabled,
+            arg_max(bucket_name, request_no) AS bucket_name FROM new WHERE request_no % 3 = 1 GROUP BY tenant_id, type) f USING (tenant_id, type)""",
+    "c3": "SELECT * FROM c2 WHERE (tenant_id, type) NOT IN (SELECT (tenant_id, type) FROM new WHERE request_no % 3 = 2 AND request_no % 5 = 0)",
+}
+
+
+@query(
+    "m1_m3_config_store",
+    oracle(
+        "SELECT unnest(['logged', 'compacted']) AS state, * FROM c3 UNION ALL SELECT 'before deletes', * FROM c2 UNION ALL SELECT 'loaded', tenant_id, type, enabled, bucket_name FROM cfg",
+        "cfg", new=NEW, **STORE_STEPS,
+    ),
+)
+def _(t):
+    store, requests = ConfigStore(t.spark, scratch_path(t.spark, "configs"), slots=16), _requests(t)
+    store.load(t.configs, AS_OF_MS)
+    store.create(requests.where("request_no % 3 = 0"), AS_OF_MS)
+    store.update(requests.where("request_no % 3 = 1"), AS_OF_MS)
+    store.delete(requests.where("request_no % 3 = 2 AND request_no % 5 = 0"), AS_OF_MS)
+    shown = lambda df, state: df.select(F.lit(state).alias("state"), "tenant_id", "type", "enabled", "bucket_name")
+    logged = shown(store.current(), "logged")
+    store.compact(AS_OF_MS)
+    return logged.union(shown(store.current(), "compacted")).union(shown(store.current(2), "before deletes")).union(shown(store.current(0), "loaded"))
+
+
 @query(
     "m3_delete_outcome",
     oracle(

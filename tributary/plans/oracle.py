@@ -122,9 +122,9 @@ CTES = {
         CASE WHEN mt = 'OBJECT' THEN COALESCE((env->>'$.processing_metadata.offset')::BIGINT, 0) ELSE 0 END AS "offset",
         CASE WHEN mt = 'OBJECT' THEN COALESCE((env->>'$.processing_metadata.retry_count')::BIGINT, 0) ELSE 0 END AS retry_count
         FROM opened2""",
-    "notes": """SELECT message_id, "offset", retry_count, error_code, NULL::INTEGER AS record_idx, NULL AS bucket, NULL AS object_key, eid
+    "notes": """SELECT message_id, "offset", retry_count, error_code, NULL::INTEGER AS record_idx, NULL::VARCHAR AS bucket, NULL::VARCHAR AS object_key, eid
         FROM judged WHERE error_code IS NOT NULL OR COALESCE(json_array_length(note, '$.Records'), 0) = 0
-        UNION ALL SELECT message_id, "offset", retry_count, 'invalid_escape', bad_at::INTEGER, NULL, NULL, eid FROM judged WHERE error_code IS NULL AND bad_at >= 0
+        UNION ALL SELECT message_id, "offset", retry_count, 'invalid_escape', bad_at::INTEGER, NULL::VARCHAR, NULL::VARCHAR, eid FROM judged WHERE error_code IS NULL AND bad_at >= 0
         UNION ALL
         SELECT message_id, "offset", retry_count, NULL, i::INTEGER, note->>('$.Records[' || i || '].s3.bucket.name'),
             url_decode(replace(note->>('$.Records[' || i || '].s3.object.key'), '+', '%20')), eid

@@ -5,29 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.functions.rules import application_enabled
 from tributary.operators import accounting as A
 from tributary.operators.enrich import with_event_time
-from tributary.operators.routing import extract_tenant_info, route, split_valid_keys
+from tributary.operators.routing import extract_tenant_info, lookup_join, split_valid_keys
 from tributary.sources.notifications import parse_notifications
 
 
 def route_summary(raw: DataFrame, configs: DataFrame, as_of, salt: int | None = None) -> DataFrame:
     """Events and time span per (tenant, delivery type, application).
 
-    Lines fold into one row per object before they meet the configs: the join and the filters see
-    objects, as routing depends on the object key alone.
+    The key of a line decides where it goes, so lines meet the configs first, once per tenant, and only those that go somewhere are
+    parsed. They fold into one row per tenant and application before the delivery types part.
     """
-    timed = raw.withColumn("timestamp", F.timestamp_millis("ingest_ms")).transform(with_event_time, as_of)
-    per_object = timed.groupBy("object_key").agg(
-        F.count("*").alias("_n"),
-        F.min(F.unix_millis("timestamp")).alias("_first"),
-        F.max(F.unix_millis("timestamp")).alias("_last"),
-    )
-    valid, _ = split_valid_keys(per_object)
-    routed = route(extract_tenant_info(valid), configs, salt)
-    return routed.groupBy("tenant_id", "type", "application").agg(
-        F.sum("_n").alias("events"), F.min("_first").alias("first_event_ms"), F.max("_last").alias("last_event_ms")
+    delivery = F.struct("type", "desired_logs")
+    per_tenant = configs.groupBy("tenant_id").agg(F.collect_list(delivery).alias("_deliveries"))
+    valid, _ = split_valid_keys(raw.select("object_key", "message", "ingest_ms"))
+    named = lookup_join(extract_tenant_info(valid), per_tenant, ["tenant_id"], salt)
+    types = F.transform(F.filter("_deliveries", lambda d: application_enabled(d["desired_logs"], F.col("application"))), lambda d: d["type"])
+    wanted = named.withColumn("_types", types).where("size(_types) > 0").select("tenant_id", "application", "_types", "message", F.timestamp_millis("ingest_ms").alias("timestamp"))
+    timed = wanted.transform(with_event_time, as_of)
+    folded = timed.groupBy("tenant_id", "application").agg(
+        F.count("*").alias("events"), F.min(F.unix_millis("timestamp")).alias("first_event_ms"), F.max(F.unix_millis("timestamp")).alias("last_event_ms"), F.first("_types").alias("_types")
     )
+    return folded.select("tenant_id", F.explode("_types").alias("type"), "application", "events", "first_event_ms", "last_event_ms")
 
 
 def attempts_of(routed: DataFrame) -> DataFrame:

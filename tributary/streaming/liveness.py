@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tributary.constants import HEARTBEAT_MAX_GAP_S
+from tributary.constants import HEARTBEAT_MAX_GAP_S, MAX_RECEIVE_COUNT, MESSAGE_RETENTION_S, VISIBILITY_TIMEOUT_S
 from tributary.operators.accounting import STATISTICS
 from tributary.session import ship_with_tasks
 
@@ -46,30 +47,161 @@ def heartbeat_alerts(
     )
 
 
-def _watch(key: str, max_gap_s: int):
-    def run(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            yield pd.DataFrame({key: [name[0]], "last_beat": [pd.Timestamp(last, unit="us")]})
+class SilenceWatch(StatefulProcessor):
+    """State of one key: the beats whose silence is not decided yet, in order, and one timer for the first of them.
+
+    Times are doubled milliseconds, plus one for a real beat; an even number is the time from which the key is known.
+    A beat is decided once the watermark (or the clock) has passed it by the limit: nothing that still counts can come in
+    between then. So beats that come late, in any order and batch, give the same alerts as beats in order.
+    """
+
+    def __init__(self, key: str, gap_ms: int, event_time: bool, forget_s: int | None):
+        self.key, self.gap_ms, self.event_time, self.forget_s = key, gap_ms, event_time, forget_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        ttl = None if self.event_time or self.forget_s is None else self.forget_s * 1000
+        self.open = handle.getValueState("open", "beats binary", ttl)
+
+    def _now(self, timers) -> int:
+        return timers.getCurrentWatermarkInMs() if self.event_time else timers.getCurrentProcessingTimeInMs()
+
+    def _beats(self) -> np.ndarray:
+        return np.frombuffer(bytes(self.open.get()[0]), np.int64) if self.open.exists() else np.zeros(0, np.int64)
+
+    def _keep(self, before: np.ndarray, beats: np.ndarray) -> None:
+        """Stores the open beats; the timer stands at the first of them."""
+        if not len(beats):
+            self.open.clear()
             return
-        newest = max((int(f["ts"].max().value) // 1000 for f in frames), default=0)
-        state.update((max(newest, state.get[0]) if state.exists else newest,))
-        state.setTimeoutDuration(max_gap_s * 1000)
+        self.open.update((beats.tobytes(),))
+        if not len(before) or before[0] != beats[0]:
+            self.handle.registerTimer(int(beats[0] // 2) + self.gap_ms + 1)
+
+    def _alerts(self, name, timers) -> Iterator[pd.DataFrame]:
+        """Alerts of all beats that can be decided by now."""
+        beats = self._beats()
+        if not self.event_time:  # on the clock only the newest beat counts
+            beats = beats[-1:]
+        done = int(np.searchsorted(beats // 2, self._now(timers) - self.gap_ms - 1, side="right"))
+        at = beats // 2
+        silent = np.append(at[1:] - at[:-1] > self.gap_ms, True)[:done] if done else np.zeros(0, bool)
+        self._keep(np.zeros(0, np.int64), beats[done:])
+        if silent.any():
+            ends = beats[:done][silent]
+            stamp = pd.to_datetime(pd.Series(np.where(ends % 2 == 1, ends // 2, np.iinfo(np.int64).min)), unit="ms").where(ends % 2 == 1)
+            yield pd.DataFrame({self.key: [name[0]] * len(ends), "last_beat": stamp, "silent_from": pd.to_datetime(pd.Series(ends // 2), unit="ms")})
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        known = initialState["known_ms"].to_numpy(np.int64) * 2
+        self._keep(np.zeros(0, np.int64), np.sort(known)[:1])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        before = self._beats()
+        new = [f["beat_ms"].to_numpy(np.int64) * 2 + 1 if self.event_time else np.array([self._now(timerValues) * 2 + 1]) for f in rows]
+        beats = np.unique(np.concatenate([before, *new]))
+        self._keep(before, beats if self.event_time else beats[-1:])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return self._alerts(key, timerValues)
+
+
+def silence_alerts(
+    beats: DataFrame, key: str = "cluster_id", max_gap_s: int = HEARTBEAT_MAX_GAP_S, lateness: str = LATENESS, known: DataFrame | None = None, event_time: bool = True,
+    forget_s: int | None = None,
+) -> DataFrame:
+    """(key, last_beat, silent_from) of each silence of more than ``max_gap_s`` seconds, once for each.
+
+    ``known`` lists keys (key, ts) that should beat from that time on: one that never does is alerted with no last_beat. In event time, an alert comes when
+    the watermark has passed the limit, and beats up to ``lateness`` late still count. Otherwise timers follow the wall clock and fire without any
+    further row, even if every key has fallen silent; a key without beats for ``forget_s`` seconds is then forgotten. Append mode; needs the
+    RocksDB state store (:func:`use_rocksdb`).
+    """
+    use_rocksdb(beats.sparkSession)
+    schema = T.StructType([T.StructField(key, beats.schema[key].dataType), T.StructField("last_beat", T.TimestampType()), T.StructField("silent_from", T.TimestampType())])
+    live = beats.withWatermark("ts", lateness) if event_time else beats
+    rows = live.select(key, "ts", F.unix_millis("ts").alias("beat_ms"))
+    initial = None if known is None else known.select(key, F.unix_millis("ts").alias("known_ms")).groupBy(key)
+    watch = SilenceWatch(key, max_gap_s * 1000, event_time, forget_s)
+    return rows.groupBy(key).transformWithStateInPandas(watch, schema, "Append", "EventTime" if event_time else "ProcessingTime", initial)
 
-    return run
 
+class MessageWatch(StatefulProcessor):
+    """State of one message: when it was sent and deleted, the list of its receives, and whether it has been decided.
 
-def silence_alerts(beats: DataFrame, key: str = "cluster_id", max_gap_s: int = HEARTBEAT_MAX_GAP_S) -> DataFrame:
-    """(key, last_beat) of each key that has sent nothing for ``max_gap_s`` seconds of the wall clock, once for each silence.
+    Timers stand where a receive becomes void and where the message expires. They are judged once the watermark has passed them, when
+    nothing that still counts can change the order of what happened before.
+    """
 
-    A timer of the state store fires without any further row, so the alert comes even if every key has fallen
-    silent. Keys are known from their first beat on; a key that beats again is watched anew. Update mode.
+    def __init__(self, key: str, max_receive: int, visibility_ms: int, retention_ms: int):
+        self.key, self.max_receive, self.visibility_ms, self.retention_ms = key, max_receive, visibility_ms, retention_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.life = handle.getValueState("life", "sent_ms bigint, deleted_ms bigint, done boolean")
+        self.receives = handle.getListState("receives", "at_ms bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        sent, deleted, done = self.life.get() if self.life.exists() else (None, None, False)
+        for frame in rows:
+            for kind, at in zip(frame["kind"], frame["at_ms"].tolist()):
+                if kind == "sent":
+                    sent = at if sent is None else min(sent, at)
+                    self.handle.registerTimer(sent + self.retention_ms)
+                elif kind == "deleted":
+                    deleted = at if deleted is None else min(deleted, at)
+                elif kind == "received" and not done:
+                    self.receives.appendValue((at,))
+                    self.handle.registerTimer(at + self.visibility_ms)
+        self.life.update((sent, deleted, done))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.life.exists():
+            return
+        now, (sent, deleted, done) = expiredTimerInfo.getExpiryTimeInMs(), self.life.get()
+        at = sorted(x[0] for x in self.receives.get()) if self.receives.exists() else []
+        over = sent is not None and now >= sent + self.retention_ms
+        if not done and len(at) >= self.max_receive:
+            last = at[self.max_receive - 1] + self.visibility_ms
+            if now >= last and not (deleted is not None and deleted <= last) and not (sent is not None and last > sent + self.retention_ms):
+                done = True
+                self.receives.clear()
+                self.life.update((sent, deleted, done))
+                yield self._row(key, "dead_letter", last, self.max_receive)
+        if over:
+            if not done and (deleted is None or deleted > sent + self.retention_ms):
+                yield self._row(key, "expired", sent + self.retention_ms, len(at))
+            self.life.clear()
+            self.receives.clear()
+
+    def _row(self, key, outcome: str, at: int, received: int) -> pd.DataFrame:
+        return pd.DataFrame({self.key: [key[0]], "outcome": [outcome], "at_ms": [at], "receive_count": [received]})
+
+
+def message_outcomes(
+    events: DataFrame, key: str = "message_id", lateness: str = LATENESS, max_receive: int = MAX_RECEIVE_COUNT, visibility_s: int = VISIBILITY_TIMEOUT_S,
+    retention_s: int = MESSAGE_RETENTION_S,
+) -> DataFrame:
+    """(key, outcome, at_ms, receive_count) of messages that become a dead letter or expire, from a stream of (key, kind, ts).
+
+    kind is ``sent``, ``received`` or ``deleted``. A message received ``max_receive`` times and not deleted while the last of these receives hid it is a dead letter; one
+    neither deleted nor dead at the end of the retention time expires. Each is reported once. Events may come out of order, up to ``lateness`` late.
+    Append mode; needs the RocksDB state store.
     """
-    newest = beats.select(key, "ts")
-    return newest.groupBy(key).applyInPandasWithState(
-        _watch(key, max_gap_s), f"{key} string, last_beat timestamp", "last_us bigint", "update", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    use_rocksdb(events.sparkSession)
+    schema = T.StructType([
+        T.StructField(key, events.schema[key].dataType), T.StructField("outcome", T.StringType()), T.StructField("at_ms", T.LongType()), T.StructField("receive_count", T.IntegerType()),
+    ])
+    rows = events.withWatermark("ts", lateness).select(key, "kind", "ts", F.unix_millis("ts").alias("at_ms"))
+    watch = MessageWatch(key, max_receive, visibility_s * 1000, retention_s * 1000)
+    return rows.groupBy(key).transformWithStateInPandas(watch, schema, "Append", "EventTime")
+
+
+def use_rocksdb(spark) -> None:
+    """State stores of queries started from now on: keeps state outside the JVM heap and knows timers."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def stream_metric_statistics(
