@@ -51,6 +51,14 @@ def test_routing_and_reasons(spark):
     assert RT.unroutable(empty, cfg, valid).first().reason == "empty_tenant"
 
 
+def test_salted_copies_are_never_broadcast(spark):
+    """Their planned size leaves the salt out, so a broadcast would hold many times what the threshold allows."""
+    cfg = C.routable_configs(table(spark, cw("t1"), s3("t2")))
+    salted = RT.route(objects(spark, "c/t1/a/p/f", "c/t2/a/p/f"), cfg, salt=4)
+    plan = salted._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [tenant_id" in plan and salted.count() == 2
+
+
 def test_route_exploded_does_not_repeat_names(spark):
     cfg = C.routable_configs(table(spark, s3("t", desired_logs=["a", "a"])))
     assert RT.route_exploded(objects(spark, "c/t/a/p/f"), cfg).count() == 1

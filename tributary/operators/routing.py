@@ -29,13 +29,14 @@ def lookup_join(facts: DataFrame, dimension: DataFrame, on: list[str], salt: int
 
     No broadcast hint: Spark broadcasts a side only below its size threshold, and AQE splits a hot
     key of a sort-merge join. ``salt`` spreads every key over that many buckets by hand, at the
-    price of as many copies of the dimension.
+    price of as many copies of the dimension. These are always shuffled: the size Spark expects of
+    them leaves out that each row comes ``salt`` times, so they would be collected and broadcast.
     """
     if not salt:
         return facts.join(dimension, on)
     spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salt)).cast("int"))
     copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return spread.join(copies, [*on, "_salt"]).drop("_salt")
+    return spread.join(copies.hint("merge"), [*on, "_salt"]).drop("_salt")
 
 
 def route(objects: DataFrame, configs: DataFrame, salt: int | None = None) -> DataFrame:
