@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import random
 import time
 
 from pyspark.sql import functions as F
@@ -217,3 +218,54 @@ def test_config_scan(spark, tmp_path):
     for fmt, name in (("parquet", "p"), ("json", "j")):
         rows = read_tenant_configs(spark, str(tmp_path / name), fmt).collect()
         assert {(r.tenant_id, r.type, r.enabled) for r in rows} == {("a", "cloudwatch", True), ("b", "s3", True)}
+
+
+def test_store_is_listed_read_and_written_by_tasks(spark, tmp_path):
+    """No file status reaches the driver: Spark's own file index does not appear in the plans."""
+    folder = str(tmp_path / "a b")
+    odd = [("c:1", "t/1", "a%b", None), ("c:1", "", "é", "p=1"), ("c", "t", "a", "p")]
+    rows = [(*d, f"line {i} é") for i, d in enumerate(odd * 40)]
+    df = spark.createDataFrame(rows, "cluster_id string, namespace string, application string, pod_name string, message string")
+    wide = max(len(json.dumps(dict(zip(df.columns, r)), ensure_ascii=False, separators=(",", ":")).encode()) for r in rows) + 1
+    for mode in ("overwrite", "overwrite", "append"):
+        central.write_central(df.repartition(3), folder, mode, 3 * wide)
+    stored = central.read_central(spark, folder)
+    got = stored.collect()
+    assert sorted(json.loads(r.line)["message"] for r in got) == sorted([r[-1] for r in rows] * 2)
+    assert {r.object_key.rsplit("/", 1)[0] for r in got} == {"c:1/t/1/a%b/", "c:1//é/p=1", "c/t/a/p"}
+    files = [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs]
+    assert all(f.endswith(".json.gz") and not os.path.basename(f).startswith(".") for f in files)
+    assert max(len(gzip.open(f).read()) for f in files) <= 3 * wide
+    # The layout is that of Spark's partitioned writes.
+    assert spark.read.json(folder).select("key_cluster_id", "key_application").distinct().count() == 3
+    put(folder, "_hidden/x.json", "no")
+    put(folder, "top.json", "plain\r\n\n﻿last")
+    assert [r.line for r in O.read_log_objects(spark, folder).where("object_key = 'top.json'").orderBy("line_no").collect()] == ["plain\r", "", "﻿last"]
+    listing = O.list_objects(spark, folder, "b")
+    assert listing.count() == len(files) + 1
+    for df in (listing, stored, O.read_each_object(spark, folder)):
+        assert "FileScan" not in df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_large_plain_objects_are_read_in_parts(spark, tmp_path):
+    rng = random.Random(4)
+    text = "\n".join("x" * rng.choice([0, 0, 1, 5, 30, 90]) + str(i) * (i % 3) for i in range(500))
+    for name, content in (("a", text), ("b", text + "\n"), ("c", "\n\n"), ("d", "y" * 99)):
+        (tmp_path / name).write_bytes(content.encode())
+        want = content.removesuffix("\n").split("\n")
+        from pyarrow import fs
+
+        store = fs.LocalFileSystem()
+        for step in (1, 7, 64):
+            parts = [x for a in range(0, len(content) + 1, step) for x in O._lines_of(store, str(tmp_path / name), a, a + step)]
+            assert [x.decode() for _, x in parts] == want and [p for p, _ in parts] == sorted({p for p, _ in parts})
+
+
+def test_one_row_an_object_whatever_its_size(spark):
+    """The index of a small object is small; runs across two lines are not in it."""
+    from tributary.operators import search as S
+
+    lines = spark.createDataFrame([("a", "abc"), ("a", "def"), ("b", "abcdef"), ("c", None), ("c", "xy")], "object_key string, line string").coalesce(1)
+    index = {r.object_key: list(r.bits) for r in S.build_index(lines).collect()}
+    assert {k: len(v) for k, v in index.items()} == {"a": 2, "b": 4, "c": 0}
+    assert sorted(r.object_key for r in S.may_hold(S.build_index(lines), "xy").collect()) == ["a", "b", "c"]
