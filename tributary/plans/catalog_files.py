@@ -15,6 +15,7 @@ from tributary.plans.oracle import oracle
 from tributary.plans.registry import Tables, query
 from tributary.session import ensure_checkpoint_dir, scratch_path
 from tributary.sinks import central, copies
+from tributary.sinks.objects import write_lines
 from tributary.sources import objects as O
 from tributary.streaming import collector, liveness, router
 
@@ -26,9 +27,7 @@ def _store_lines(t: Tables) -> str:
     path = scratch_path(t.spark, "store")
     dims = {folder: F.get(F.split("object_key", "/"), F.lit(i)) for folder, i in KEY_PARTS.items()}
     rows = t.stored.withColumns(dims).hint("rebalance", *KEY_PARTS).sortWithinPartitions(*KEY_PARTS, "line_no")
-    rows.select(*KEY_PARTS, F.col("line").alias("value")).write.partitionBy(*KEY_PARTS).option(
-        "compression", "gzip"
-    ).text(path)
+    write_lines(rows, path, [*KEY_PARTS], ".txt.gz")
     return path
 
 
@@ -350,7 +349,7 @@ def _(t):
     path = scratch_path(t.spark, "store")
     dims = {folder: F.get(F.split("object_key", "/"), F.lit(i)) for folder, i in KEY_PARTS.items()}
     laid = t.stored.withColumns(dims).repartition(*KEY_PARTS).sortWithinPartitions(*KEY_PARTS, "line_no")
-    laid.select(*KEY_PARTS, F.col("line").alias("value")).write.partitionBy(*KEY_PARTS).option("compression", "gzip").text(path)
+    write_lines(laid, path, [*KEY_PARTS], ".txt.gz")
     output = scratch_path(t.spark, "routed")
     conf = router.RouterConf(
         path, BUCKET, output, scratch_path(t.spark, "router-ckpt"), lambda: t.configs, AS_OF_MS,

@@ -14,14 +14,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tributary.constants import CENTRAL_OBJECT_BYTES, CENTRAL_OBJECT_SECONDS
 from tributary.functions.keys import DIMENSIONS
 from tributary.session import ship_with_tasks
-from tributary.sources.objects import read_log_objects
+from tributary.sinks.objects import EMPTY_FOLDER, write_lines
+from tributary.sources.objects import read_log_objects, store_root
 
 ship_with_tasks(__name__)
 
 # The dimensions stay in the record; copies of them name the folders.
 FOLDERS = tuple(f"key_{name}" for name in DIMENSIONS)
 STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-EMPTY_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 BATCH, ROLL = "batch", "roll"
 
 
@@ -62,14 +62,26 @@ def _roll(limit: int):
     return run
 
 
+def in_arrival_order(rows: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """Rows of each folder one after the other within a task, in the order in which they came."""
+    return rows.withColumn("_at", F.monotonically_increasing_id()).sortWithinPartitions(*folders, "_at").drop("_at")
+
+
 def write_central(df: DataFrame, path: str, mode: str = "append", object_bytes: int = CENTRAL_OBJECT_BYTES) -> None:
     """Writes enriched log lines as ``.json.gz`` objects below cluster/namespace/application/pod.
 
     Rebalancing by folder splits a hot one over many tasks and joins cold ones into few. An object holds
-    at most ``object_bytes`` of unpacked lines, or one longer line.
+    at most ``object_bytes`` of unpacked lines, or one longer line. Tasks write and name the objects themselves where they can open
+    the folder; on other file systems Spark's own writer does, which lists and renames them in the driver.
     """
     folded = _with_folders(df)
     line = F.to_json(F.struct(*df.columns), {"timestampFormat": STAMP})
+    if mode in ("append", "overwrite") and store_root(df.sparkSession, path, make=True):
+        if mode == "overwrite":
+            place = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        lines = folded.hint("rebalance", *FOLDERS).select(*[F.col(f).cast("string").alias(f) for f in FOLDERS], line.alias("line"))
+        return write_lines(in_arrival_order(lines, FOLDERS), path, FOLDERS, ".json.gz", ROLL, object_bytes)
     sized = folded.hint("rebalance", *FOLDERS).withColumn("_bytes", F.octet_length(line).cast("bigint") + 1)
     schema = T.StructType([*folded.schema.fields, T.StructField(ROLL, T.LongType())])
     (
