@@ -223,7 +223,7 @@ def test_config_scan(spark, tmp_path):
 def test_store_is_listed_read_and_written_by_tasks(spark, tmp_path):
     """No file status reaches the driver: Spark's own file index does not appear in the plans."""
     folder = str(tmp_path / "a b")
-    odd = [("c:1", "t/1", "a%b", None), ("c:1", "", "é", "p=1"), ("c", "t", "a", "p")]
+    odd = [("c:1", "t/1", "a%b", None), ("c:1", "", "é", "p=1"), ("c", "t", "a", "p"), ("c:1", None, "é", "p=1")]
     rows = [(*d, f"line {i} é") for i, d in enumerate(odd * 40)]
     df = spark.createDataFrame(rows, "cluster_id string, namespace string, application string, pod_name string, message string")
     wide = max(len(json.dumps(dict(zip(df.columns, r)), ensure_ascii=False, separators=(",", ":")).encode()) for r in rows) + 1
@@ -235,6 +235,7 @@ def test_store_is_listed_read_and_written_by_tasks(spark, tmp_path):
     assert {r.object_key.rsplit("/", 1)[0] for r in got} == {"c:1/t/1/a%b/", "c:1//é/p=1", "c/t/a/p"}
     files = [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs]
     assert all(f.endswith(".json.gz") and not os.path.basename(f).startswith(".") for f in files)
+    assert len({r.object_key for r in got}) == len(files)
     assert max(len(gzip.open(f).read()) for f in files) <= 3 * wide
     # The layout is that of Spark's partitioned writes.
     assert spark.read.json(folder).select("key_cluster_id", "key_application").distinct().count() == 3

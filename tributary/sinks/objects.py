@@ -66,7 +66,7 @@ def _put(root: str, folders: Sequence[str], roll: str | None, limit: int, suffix
 
         task, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         store, base = fs.FileSystem.from_uri(root)
-        base, open_, at, number, done = base.rstrip("/"), None, None, 0, []
+        base, open_, at, number, opened, done = base.rstrip("/"), None, None, 0, 0, []
         for batch in batches:
             names = zip(*(batch[f].to_pylist() for f in folders))
             for values, line in zip(names, batch["line"].cast(pa.binary()).to_pylist()):
@@ -77,7 +77,8 @@ def _put(root: str, folders: Sequence[str], roll: str | None, limit: int, suffix
                         done.append(open_.close())
                     at, number = values, 0 if other else number + 1
                     folder = _folder(folders, values) + (f"/{roll}={number}" if roll else "")
-                    open_ = _Object(store, base, folder, f"part-{task:05d}-{token}-{attempt}{suffix}")
+                    # Null and empty values share a folder, and keys are read without the roll: the count keeps names apart.
+                    open_, opened = _Object(store, base, folder, f"part-{task:05d}-{token}-{attempt}-{opened}{suffix}"), opened + 1
                 open_.add(line)
             if len(done) >= 1000:
                 yield _moves(done)
