@@ -3,7 +3,9 @@ import json
 import os
 import random
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tributary.operators import records as R
@@ -270,3 +272,94 @@ def test_one_row_an_object_whatever_its_size(spark):
     index = {r.object_key: list(r.bits) for r in S.build_index(lines).collect()}
     assert {k: len(v) for k, v in index.items()} == {"a": 2, "b": 4, "c": 0}
     assert sorted(r.object_key for r in S.may_hold(S.build_index(lines), "xy").collect()) == ["a", "b", "c"]
+
+
+class _State:
+    """One bucket's state store and timers, with a count of the calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls, self.now = None, set(), 0, 0
+
+    def getValueState(self, name, schema, ttl=None):  # noqa: N802
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.remove(at)
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.now
+
+
+def _outcome(events, end, max_receive=3, hidden=50, kept=1000):
+    """Outcome of one message by the time ``end``, from all of its events in order."""
+    sent = min((at for kind, at in events if kind == "sent"), default=None)
+    deleted = min((at for kind, at in events if kind == "deleted"), default=None)
+    received = sorted(at for kind, at in events if kind == "received")
+    over = None if sent is None else sent + kept
+    if len(received) >= max_receive:
+        last = received[max_receive - 1] + hidden
+        if last <= end and not (deleted is not None and deleted <= last) and not (over is not None and last > over):
+            return ("dead_letter", last, max_receive)
+    if over is not None and over <= end and not (deleted is not None and deleted <= over):
+        return ("expired", over, len(received))
+    return None
+
+
+def test_messages_share_state():
+    """Two thousand messages of one bucket, plainly judged, in a few state calls a micro-batch."""
+    rng, events = random.Random(9), {}
+    for i in range(2000):
+        start = rng.randrange(0, 600)
+        mine = [("sent", start)] * (rng.random() < 0.95) + [("received", start + rng.randrange(0, 700)) for _ in range(rng.randrange(0, 6))]
+        events[f"m{i}" if i else None] = mine + [("deleted", start + rng.randrange(0, 900))] * (rng.random() < 0.3)
+    rows = sorted(((at, key, kind) for key, mine in events.items() for kind, at in mine), key=lambda r: (r[0] + rng.randrange(0, 100), str(r)))
+    state, got = _State(), []
+    watch = liveness.MessageWatch("message_id", 3, 50, 1000)
+    watch.init(state)
+    batches, timer = [rows[a : a + 1500] for a in range(0, len(rows), 1500)], lambda at: SimpleNamespace(getExpiryTimeInMs=lambda: at)
+    newest = 0
+    for batch in [*batches, []]:
+        if batch:
+            frame = pd.DataFrame({"message_id": [r[1] for r in batch], "kind": [r[2] for r in batch], "at_ms": [r[0] for r in batch]})
+            got += [x for f in watch.handleInputRows((0,), iter([frame[:700], frame[700:]]), state) for x in f.itertuples(index=False)]
+            newest = max(newest, *(r[0] for r in batch))
+        state.now = newest - 100 if batch else 1500
+        while due := [t for t in state.timers if t <= state.now]:
+            got += [x for f in watch.handleExpiredTimer((0,), state, timer(min(due))) for x in f.itertuples(index=False)]
+            state.timers.discard(min(due))
+    plain = {(key, *found) for key, mine in events.items() if (found := _outcome(mine, 1500))}
+    assert len(got) == len(plain) > 500 and {tuple(x) for x in got} == plain
+    assert state.calls <= 10 * (len(batches) + 1)
+
+
+def test_message_outcomes_of_numbered_messages(spark, tmp_path):
+    """Keys that are no text, and a null one, come back as they were."""
+    rows = [(k, "sent", 1) for k in (1, 2, 2**60 + 1, None)] + [(2**60 + 1, "received", 1 + j) for j in range(3)] + [(2, "deleted", 5), (3, "sent", 10_000)]
+    df = spark.createDataFrame(rows, "id bigint, kind string, s long").selectExpr("id", "kind", "timestamp_seconds(s) ts")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    got = run(spark, liveness.message_outcomes(stream, "id", "1 second", visibility_s=10, retention_s=1000, buckets=2), str(tmp_path / "out"))
+    assert got.schema["id"].dataType.typeName() == "long"
+    found = {tuple(r) for r in got.collect()}
+    assert found == {(1, "expired", 1_001_000, 0), (None, "expired", 1_001_000, 0), (2**60 + 1, "dead_letter", 13_000, 3)}

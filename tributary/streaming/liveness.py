@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,11 +129,67 @@ def silence_alerts(
     return rows.groupBy(key).transformWithStateInPandas(watch, schema, "Append", "EventTime" if event_time else "ProcessingTime", initial)
 
 
+#: A time that has not come.
+NEVER = np.iinfo(np.int64).max
+#: Groups of messages that share one state by default.
+BUCKETS = 1024
+
+
+@dataclass
+class Messages:
+    """Undecided messages of one bucket. ``receives`` holds (message, time) in order; a dead letter keeps its place until it expires."""
+
+    keys: pa.Array
+    sent: np.ndarray
+    deleted: np.ndarray
+    done: np.ndarray
+    receives: np.ndarray
+
+    @staticmethod
+    def unpack(raw: bytes | None) -> Messages:
+        if raw is None:
+            return Messages(pa.array([], pa.string()), *(np.zeros(0, np.int64) for _ in range(2)), np.zeros(0, bool), np.zeros((2, 0), np.int64))
+        rows = pa.ipc.open_stream(raw).read_all().combine_chunks()
+        sent, deleted, done, counts = (rows[c].to_numpy() for c in ("sent", "deleted", "done", "counts"))
+        times = np.frombuffer(rows.schema.metadata[b"receives"], np.int64)
+        return Messages(rows["key"].chunk(0) if len(rows) else pa.array([], pa.string()), sent, deleted, done, np.stack([np.repeat(np.arange(len(rows)), counts), times]))
+
+    def pack(self) -> bytes:
+        counts = np.bincount(self.receives[0], minlength=len(self.keys))
+        rows = pa.table({"key": self.keys, "sent": self.sent, "deleted": self.deleted, "done": self.done, "counts": counts})
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, rows.schema.with_metadata({"receives": self.receives[1].tobytes()})) as writer:
+            writer.write_table(rows)
+        return out.getvalue().to_pybytes()
+
+    def add(self, keys: pa.Array, kind: np.ndarray, at: np.ndarray) -> Messages:
+        """With further events. Receives of a dead letter count no more."""
+        coded = pa.concat_arrays([self.keys, keys]).dictionary_encode(null_encoding="encode")
+        place, n = coded.indices.to_numpy(), len(coded.dictionary)
+        old, new = place[: len(self.keys)], place[len(self.keys) :]
+        sent, deleted, done = np.full(n, NEVER), np.full(n, NEVER), np.zeros(n, bool)
+        sent[old], deleted[old], done[old] = self.sent, self.deleted, self.done
+        for first, name in ((sent, "sent"), (deleted, "deleted")):
+            np.minimum.at(first, new[kind == name], at[kind == name])
+        came = (kind == "received") & ~done[new]
+        of, times = np.append(old[self.receives[0]], new[came]), np.append(self.receives[1], at[came])
+        order = np.lexsort((times, of))
+        return Messages(coded.dictionary, sent, deleted, done, np.stack([of[order], times[order]]))
+
+    def keep(self, kept: np.ndarray, counted: np.ndarray) -> Messages:
+        """The kept messages, with the receives of the ``counted`` ones."""
+        held = (kept & counted)[self.receives[0]]
+        place = np.cumsum(kept) - 1
+        receives = np.stack([place[self.receives[0][held]], self.receives[1][held]])
+        return Messages(self.keys.filter(pa.array(kept)), self.sent[kept], self.deleted[kept], self.done[kept], receives)
+
+
 class MessageWatch(StatefulProcessor):
-    """State of one message: when it was sent and deleted, the list of its receives, and whether it has been decided.
+    """State of a bucket of messages: when each was sent, deleted and received, and whether it has been decided.
 
-    Timers stand where a receive becomes void and where the message expires. They are judged once the watermark has passed them, when
-    nothing that still counts can change the order of what happened before.
+    The bucket's timer stands where the first of its messages can be decided: where a receive becomes void or where a message expires. Messages are judged
+    once the watermark has passed that time, when nothing that still counts can change the order of what happened before. A message by itself would
+    cost several calls to the state store in every micro-batch; a bucket's state is read and written as a whole.
     """
 
     def __init__(self, key: str, max_receive: int, visibility_ms: int, retention_ms: int):
@@ -139,64 +197,79 @@ class MessageWatch(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.life = handle.getValueState("life", "sent_ms bigint, deleted_ms bigint, done boolean")
-        self.receives = handle.getListState("receives", "at_ms bigint")
+        self.state = handle.getValueState("messages", "packed binary, due_ms bigint")
+
+    def _load(self) -> tuple[Messages, int]:
+        packed, due = self.state.get() if self.state.exists() else (None, NEVER)
+        return Messages.unpack(None if packed is None else bytes(packed)), due
+
+    def _ends(self, m: Messages) -> tuple[np.ndarray, np.ndarray]:
+        """When each message becomes a dead letter, and when it expires, as far as is known."""
+        expires = np.where(m.sent < NEVER, np.minimum(m.sent, NEVER - self.retention_ms) + self.retention_ms, NEVER)
+        dead = np.full(len(m.keys), NEVER)
+        counts = np.bincount(m.receives[0], minlength=len(m.keys))
+        often = np.flatnonzero((counts >= self.max_receive) & ~m.done)
+        last = m.receives[1][(np.cumsum(counts) - counts)[often] + self.max_receive - 1] + self.visibility_ms
+        dead[often] = np.where((m.deleted[often] <= last) | (last > expires[often]), NEVER, last)
+        return dead, expires
+
+    def _store(self, m: Messages, timer: int) -> None:
+        """The bucket's state, and its timer if that has moved."""
+        if not len(m.keys):
+            self.state.clear()
+            return
+        due = int(min(x.min() for x in self._ends(m)))
+        self.state.update((m.pack(), due))
+        if due != timer:
+            if timer < NEVER:
+                self.handle.deleteTimer(timer)
+            if due < NEVER:
+                self.handle.registerTimer(due)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        sent, deleted, done = self.life.get() if self.life.exists() else (None, None, False)
-        for frame in rows:
-            for kind, at in zip(frame["kind"], frame["at_ms"].tolist()):
-                if kind == "sent":
-                    sent = at if sent is None else min(sent, at)
-                    self.handle.registerTimer(sent + self.retention_ms)
-                elif kind == "deleted":
-                    deleted = at if deleted is None else min(deleted, at)
-                elif kind == "received" and not done:
-                    self.receives.appendValue((at,))
-                    self.handle.registerTimer(at + self.visibility_ms)
-        self.life.update((sent, deleted, done))
+        m, due = self._load()
+        new = pd.concat([f[[self.key, "kind", "at_ms"]] for f in rows], ignore_index=True)
+        new = new[new["at_ms"].notna()]
+        self._store(m.add(pa.array(new[self.key], pa.string(), from_pandas=True), new["kind"].to_numpy(), new["at_ms"].to_numpy(np.int64)), due)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.life.exists():
+        m, _ = self._load()
+        if not len(m.keys):
             return
-        now, (sent, deleted, done) = expiredTimerInfo.getExpiryTimeInMs(), self.life.get()
-        at = sorted(x[0] for x in self.receives.get()) if self.receives.exists() else []
-        over = sent is not None and now >= sent + self.retention_ms
-        if not done and len(at) >= self.max_receive:
-            last = at[self.max_receive - 1] + self.visibility_ms
-            if now >= last and not (deleted is not None and deleted <= last) and not (sent is not None and last > sent + self.retention_ms):
-                done = True
-                self.receives.clear()
-                self.life.update((sent, deleted, done))
-                yield self._row(key, "dead_letter", last, self.max_receive)
-        if over:
-            if not done and (deleted is None or deleted > sent + self.retention_ms):
-                yield self._row(key, "expired", sent + self.retention_ms, len(at))
-            self.life.clear()
-            self.receives.clear()
-
-    def _row(self, key, outcome: str, at: int, received: int) -> pd.DataFrame:
-        return pd.DataFrame({self.key: [key[0]], "outcome": [outcome], "at_ms": [at], "receive_count": [received]})
+        now = timerValues.getCurrentWatermarkInMs()
+        dead_ms, expires = self._ends(m)
+        dead, over = dead_ms <= now, expires <= now
+        expired = over & ~m.done & ~dead & (m.deleted > expires)
+        counts = np.bincount(m.receives[0], minlength=len(m.keys))
+        m.done |= dead
+        self._store(m.keep(~over, ~m.done), NEVER)  # the timer that has just expired goes by itself
+        for which, outcome, at, received in ((dead, "dead_letter", dead_ms, np.full(len(counts), self.max_receive)), (expired, "expired", expires, counts)):
+            if which.any():
+                yield pd.DataFrame({self.key: m.keys.filter(pa.array(which)).to_pandas(), "outcome": outcome, "at_ms": at[which], "receive_count": received[which].astype(np.int32)})
 
 
 def message_outcomes(
     events: DataFrame, key: str = "message_id", lateness: str = LATENESS, max_receive: int = MAX_RECEIVE_COUNT, visibility_s: int = VISIBILITY_TIMEOUT_S,
-    retention_s: int = MESSAGE_RETENTION_S,
+    retention_s: int = MESSAGE_RETENTION_S, buckets: int = BUCKETS,
 ) -> DataFrame:
     """(key, outcome, at_ms, receive_count) of messages that become a dead letter or expire, from a stream of (key, kind, ts).
 
     kind is ``sent``, ``received`` or ``deleted``. A message received ``max_receive`` times and not deleted while the last of these receives hid it is a dead letter; one
     neither deleted nor dead at the end of the retention time expires. Each is reported once. Events may come out of order, up to ``lateness`` late.
-    Append mode; needs the RocksDB state store.
+    Append mode; needs the RocksDB state store. Messages share state by hash: a task holds the open messages of one of ``buckets`` at a time. The key must be
+    a type that casts to text and back.
     """
     use_rocksdb(events.sparkSession)
+    kind_of_key = events.schema[key].dataType
     schema = T.StructType([
-        T.StructField(key, events.schema[key].dataType), T.StructField("outcome", T.StringType()), T.StructField("at_ms", T.LongType()), T.StructField("receive_count", T.IntegerType()),
+        T.StructField(key, T.StringType()), T.StructField("outcome", T.StringType()), T.StructField("at_ms", T.LongType()), T.StructField("receive_count", T.IntegerType()),
     ])
-    rows = events.withWatermark("ts", lateness).select(key, "kind", "ts", F.unix_millis("ts").alias("at_ms"))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("_bucket")
+    rows = events.withWatermark("ts", lateness).select(bucket, F.col(key).cast("string").alias(key), "kind", "ts", F.unix_millis("ts").alias("at_ms"))
     watch = MessageWatch(key, max_receive, visibility_s * 1000, retention_s * 1000)
-    return rows.groupBy(key).transformWithStateInPandas(watch, schema, "Append", "EventTime")
+    outcomes = rows.groupBy("_bucket").transformWithStateInPandas(watch, schema, "Append", "EventTime")
+    return outcomes.withColumn(key, F.col(key).cast(kind_of_key))
 
 
 def use_rocksdb(spark) -> None:
