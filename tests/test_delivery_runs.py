@@ -126,3 +126,19 @@ def test_stream_of_messages(spark, made, tmp_path):
         delivery.start_deliveries(stream, conf, checkpoint, once=True).awaitTermination()
     done = store.read("attempts").where("type = 'cloudwatch'").select("run", "message_id", "succeeded").collect()
     assert sorted(map(tuple, done)) == [(0, "m0", False), (1, "m0", False), (1, "m1", False), (2, "m0", True), (2, "m1", True), (2, "m2", True)]
+
+
+def test_runs_read_inputs_written_once(spark, monkeypatch):
+    """No run derives the stored lines, the listing or the messages from the events again."""
+    from tributary.plans import catalog_delivery
+    from tributary.plans.registry import Tables
+
+    seen = []
+    monkeypatch.setattr(delivery, "start_deliveries", lambda messages, conf, *a, **k: seen.append(conf) or type("Q", (), {"awaitTermination": lambda self: None})())
+    monkeypatch.setattr(delivery, "deliver", lambda spark, conf: None)
+    t = Tables(spark, "/root/testdata/sf0.001")
+    catalog_delivery.delivered(t)
+    keys = spark.createDataFrame(t.stored.select("object_key").distinct().collect())
+    for made, rows in ((seen[0].objects(keys).drop("error_code"), t.stored), (seen[0].listing(keys), t.listing.selectExpr("object_key", "modified_ms"))):
+        assert made.inputFiles() and not any("events.parquet" in f for f in made.inputFiles())
+        assert sorted(map(tuple, made.collect())) == sorted(map(tuple, rows.collect()))

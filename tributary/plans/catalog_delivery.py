@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.plans.derive import AS_OF_MS
@@ -70,15 +71,22 @@ def _send(as_of: int):
     return send
 
 
+def _stored_once(t: Tables, rows: DataFrame, name: str) -> DataFrame:
+    """The rows of a derived table, written once: every run looks at them."""
+    path = scratch_path(t.spark, name)
+    rows.write.parquet(path)
+    return t.spark.read.schema(rows.schema).parquet(path)
+
+
 def delivered(t: Tables) -> RunStore:
     """All messages in three micro-batches, then two runs of retries."""
     source, output = scratch_path(t.spark, "messages"), scratch_path(t.spark, "deliveries")
-    messages = t.messages.withColumn("visible_ms", F.col("visible_ms") - F.col("eid") % 4 * SOONER_MS)
+    messages = _stored_once(t, t.messages.withColumn("visible_ms", F.col("visible_ms") - F.col("eid") % 4 * SOONER_MS), "queued")
     for k in range(STREAM_RUNS):
         messages.where(F.col("eid") % STREAM_RUNS == k).select(*delivery.MESSAGE).repartition(FILES).write.mode("append").parquet(source)
 
-    listing = t.listing.select("object_key", F.col("modified_ms").alias("upload_ms"))
-    objects = t.stored.withColumn("error_code", F.lit(None).cast("string"))
+    listing = _stored_once(t, t.listing.select("object_key", F.col("modified_ms").alias("upload_ms")), "listing")
+    objects = _stored_once(t, t.stored, "stored").withColumn("error_code", F.lit(None).cast("string"))
     conf = delivery.DeliveryConf(
         output, lambda keys: listing.join(keys, "object_key", "left_semi"), lambda keys: objects.join(keys, "object_key", "left_semi"), lambda: t.configs, _send, lambda as_of: lambda plan: plan.withColumn("succeeded", ~F.expr(BAD_COPY)), lambda run: AS_OF_MS + run * STEP_MS,
         max_events=5, max_bytes=400,
