@@ -363,3 +363,38 @@ def test_message_outcomes_of_numbered_messages(spark, tmp_path):
     assert got.schema["id"].dataType.typeName() == "long"
     found = {tuple(r) for r in got.collect()}
     assert found == {(1, "expired", 1_001_000, 0), (None, "expired", 1_001_000, 0), (2**60 + 1, "dead_letter", 13_000, 3)}
+
+
+def test_router_notes_objects_in_tasks(spark, tmp_path, monkeypatch):
+    """Files of notes, not objects, reach the stream's file source; objects that come later are delivered once."""
+    monkeypatch.setattr(router, "INTERVAL_S", 1)
+    store, out, ckpt = (str(tmp_path / n) for n in ("store", "out", "ckpt"))
+    for i in range(12):
+        put(store, f"c/t1/app/p{i}/x.json.gz", f'{{"message":"m{i}"}}\n')
+    conf = router.RouterConf(store, "central", out, ckpt, lambda: table(spark, cw("t1")), AS_OF, files_per_batch=5, chunks=2)
+    router.start_router(spark, conf, once=True).awaitTermination()
+    known = "".join(open(os.path.join(d, f), errors="replace").read() for d, _, fs in os.walk(f"{ckpt}/sources") for f in fs if not f.startswith("."))
+    assert "x.json.gz" not in known and 3 <= known.count('"path"') <= 6
+    sent = lambda: sorted(e.message for r in spark.read.parquet(f"{out}/batches").collect() for e in r.log_events)
+    assert sent() == sorted(f"m{i}" for i in range(12))
+    query = router.start_router(spark, conf)
+    try:
+        put(store, "c/t1/app/later/x.json.gz", '{"message":"later"}\n')
+        until = time.time() + 60
+        while time.time() < until and "later" not in sent():
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert sent() == sorted([*(f"m{i}" for i in range(12)), "later"])
+
+
+def test_router_goes_on_from_a_checkpoint_without_notes(spark, tmp_path, monkeypatch):
+    store, out, ckpt = (str(tmp_path / n) for n in ("store", "out", "ckpt"))
+    conf = router.RouterConf(store, "central", out, ckpt, lambda: table(spark, cw("t1")), AS_OF, chunks=2)
+    put(store, "c/t1/app/p/first.json.gz", '{"message":"first"}\n')
+    with monkeypatch.context() as m:
+        m.setattr(router, "store_root", lambda *a: None)  # as on a file system that tasks cannot open
+        router.start_router(spark, conf, once=True).awaitTermination()
+    put(store, "c/t1/app/p/second.json.gz", '{"message":"second"}\n')
+    router.start_router(spark, conf, once=True).awaitTermination()
+    assert sorted(e.message for r in spark.read.parquet(f"{out}/batches").collect() for e in r.log_events) == ["first", "second"]

@@ -10,6 +10,7 @@ from contextlib import ExitStack
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ NOTIFY_SUFFIX = ".gz"
 #: Bytes read, or handed on, at once; the part of a plain object that one task reads; levels of folders opened one shuffle each.
 BLOCK, SPLIT, LEVELS = 1 << 20, 64 << 20, 3
 PACKED = (".gz", ".bz2")
+#: Objects in a file of notes.
+NOTED = 100_000
 
 
 def lines(spark: SparkSession, path) -> DataFrame:
@@ -230,6 +233,32 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def note_new_objects(spark: SparkSession, root: str, notes: str, per_file: int | None = None) -> None:
+    """Adds the objects below a folder that are not yet noted to ``notes``, files of (object_key, modified_ms) with at most ``per_file`` rows each.
+
+    Tasks list the folder and compare; the driver sees a file of notes, not an object. What is noted stays so: an object is new once. One writer at a time."""
+    schema = "object_key string, modified_ms bigint"
+    found = _found_objects(spark, root).select("object_key", "modified_ms")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(notes)
+    begun = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    if begun:
+        found = found.join(spark.read.schema(schema).parquet(notes).select("object_key"), "object_key", "left_anti")
+    found = found.persist(StorageLevel.DISK_ONLY)
+    if (n := found.count()) or not begun:
+        per_file = per_file or NOTED
+        found.repartitionByRange(n // per_file + 1, "modified_ms", "object_key").write.mode("append").option("maxRecordsPerFile", per_file).parquet(notes)
+    found.unpersist()
+
+
+def stream_noted_objects(spark: SparkSession, root: str, notes: str, per_file: int | None = None) -> DataFrame:
+    """Stream of (object_key, upload_ms, content) of the noted objects, opened by tasks; with ``per_file`` a file of notes makes a micro-batch."""
+    reader = spark.readStream.schema("object_key string, modified_ms bigint")
+    if per_file:
+        reader = reader.option("maxFilesPerTrigger", 1)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return reader.parquet(notes).repartition(n).mapInArrow(_read_contents(root), "object_key string, upload_ms bigint, content binary")
+
+
 def unpack_objects(files: DataFrame) -> DataFrame:
     """(object_key, line_no, line, upload_ms, error_code) of files (object_key, upload_ms, content), batch or stream.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
+from threading import Thread
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,13 @@ from tributary.operators import delivery as D
 from tributary.operators import records as R
 from tributary.operators import routing as RT
 from tributary.sinks.central import bare_key
-from tributary.sources.objects import SCAN_SUFFIX, unpack_objects, whole_files, with_suffix
+from tributary.sources.objects import SCAN_SUFFIX, note_new_objects, store_root, stream_noted_objects, unpack_objects, whole_files, with_suffix
 from tributary.session import ensure_checkpoint_dir
 from tributary.streaming.collector import now_ms
 
+#: Seconds between two looks at the source.
+INTERVAL_S = 10
+
 
 @dataclass(frozen=True)
 class RouterConf:
@@ -38,11 +43,14 @@ class RouterConf:
     suffix: str = SCAN_SUFFIX
 
 
-def read_object_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def read_object_lines(spark: SparkSession, path: str, files_per_batch: int | None = None, notes: str | None = None) -> DataFrame:
     """Stream of (object_key, line_no, line, upload_ms, error_code) of new objects; the checkpoint is the ledger.
 
-    An object that cannot be unpacked gives one row with an error code instead of failing its micro-batch.
+    An object that cannot be unpacked gives one row with an error code instead of failing its micro-batch. With ``notes``, a folder kept by
+    :func:`note_new_objects`, the stream takes the objects noted there and tasks open them; else Spark's file source lists the objects in the driver.
     """
+    if notes and (root := store_root(spark, path)):
+        return unpack_objects(stream_noted_objects(spark, root, notes, files_per_batch)).withColumn("object_key", bare_key(F.col("object_key")))
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -104,9 +112,29 @@ def route_lines(
     }
 
 
+def _keep_noting(query: StreamingQuery, note: Callable[[], None], every_s: float) -> None:
+    """Notes new objects as long as the query runs; a listing that fails ends the query."""
+    try:
+        while not query.awaitTermination(every_s):
+            note()
+    except Exception:
+        if query.isActive:
+            query.stop()
+            raise
+
+
 def start_router(spark: SparkSession, conf: RouterConf, once: bool = False) -> StreamingQuery:
-    """Each micro-batch writes its tables below ``output/<table>/run=<n>``; a replay writes the same place."""
+    """Each micro-batch writes its tables below ``output/<table>/run=<n>``; a replay writes the same place.
+
+    Tasks list the source, before the query starts and then every ten seconds, and note new objects in a folder of the checkpoint. A checkpoint that
+    a router without notes began keeps its file source, which knows what has been delivered."""
     ensure_checkpoint_dir(spark)
+    notes = f"{conf.checkpoint.rstrip('/')}/objects"
+    begun = store_root(spark, f"{conf.checkpoint.rstrip('/')}/offsets") and not store_root(spark, notes)
+    root = None if begun else store_root(spark, conf.source)
+    note = partial(note_new_objects, spark, root, notes, conf.files_per_batch)
+    if root:
+        note()
 
     def run(batch: DataFrame, number: int) -> None:
         # Several tables come from the same lines; a reliable checkpoint reads the objects once.
@@ -118,6 +146,9 @@ def start_router(spark: SparkSession, conf: RouterConf, once: bool = False) -> S
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(f"{conf.output}/{name}/run={number}")
 
-    lines = read_object_lines(spark, conf.source, conf.files_per_batch)
-    trigger = {"availableNow": True} if once else {"processingTime": "10 seconds"}
-    return lines.writeStream.foreachBatch(run).option("checkpointLocation", conf.checkpoint).trigger(**trigger).start()
+    lines = read_object_lines(spark, conf.source, conf.files_per_batch, notes if root else None)
+    trigger = {"availableNow": True} if once else {"processingTime": f"{INTERVAL_S} seconds"}
+    query = lines.writeStream.foreachBatch(run).option("checkpointLocation", conf.checkpoint).trigger(**trigger).start()
+    if root and not once:
+        Thread(target=_keep_noting, args=(query, note, INTERVAL_S), daemon=True).start()
+    return query
