@@ -156,3 +156,51 @@ def test_scores_against_plain_python(spark):
             c = kind(w)
             want += math.log10(softmax(features(ws, k))[c]) + (0 if c < L.ALONE else math.log10((count[w] + 1) / (tokens[c] + types[c] + 1)))
         assert abs(got[i] - want) < 1e-3 * (1 + abs(want)), (i, got[i], want)
+
+
+def test_history_of_frequent_words(spark, monkeypatch):
+    """The word factor follows the previous word: one softmax in each class, fitted to the counts of pairs, better on held-out texts."""
+    monkeypatch.setattr(L, "CUTOFF", 20)
+    rng = random.Random(3)
+    words = [f"{w}ab" for w in "cdefghijklmnop"] + [f"{w}xy" for w in "cdefghijklmnop"]  # two classes by form
+    after = {w: rng.sample(words, 3) for w in words}
+    texts = []
+    for _ in range(300):
+        text = [rng.choice(words)]
+        for _ in range(20):
+            text.append(rng.choice(after[text[-1]]) if rng.random() < 0.8 else rng.choice(words))
+        texts.append(" ".join(text))
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    found, trained = [], L.train
+    monkeypatch.setattr(L, "train", lambda *a: found.append(trained(*a)) or found[0])
+    got = L.score(df).collect()
+    model = found[0]
+    learnt = [tokens_of(t) for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(w for ws in learnt for w in ws)
+    frequent = {int(h): k for k, h in enumerate(model.frequent)}
+    names = [w for w in words if hashed(w) in frequent]
+    assert len(names) == len(frequent) == len(words) - (L.ALONE - 1)
+    row = lambda w: mix((hashed(w) + 1) % M64) % L.WORD_ROWS
+    # The sum over a class after any word is one: its frequent words and the words never seen (no other word is known here).
+    for kind in {form(w) for w in names}:
+        whole = model.tokens[kind] + model.types[kind] + 1
+        for before in [None, *words]:
+            z = model.sums()[row(before), kind]
+            inside = sum((count[w] + 1) / whole * math.exp(model.pair_weights[row(before), frequent[hashed(w)]] - z) for w in names if form(w) == kind)
+            assert abs(inside + math.exp(-z) / whole - 1) < 1e-5
+    # Scores of the texts, on dictionaries; the class factor is taken from the model.
+    for r in got[:20]:
+        ws = tokens_of(texts[r.doc_id])
+        t = L.tokenize(pa.array([texts[r.doc_id]]))
+        kinds = model.classes(t)
+        logits = L.class_logits(model.weights, L.feature_rows(t, kinds))
+        want = float((logits[np.arange(len(ws)), kinds] - np.log(np.exp(logits).sum(axis=1))).sum() / math.log(10))
+        for before, w, k in zip([None, *ws], ws, kinds):
+            if k >= L.ALONE:
+                own = model.pair_weights[row(before), frequent[hashed(w)]] if hashed(w) in frequent else 0.0
+                want += math.log10((count[w] + 1) / (model.tokens[k] + model.types[k] + 1)) + (own - model.sums()[row(before), k]) / math.log(10)
+        assert abs(r.score - want) < 1e-3 * (1 + abs(want))
+    monkeypatch.setattr(L, "CUTOFF", 10**9)
+    found.clear()
+    plain = sum(r.score for r in L.score(df).collect() if r.held_out)
+    assert sum(r.score for r in got if r.held_out) > plain + 0.05 * abs(plain)

@@ -1,20 +1,23 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). The classes are the most frequent tokens, each alone, and classes by
+P(word | history) = P(class | history) * P(word | class, history). The classes are the most frequent tokens, each alone, and classes by
 the last two bytes of a word. The first factor is a softmax over the sum of five weight rows, found by hash:
 bias, previous word, the classes of the two words before, the word before the previous one (skip), and the classes of the second and
-third word back (skip). The second factor has one feature, the word itself, whose maximum-likelihood weight is known: its
-count in the class plus one, where one more count is left to all words never seen.
+third word back (skip). The second factor is a softmax over the words of the class. Each word has a feature of its own, whose maximum-likelihood
+weight is known: its count in the class plus one, where one more count is left to all words never seen. The ``FREQUENT`` most frequent
+words without a class of their own, of at least ``CUTOFF`` training tokens, also have one feature for each hashed previous word. The words without such
+features share what is left, so the sum over a class needs only the frequent ones, and the gradient of these features only the counts of (previous word, word).
 
 Token counts cover every training text: blocks of documents ask by hash range for the totals of their distinct words and get them back
 in the order asked. Gradients cover every training text too, in ``STEPS`` steps over disjoint parts: each task sums the gradient
 of its tokens, the sums of all tasks are added by feature range, and the driver takes the fixed-size result (``ROWS`` x ``CLASSES`` numbers)
-for one update scaled by its diagonal. Texts are scored in numpy batches of ``CHUNK`` tokens.
+for one update scaled by its diagonal. The same tasks count the pairs of previous word and frequent word (``WORD_ROWS`` x ``FREQUENT`` numbers), which the driver
+fits in ``FITS`` updates. Texts are scored in numpy batches of ``CHUNK`` tokens.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,8 @@ ROWS = 1 + 2 * WORD_ROWS + 2 * PAIR_ROWS
 STEPS = 4
 RATES = (0.5, 0.4, 0.3, 0.3)
 SMOOTHING = 5.0
+#: Words with features of their history, and the training tokens they need; updates of these features.
+FREQUENT, CUTOFF, FITS = 512, 256, 12
 CHUNK = 1 << 14
 PARTS = 8
 BLOCK_BYTES = 12 << 20
@@ -130,7 +135,7 @@ def _answer(table: pa.Table) -> pa.Table:
     per_block = np.split(total[inverse], np.cumsum([len(x) for x in asked])[:-1])
     tokens = np.bincount(kind, weights=total, minlength=CLASSES).astype(np.int64)
     types = np.bincount(kind, weights=total > 0, minlength=CLASSES).astype(np.int64)
-    most = np.argsort(-total, kind="stable")[:ALONE]
+    most = np.argsort(-total, kind="stable")[: ALONE + FREQUENT]
     top = [{"n": int(total[i]), "key": int(key[i].astype(np.int64)), "kind": int(kind[i])} for i in most]
     rest = len(asked) - 1
     return pa.table({
@@ -146,6 +151,10 @@ class Model:
     tokens: np.ndarray  # training tokens by class
     types: np.ndarray
     weights: np.ndarray  # ROWS x CLASSES
+    frequent: np.ndarray = field(default_factory=lambda: np.zeros(0, U))  # sorted hashes of the words with features of their history
+    frequent_class: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    frequent_count: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    pair_weights: np.ndarray = field(default_factory=lambda: np.zeros((WORD_ROWS, 0), np.float32))  # by previous word and frequent word
 
     @property
     def n_tokens(self) -> int:
@@ -160,10 +169,44 @@ class Model:
         return np.where(self.alone[place] == tokens.hashes, self.alone_class[place], tokens.kind).astype(np.int64)
 
     def word_log(self, kind: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """log10 P(word | class)."""
+        """log10 of P(word | class) without features of the history."""
         whole = self.tokens[kind] + self.types[kind] + 1
         return np.where(kind < ALONE, 0.0, np.log10((count + 1) / whole))
 
+    def frequent_places(self, tokens: Tokens) -> np.ndarray:
+        """Place of each token among the frequent words, or -1."""
+        if not len(self.frequent):
+            return np.full(len(tokens.hashes), -1)
+        place = np.minimum(np.searchsorted(self.frequent, tokens.hashes), len(self.frequent) - 1)
+        return np.where(self.frequent[place] == tokens.hashes, place, -1)
+
+    def shares(self) -> np.ndarray:
+        """P(word | class) of each frequent word without features of the history."""
+        return 10 ** self.word_log(self.frequent_class, self.frequent_count)
+
+    def sums(self) -> np.ndarray:
+        """Natural logarithm of the sum over each class after each hashed previous word: 1 but for what the frequent words gain or lose."""
+        gained = np.zeros((WORD_ROWS, CLASSES))
+        np.add.at(gained.T, self.frequent_class, (self.shares() * np.expm1(self.pair_weights.astype(np.float64))).T)
+        return np.log1p(gained)
+
+    def history_log(self, kind: np.ndarray, place: np.ndarray, previous: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """log10 of what the history adds to P(word | class); ``previous`` is the row of the word before, ``sums`` that of :meth:`sums`."""
+        own = np.zeros(len(kind))
+        if len(self.frequent):
+            own = np.where(place >= 0, self.pair_weights[previous, place], 0.0)
+        return (own - sums[previous, kind]) / np.log(10)
+
+    def fit_pairs(self, pairs: np.ndarray, histories: np.ndarray) -> None:
+        """Weights of the features of the history, from the counts of (previous word, word) and (previous word, class)."""
+        if not len(self.frequent):
+            return
+        shares, of = self.shares(), histories[:, self.frequent_class]
+        self.pair_weights = np.zeros(pairs.shape, np.float32)
+        for _ in range(FITS):
+            expected = of * np.exp(self.pair_weights - self.sums()[:, self.frequent_class]) * shares
+            self.pair_weights = (self.pair_weights + (pairs - expected) / (np.maximum(pairs, expected) + SMOOTHING)).astype(np.float32)
+
 
 def _back(values: np.ndarray, place: np.ndarray, k: int, start) -> np.ndarray:
     """The value k tokens before in the same text, or that of the end of text."""
@@ -197,6 +240,8 @@ def _gradient(model: Model):
 
     def run(batches):
         seen, expected = np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS, CLASSES), np.float32)
+        width = len(model.frequent)
+        pairs = np.zeros((WORD_ROWS, width), np.float32)
         for batch in batches:
             for part in steps(batch, "text"):
                 tokens = tokenize(part["text"])
@@ -212,29 +257,43 @@ def _gradient(model: Model):
                         expected[r[order[first]]] += np.add.reduceat(p[order], first, axis=0)
                 cell = (rows * CLASSES + kind).reshape(-1)
                 seen += np.bincount(cell, minlength=ROWS * CLASSES).reshape(ROWS, CLASSES).astype(np.float32)
-        for k, (a, b) in enumerate(zip(np.array_split(seen, PARTS), np.array_split(expected, PARTS))):
-            yield pa.record_batch({"part": pa.array([k], pa.int32()), "seen": pa.array([a.tobytes()], pa.binary()), "expected": pa.array([b.tobytes()], pa.binary())})
+                place = model.frequent_places(tokens)
+                found = place >= 0
+                if found.any():
+                    pair = (rows[1][found] - 1) * width + place[found]
+                    pairs += np.bincount(pair, minlength=WORD_ROWS * width).reshape(WORD_ROWS, width).astype(np.float32)
+        for k, parts in enumerate(zip(*(np.array_split(x, PARTS) for x in (seen, expected, pairs)))):
+            yield _sums_row(k, parts)
 
     return run
 
 
+_SUMS = ("seen", "expected", "pairs")
+
+
+def _sums_row(part: int, sums) -> pa.RecordBatch:
+    return pa.record_batch({"part": pa.array([part], pa.int32())} | {c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(_SUMS, sums)})
+
+
 def _add(batches):
     """Sums of the gradients of each range, in the order they come."""
     total: dict[int, list[np.ndarray]] = {}
     for batch in batches:
-        for k, *both in zip(*(batch[c].to_pylist() for c in ("part", "seen", "expected"))):
-            new = [np.frombuffer(x, np.float32).astype(np.float64) for x in both]
+        for k, *sums in zip(*(batch[c].to_pylist() for c in ("part", *_SUMS))):
+            new = [np.frombuffer(x, np.float32).astype(np.float64) for x in sums]
             total[k] = [x + y for x, y in zip(total[k], new)] if k in total else new
-    for k, (a, b) in total.items():
-        yield pa.record_batch({"part": pa.array([k], pa.int32()), "seen": pa.array([a.tobytes()], pa.binary()), "expected": pa.array([b.tobytes()], pa.binary())})
+    for k, sums in total.items():
+        yield _sums_row(k, sums)
 
 
-def _gradient_of(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    schema = "part int, seen binary, expected binary"
+def _gradient_of(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    schema = "part int, seen binary, expected binary, pairs binary"
     summed = texts.mapInArrow(_gradient(model), schema).repartition(PARTS, "part").mapInArrow(_add, schema).toArrow()  # of fixed size
     order = np.argsort(summed["part"].to_numpy())
-    join = lambda c: np.frombuffer(b"".join(summed[c][int(i)].as_py() for i in order), np.float64).reshape(ROWS, CLASSES)
-    return (join("seen"), join("expected")) if len(order) else (np.zeros((ROWS, CLASSES)),) * 2
+    shapes = ((ROWS, CLASSES), (ROWS, CLASSES), (WORD_ROWS, len(model.frequent)))
+    if not len(order):
+        return tuple(np.zeros(x) for x in shapes)
+    return tuple(np.frombuffer(b"".join(summed[c][int(i)].as_py() for i in order), np.float64).reshape(x) for c, x in zip(_SUMS, shapes))
 
 
 def train(docs: DataFrame, answers: DataFrame) -> Model:
@@ -244,8 +303,9 @@ def train(docs: DataFrame, answers: DataFrame) -> Model:
     unpack = answers.where("tokens IS NOT NULL").select("tokens", "types").mapInArrow(_unpack, "kind int, tokens bigint, types bigint")
     for r in unpack.groupBy("kind").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).collect():
         sums[0][r["kind"]], sums[1][r["kind"]] = r["tokens"], r["types"]
-    top = answers.select(F.explode("top").alias("w")).select("w.*").where("kind > 0 AND n > 0").orderBy(F.desc("n"), "key").limit(ALONE - 1).collect()
+    most = answers.select(F.explode("top").alias("w")).select("w.*").where("kind > 0 AND n > 0").orderBy(F.desc("n"), "key").limit(ALONE - 1 + FREQUENT).collect()
     tokens, types = sums
+    top, more = most[: ALONE - 1], sorted((r for r in most[ALONE - 1 :] if r["n"] >= CUTOFF), key=lambda r: int(np.int64(r["key"]).astype(U)))
     for k, r in enumerate(top, 1):
         tokens[r["kind"]] -= r["n"]
         types[r["kind"]] -= 1
@@ -255,9 +315,16 @@ def train(docs: DataFrame, answers: DataFrame) -> Model:
     weights = np.zeros((ROWS, CLASSES), np.float32)
     weights[0] = np.log((tokens + 0.5) / (tokens.sum() + 0.5 * CLASSES))
     model = Model(alone[order], np.arange(len(alone))[order], tokens, types, weights)
+    model.frequent = np.array([np.int64(r["key"]).astype(U) for r in more], U)
+    model.frequent_class, model.frequent_count = (np.array([r[c] for r in more], np.int64) for c in ("kind", "n"))
+    model.pair_weights = np.zeros((WORD_ROWS, len(more)), np.float32)
+    all_pairs, histories = np.zeros((WORD_ROWS, len(more))), np.zeros((WORD_ROWS, CLASSES))
     for step, rate in enumerate(RATES):
-        seen, expected = _gradient_of(docs.where(F.col("train") & (F.col("step") == step)).select("text"), model)
+        seen, expected, pairs = _gradient_of(docs.where(F.col("train") & (F.col("step") == step)).select("text"), model)
         model.weights = (model.weights + rate * (seen - expected) / (np.maximum(seen, expected) + SMOOTHING)).astype(np.float32)
+        all_pairs += pairs
+        histories += seen[1 : 1 + WORD_ROWS]
+    model.fit_pairs(all_pairs, histories)
     return model
 
 
@@ -277,6 +344,7 @@ def _score(model: Model, buckets: int):
             return _SCORES.empty_table()
         key = _block_words(docs)[0]
         by_bucket = answers.sort_by("bucket")  # the order of the keys
+        sums = model.sums()
         total = np.frombuffer(b"".join(by_bucket["totals"].to_pylist()), np.int64)
         out = []
         for part in steps(docs, "text"):
@@ -286,6 +354,7 @@ def _score(model: Model, buckets: int):
             base = np.log10((count + 1) / (model.n_tokens + model.n_types + 1))
             log = model.word_log(kind, count)
             rows = feature_rows(tokens, kind)
+            log += model.history_log(kind, model.frequent_places(tokens), rows[1] - 1, sums)
             for a in range(0, len(kind), CHUNK):
                 logits = class_logits(model.weights, rows[:, a : a + CHUNK])
                 own = logits[np.arange(len(logits)), kind[a : a + CHUNK]]
